@@ -2,8 +2,9 @@ from tidewell.operators.aggregates import (
     global_mean, group_count, group_mean, mean_between, non_null_count, row_count,
 )
 from tidewell.operators.features import (
-    add_family, add_title, assemble, fill_by_group, fill_mode, frequency_index, hash_split,
-    impute_group_mean, index_strings, random_split, remap_values,
+    add_family, add_title, assemble, feature_stages, fill_by_group, fill_mode,
+    frequency_index, hash_split, impute_group_mean, index_strings, random_split, remap_values,
+    value_counts,
 )
 from tidewell.operators.joins import sized_for_broadcast
 from tidewell.operators.models import (
@@ -14,8 +15,9 @@ from tidewell.operators.rows import top_rows
 
 __all__ = [
     "CLASSIFIERS", "accuracy", "add_family", "add_title", "assemble", "column_summary",
-    "compare_classifiers", "fill_by_group", "fill_mode", "frequency_index", "global_mean",
-    "group_count", "group_mean", "hash_split", "impute_group_mean", "index_strings",
+    "compare_classifiers", "feature_stages", "fill_by_group", "fill_mode", "frequency_index",
+    "global_mean", "group_count", "group_mean", "hash_split", "impute_group_mean", "index_strings",
     "majority_accuracy", "mean_between", "non_null_count", "null_profile", "random_split",
-    "remap_values", "row_count", "score", "sized_for_broadcast", "top_rows", "with_label",
+    "remap_values", "row_count", "score", "sized_for_broadcast", "top_rows",
+    "value_counts", "with_label",
 ]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -81,19 +82,24 @@ def add_family(df: DataFrame, parts: Sequence[str], size: str = "family_size",
             .withColumn(alone, F.when(F.col(size) == 0, F.lit(1)).otherwise(F.lit(0))))
 
 
-def frequency_index(df: DataFrame, column: str, index: str = "index") -> DataFrame:
-    """(value, index) with index 0 for the most frequent value, ties by value.
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, n) of the non-null values of text columns, in one pass."""
+    return (df.unpivot([], list(columns), "column_name", "value")
+            .where(F.col("value").isNotNull())
+            .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def rank_by_count(counts: DataFrame, value: str, n: str, index: str) -> DataFrame:
+    """(value, index) with index 0 for the greatest count, ties by value.
 
-    For any number of distinct values: they are range-sorted in parallel, and each
-    range is then numbered from its offset.  The offsets are one row per shuffle
-    partition, which bounds the only single-task step and the broadcast.
+    For any number of values: they are range-sorted in parallel, and each range is
+    then numbered from its offset.  The offsets are one row per shuffle partition,
+    which bounds the only single-task step and the broadcast.
     """
-    ordered = (df.where(F.col(column).isNotNull()).groupBy(column)
-               .agg(F.count(F.lit(1)).alias("_n"))
-               .orderBy(F.desc("_n"), F.asc(column))
+    ordered = (counts.orderBy(F.desc(n), F.asc(value))
                .withColumn("_id", F.monotonically_increasing_id())
                # Upper bits: the range; lower 33 bits: the place within it.
-               .select(column, F.shiftright("_id", 33).alias("_range"),
+               .select(value, F.shiftright("_id", 33).alias("_range"),
                        F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")))
     ordered = materialize(ordered, "ranked")
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -101,35 +107,61 @@ def frequency_index(df: DataFrame, column: str, index: str = "index") -> DataFra
                .select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
                        .alias("_offset")))
     return (ordered.join(F.broadcast(offsets), "_range")
-            .select(column, (F.col("_offset") + F.col("_place")).cast("double").alias(index)))
+            .select(value, (F.col("_offset") + F.col("_place")).cast("double").alias(index)))
+
+
+def frequency_index(df: DataFrame, column: str, index: str = "index") -> DataFrame:
+    """(value, index) of a column, index 0 for the most frequent value."""
+    counts = (df.where(F.col(column).isNotNull()).groupBy(column)
+              .agg(F.count(F.lit(1)).alias("_n")))
+    return rank_by_count(counts, column, "_n", index)
 
 
 def index_strings(df: DataFrame, columns: Sequence[str], suffix: str = "_index",
                   max_labels: int = MAX_DRIVER_LABELS) -> DataFrame:
-    """Add a frequency index for each text column; a null or unseen label is an error.
+    """Add a frequency index for each text column; a null label is an error.
 
-    Columns with few labels are indexed by one MLlib fit, which keeps the labels on
-    the driver; columns with more of them by a join with ``frequency_index``.
+    One counting pass serves all columns.  Those with few labels are indexed by an
+    MLlib model, which keeps its labels on the driver; any others by a join with the
+    ranked labels.
     """
-    sketch = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    # The sketch is good to about 5 %; half the bound leaves room for that.
-    few = [c for c in columns if sketch[c] <= max_labels // 2]
+    counts = materialize(value_counts(df, columns), "labels")
+    sizes = {row["column_name"]: row["count"]
+             for row in counts.groupBy("column_name").count().collect()}
+    few = [c for c in columns if sizes.get(c, 0) <= max_labels]
     out = df
     if few:
-        indexer = StringIndexer(inputCols=few, outputCols=[c + suffix for c in few],
-                                stringOrderType="frequencyDesc", handleInvalid="error")
-        out = indexer.fit(df).transform(out)
+        labels: dict[str, list[str]] = {c: [] for c in few}
+        for row in (counts.where(F.col("column_name").isin(few))
+                    .orderBy("column_name", F.desc("n"), "value").toLocalIterator()):
+            labels[row["column_name"]].append(row["value"])
+        indexers = [StringIndexerModel.from_labels(labels[c], c, c + suffix, "error")
+                    for c in few]
+        out = PipelineModel(stages=indexers).transform(out)
     for name in columns:
         if name in few:
             continue
-        codes = frequency_index(df, name, name + suffix).withColumnRenamed(name, "_label")
+        own = counts.where(F.col("column_name") == name)
+        codes = rank_by_count(own, "value", "n", name + suffix)
         found = F.coalesce(F.col(name + suffix),
                            F.raise_error(F.lit(f"null label in column {name}")))
-        out = (out.join(codes, F.col(name) == F.col("_label"), "left")
-               .withColumn(name + suffix, found).drop("_label"))
+        out = (out.join(codes, F.col(name) == F.col("value"), "left")
+               .withColumn(name + suffix, found).drop("value"))
     return out
 
 
+def feature_stages(columns: Sequence[str], numeric: Sequence[str],
+                   output: str = "features", suffix: str = "_index") -> Pipeline:
+    """Indexing and vector assembly as MLlib stages, for when the fitted model is to be
+    stored and applied to other data later.  For columns with few labels."""
+    indexed = [c + suffix for c in columns]
+    return Pipeline(stages=[
+        StringIndexer(inputCols=list(columns), outputCols=indexed,
+                      stringOrderType="frequencyDesc", handleInvalid="error"),
+        VectorAssembler(inputCols=[*numeric, *indexed], outputCol=output,
+                        handleInvalid="error")])
+
+
 def assemble(df: DataFrame, inputs: Sequence[str], output: str = "features") -> DataFrame:
     """Vector column from numeric columns; a null is an error."""
     assembler = VectorAssembler(inputCols=list(inputs), outputCol=output,

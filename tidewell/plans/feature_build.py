@@ -43,20 +43,20 @@ class FeatureSpec:
 def build_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Title, imputation, family features, indexes and the vector.
 
-    Result: key, label, the feature columns and ``features``.  The steps before the
-    vector each need a pass of their own over a few columns, so the columns in use
-    are written to the shared folder first and whatever made ``df`` runs only once.
+    Result: key, label, the feature columns and ``features``.  Several steps need a
+    pass of their own over a few columns, so the columns in use are written to the
+    shared folder first and whatever made ``df`` runs only once.  The steps that
+    count labels come before the join with the group means, which they do not need.
     """
     used = list(dict.fromkeys([spec.key, spec.label, spec.text, spec.impute, *spec.family,
                                *spec.numeric, *spec.indexed, *spec.fill]))
     rows = materialize(df.select(*used), "features")
-    rows = add_title(rows, spec.text, spec.title, spec.remap)
+    rows = fill_mode(rows, spec.fill) if spec.fill else rows
+    rows = add_title(rows, spec.text, spec.title, spec.remap).drop(spec.text)
+    rows = index_strings(rows, [*spec.indexed, spec.title])
     if spec.impute_values is None:
         rows = impute_group_mean(rows, spec.title, spec.impute)
     else:
         rows = fill_by_group(rows, spec.title, spec.impute, spec.impute_values)
-    rows = fill_mode(rows, spec.fill) if spec.fill else rows
-    rows = add_family(rows.drop(spec.text), spec.family)
-    rows = index_strings(rows, [*spec.indexed, spec.title])
-    rows = assemble(rows, spec.inputs)
+    rows = assemble(add_family(rows, spec.family), spec.inputs)
     return with_label(rows, spec.label).select(spec.key, spec.label, *spec.inputs, "features")

@@ -60,7 +60,8 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*",
                recursive: bool = False) -> DataFrame:
     """Files below ``path`` as rows (path, length, modificationTime).
 
-    The content column is pruned, so no file is opened.
+    The content column is pruned, so no file is opened.  As in any Spark scan, empty
+    files and names that start with ``_`` or ``.`` do not count as data.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
