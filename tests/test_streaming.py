@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidewell.sources import read_lake
 from tidewell.streaming import (
-    append_stream, count_words, decode_events, open_files, open_stream, read_word_counts,
-    start_word_count,
+    append_stream, count_words, decode_events, open_files, open_stream, print_stream,
+    read_word_counts, start_word_count,
 )
 
 TEXTS = ["a b", "b  c", " a", "b", None, "c c c"]
@@ -62,3 +62,11 @@ def test_append_sink_takes_each_row_once(spark, folder, tmp_path):
 def test_any_connector(spark):
     stream = open_stream(spark, "rate", rowsPerSecond=1)
     assert stream.isStreaming and stream.columns == ["timestamp", "value"]
+
+
+def test_printed_stream(spark, folder):
+    query = print_stream(open_files(spark, folder, "body string", files_per_batch=100))
+    query.processAllAvailable()
+    query.stop()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == len(TEXTS)
+    assert "Console" in query.lastProgress["sink"]["description"]

@@ -63,7 +63,6 @@ def parse_token(token: Column, type_tag: str, dash_as: int | None = MISSING_INT)
         return F.when(F.contains(token, F.lit("-")), F.lit(dash_as)).otherwise(number)
     if type_tag == "double":
         # A cast accepts a Java type suffix ("1.5f"); as data that is not a number.
-        tail = F.lower(F.substring(F.trim(token), -3, 3))
-        suffixed = (F.endswith(tail, F.lit("d")) | F.endswith(tail, F.lit("f"))) & (tail != "inf")
+        suffixed = token.rlike(r"[0-9.][dDfF]\s*$")
         return F.when(~suffixed, token.try_cast("double"))
     return token

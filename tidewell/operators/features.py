@@ -142,7 +142,7 @@ def index_strings(df: DataFrame, columns: Sequence[str], suffix: str = "_index",
         if name in few:
             continue
         own = counts.where(F.col("column_name") == name)
-        codes = rank_by_count(own, "value", "n", name + suffix)
+        codes = sized_for_broadcast(rank_by_count(own, "value", "n", name + suffix))
         found = F.coalesce(F.col(name + suffix),
                            F.raise_error(F.lit(f"null label in column {name}")))
         out = (out.join(codes, F.col(name) == F.col("value"), "left")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.session import scratch_dir
+from tidewell.sources.local import rows_from_list
 
 SEED = 11
 
@@ -106,5 +107,5 @@ def compare_classifiers(train: DataFrame, test: DataFrame, label: str = "label",
     finally:
         train.unpersist()
         test.unpersist()
-    return spark.createDataFrame(
-        rows, "model string, accuracy double, test_error double, majority_accuracy double")
+    return rows_from_list(
+        spark, rows, "model string, accuracy double, test_error double, majority_accuracy double")

@@ -32,10 +32,14 @@ class FeatureSpec:
     remap: Mapping[str, str] = field(default_factory=lambda: dict(TITLE_REMAP))
     # Fixed values per title group; without them the rounded group means are used.
     impute_values: Mapping[str, float] | None = None
+    # Feature columns in vector order, if another than the one below is wanted.
+    order: Sequence[str] = ()
 
     @property
     def inputs(self) -> list[str]:
         """Feature columns in vector order."""
+        if self.order:
+            return list(self.order)
         return [*self.numeric, self.impute, *self.family, "family_size", "alone",
                 *[f"{c}_index" for c in (*self.indexed, self.title)]]
 

@@ -21,8 +21,8 @@ def word_count(spark, sf_dir):
 
 
 def _stream(spark, sf_dir, name):
-    schema = table(spark, sf_dir, name).schema
-    return open_files(spark, sf_dir, schema, pattern=f"{name}.parquet")
+    # A glob, because a stream takes a plain path for a folder; the table may be either.
+    return open_files(spark, f"{sf_dir}/{name}[.]parquet", table(spark, sf_dir, name).schema)
 
 
 def _word_count_stream(spark, sf_dir, output_mode):

@@ -27,6 +27,12 @@ RUNTIME_CONF = {
 _roots: dict[str, str] = {}
 
 
+def is_local(spark: SparkSession) -> bool:
+    """True if driver and executors are one process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def build_session(app_name: str = "tidewell", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or get) a session with the settings the operators rely on."""
@@ -53,7 +59,7 @@ def shared_root(spark: SparkSession) -> str:
         return _roots[sc.applicationId]
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if base is None:
-        if not sc.master.startswith("local"):
+        if not is_local(spark):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="tidewell-")

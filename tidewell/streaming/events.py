@@ -15,14 +15,14 @@ def open_stream(spark: SparkSession, fmt: str, **options) -> DataFrame:
 
 
 def open_files(spark: SparkSession, path: str, schema: StructType | str,
-               fmt: str = "parquet", pattern: str = "*",
-               files_per_batch: int | None = None) -> DataFrame:
-    """Stream of the files that are in, or arrive in, a folder."""
-    reader = (spark.readStream.format(fmt).schema(schema)
-              .option("pathGlobFilter", pattern))
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+               fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
+    """Stream of the files that are in, or arrive in, a folder.
+
+    ``files_per_batch`` bounds a batch, and with it what has to be done again after a
+    failure.
+    """
+    return (spark.readStream.format(fmt).schema(schema)
+            .option("maxFilesPerTrigger", files_per_batch).load(path))
 
 
 def decode_events(events: DataFrame, offset: str = "offset", enqueued: str = "enqueuedTime",
@@ -36,6 +36,12 @@ def decode_events(events: DataFrame, offset: str = "offset", enqueued: str = "en
         F.col(body).cast("string").alias("Body"))
 
 
+def print_stream(stream: DataFrame) -> StreamingQuery:
+    """Print a stream as it comes in, in full; for a look at small streams."""
+    return (stream.writeStream.outputMode("append").format("console")
+            .option("truncate", False).start())
+
+
 def append_stream(stream: DataFrame, path: str, checkpoint: str,
                   available_now: bool = True) -> StreamingQuery:
     """Append a stream to a columnar table, each row exactly once.
