@@ -49,14 +49,15 @@ def build_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 
     Result: key, label, the feature columns and ``features``.  Several steps need a
     pass of their own over a few columns, so the columns in use are written to the
-    shared folder first and whatever made ``df`` runs only once.  The steps that
-    count labels come before the join with the group means, which they do not need.
+    shared folder first and whatever made ``df`` runs only once.  The text is left
+    behind there, only its title goes on.  The steps that count labels come before
+    the join with the group means, which they do not need.
     """
-    used = list(dict.fromkeys([spec.key, spec.label, spec.text, spec.impute, *spec.family,
+    used = list(dict.fromkeys([spec.key, spec.label, spec.title, spec.impute, *spec.family,
                                *spec.numeric, *spec.indexed, *spec.fill]))
-    rows = materialize(df.select(*used), "features")
+    titled = add_title(df, spec.text, spec.title, spec.remap)
+    rows = materialize(titled.select(*used), "features")
     rows = fill_mode(rows, spec.fill) if spec.fill else rows
-    rows = add_title(rows, spec.text, spec.title, spec.remap).drop(spec.text)
     rows = index_strings(rows, [*spec.indexed, spec.title])
     if spec.impute_values is None:
         rows = impute_group_mean(rows, spec.title, spec.impute)
