@@ -3,7 +3,7 @@ import os
 import pytest
 
 from tests.conftest import rows
-from tidewell.session import materialize, pin_session, scratch_dir, shared_root
+from tidewell.session import materialize, pin_session, scratch_dir, shared_root, with_conf
 
 
 def test_scratch_is_below_the_folder_the_session_names(spark):
@@ -42,3 +42,13 @@ def test_pinned_settings(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.ui.enabled") == "false"
     assert os.path.isdir(shared_root(spark))
+
+
+def test_settings_are_put_back(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError):
+        with with_conf(spark, spark__sql__shuffle__partitions=3):
+            assert spark.conf.get(key) == "3"
+            raise ValueError
+    assert spark.conf.get(key) == before

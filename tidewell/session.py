@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,11 +24,30 @@ RUNTIME_CONF = {
     # Streaming state lives off-heap and on disk, not in the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A batch uploads its changes, not its whole state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 _roots: dict[str, str] = {}
 
 
+@contextmanager
+def with_conf(spark: SparkSession, **settings) -> Iterator[None]:
+    """Runtime settings for the length of a ``with`` block; ``__`` stands for a dot."""
+    named = {key.replace("__", "."): str(value) for key, value in settings.items()}
+    before = {key: spark.conf.get(key, None) for key in named}
+    try:
+        for key, value in named.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def is_local(spark: SparkSession) -> bool:
     """True if driver and executors are one process."""
     master = spark.sparkContext.master

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.functions import words
+from tidewell.session import with_conf
 
 RESULT_SCHEMA = "word string, count bigint, batch_id bigint"
 
@@ -22,15 +23,21 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
 
 
 def start_word_count(stream: DataFrame, text: str, path: str, checkpoint: str,
-                     output_mode: str = "complete",
-                     available_now: bool = True) -> StreamingQuery:
+                     output_mode: str = "complete", available_now: bool = True,
+                     state_partitions: int | None = None) -> StreamingQuery:
     """Keep a table of word counts up to date; read it with ``read_word_counts``.
 
     ``complete`` writes the whole table in every batch.  ``update`` writes only the
     words whose count changed, which is what to use once the vocabulary is large.
     A batch overwrites its own folder, so a batch that is run again after a failure
     does no harm.
+
+    The state is spread over ``state_partitions``, by default one for each core of the
+    cluster.  Their number is fixed by the first start on a checkpoint folder, so it
+    should be chosen for the size that the vocabulary will reach.
     """
+    spark = stream.sparkSession
+    state_partitions = state_partitions or spark.sparkContext.defaultParallelism
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -39,7 +46,8 @@ def start_word_count(stream: DataFrame, text: str, path: str, checkpoint: str,
               .option("checkpointLocation", checkpoint).foreachBatch(store))
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    with with_conf(spark, spark__sql__shuffle__partitions=state_partitions):
+        return writer.start()
 
 
 def read_word_counts(spark: SparkSession, path: str,
