@@ -3,7 +3,7 @@ import math
 from tests.conftest import SF_DIR, rows
 from tidewell.operators import (
     column_summary, global_mean, group_count, group_mean, mean_between, non_null_count,
-    null_profile, row_count, top_rows,
+    null_profile, row_count, text_summary, top_rows,
 )
 from tidewell.plans.registry import table
 
@@ -54,6 +54,11 @@ def test_column_summary(spark):
     assert (b["count"], b["mean"], b["stddev"]) == (1, 2.0, None)
 
 
+def test_text_summary(spark):
+    df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3)], "s string, n int")
+    assert rows(text_summary(df)) == [("s", 2, "a", "b")]
+
+
 def test_top_rows_does_not_sort_everything(spark, plan_of):
     top = top_rows(table(spark, SF_DIR, "orders"), 3, ["o_orderkey"])
     assert "TakeOrderedAndProject" in plan_of(top)

@@ -9,7 +9,7 @@ from tests.conftest import rows
 from tidewell import catalog
 from tidewell.plans.history import daily_counts, dated, write_with_history
 from tidewell.sinks import (
-    WriteLedger, compact, export_csv, keyed_upsert, latest_per_key, partition_detail,
+    WriteLedger, compact, compact_table, export_csv, keyed_upsert, latest_per_key, partition_detail,
     table_detail, write_lake,
 )
 from tidewell.sources import read_lake
@@ -189,6 +189,25 @@ def test_move_single_partitions(spark, events, tmp_path):
     assert sum("/b/" in f for f in moved.inputFiles()) == 1
 
 
+def test_only_fragmented_partitions_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "id bigint, date string"
+    spark.range(0, 100, numPartitions=5).selectExpr("id", "'many' AS date").write.partitionBy(
+        "date").parquet(path)
+    spark.range(100, 200, numPartitions=1).selectExpr("id", "'one' AS date").write.mode(
+        "append").partitionBy("date").parquet(path)
+    lake = read_lake(spark, path, schema)
+    name = "unit_fragmented"
+    catalog.create_external_table(spark, name, path, lake.schema, ["date"])
+    after = compact_table(spark, name, "date", str(tmp_path / "c1"))
+    files = after.inputFiles()
+    assert len(files) == 2 and sum("/c1/date=many/" in f for f in files) == 1
+    assert rows(after) == rows(lake)
+    again = compact_table(spark, name, "date", str(tmp_path / "c2"))
+    assert sorted(again.inputFiles()) == sorted(files)
+    assert not (tmp_path / "c2").exists()
+
+
 def test_cached_table_is_released(spark):
     catalog.register_view(spark.range(10), "unit_cached")
     with catalog.cached_table(spark, "unit_cached") as table:

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ def test_word_count_over_several_batches(spark, folder, tmp_path, mode):
     assert len(query.recentProgress) >= 3
     batch = count_words(spark.read.parquet(folder), "body")
     assert rows(read_word_counts(spark, out, mode)) == rows(batch)
+    if mode == "complete":
+        assert len(os.listdir(out)) == 2
 
     # New files are taken up where the last run stopped.
     spark.createDataFrame([("z a",)], "body string").write.mode("append").parquet(folder)

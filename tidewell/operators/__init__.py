@@ -10,7 +10,7 @@ from tidewell.operators.joins import sized_for_broadcast
 from tidewell.operators.models import (
     CLASSIFIERS, accuracy, compare_classifiers, majority_accuracy, score, with_label,
 )
-from tidewell.operators.profile import column_summary, null_profile
+from tidewell.operators.profile import column_summary, null_profile, text_summary
 from tidewell.operators.rows import top_rows
 
 __all__ = [
@@ -18,6 +18,7 @@ __all__ = [
     "compare_classifiers", "feature_stages", "fill_by_group", "fill_mode", "frequency_index",
     "global_mean", "group_count", "group_mean", "hash_split", "impute_group_mean", "index_strings",
     "majority_accuracy", "mean_between", "non_null_count", "null_profile", "random_split",
-    "remap_values", "row_count", "score", "sized_for_broadcast", "top_rows",
+    "remap_values", "row_count", "score", "sized_for_broadcast", "text_summary",
+    "top_rows",
     "value_counts", "with_label",
 ]

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
 
 def null_profile(df: DataFrame, column_name: str = "column_name",
@@ -17,6 +17,17 @@ def null_profile(df: DataFrame, column_name: str = "column_name",
             .where(F.col(count_name) > 0))
 
 
+def text_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """count, min and max of text columns, one row per column."""
+    if columns is None:
+        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    stats = [F.struct(F.lit(name).alias("column_name"),
+                      F.count(F.col(f"`{name}`")).alias("count"),
+                      F.min(F.col(f"`{name}`")).alias("min"),
+                      F.max(F.col(f"`{name}`")).alias("max")) for name in columns]
+    return df.agg(F.array(*stats).alias("_stats")).select(F.inline("_stats"))
+
+
 def column_summary(df: DataFrame, columns: Sequence[str] | None = None,
                    digits: int | None = None) -> DataFrame:
     """count, mean, sample standard deviation, min and max of numeric columns, one

@@ -90,7 +90,7 @@ def title_normalize(spark, sf_dir):
     SELECT d.doc_id, coalesce(l.quality, (
         SELECT quality FROM labels JOIN documents USING (doc_id)
         GROUP BY quality ORDER BY count(*) DESC, quality LIMIT 1)) AS quality
-    FROM documents d LEFT JOIN labels l USING (doc_id)""")
+    FROM documents d LEFT JOIN labels l USING (doc_id)""", name="fill_mode")
 def fill_mode_quality(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -160,14 +160,14 @@ def assemble_features(spark, sf_dir):
 @query("""
     SELECT o_orderkey, CAST(CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)
       AS BIGINT) % 100 < 80 AS INTEGER) AS is_train
-    FROM orders""")
+    FROM orders""", name="hash_split")
 def hash_split_orders(spark, sf_dir):
     """Every order with the side it falls on."""
     marked = hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
     return marked.withColumn("is_train", F.col("is_train").cast("int"))
 
 
-@query("SELECT count(*) AS n_orders, 1 AS near_80_percent FROM orders")
+@query("SELECT count(*) AS n_orders, 1 AS near_80_percent FROM orders", name="random_split")
 def random_split_orders(spark, sf_dir):
     """Both parts together hold every order; the share is right within five points."""
     train, test = random_split(table(spark, sf_dir, "orders").select("o_orderkey"))

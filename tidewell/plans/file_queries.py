@@ -8,7 +8,8 @@ from tidewell.plans.history import daily_counts, dated, write_with_history
 from tidewell.plans.registry import query, table
 from tidewell.session import scratch_dir
 from tidewell.sinks import (
-    WriteLedger, compact, export_csv, keyed_upsert, partition_detail, table_detail, write_lake,
+    WriteLedger, compact, compact_table, export_csv, file_detail, keyed_upsert,
+    partition_detail, table_detail, write_lake,
 )
 from tidewell.sources import (
     list_files, read_csv, read_header, read_json, read_projected, read_typed_text,
@@ -130,11 +131,26 @@ def compact_partitions(spark, sf_dir):
     return rows.join(files, "date")
 
 
+@query(_WITH_HISTORY + """
+    SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n_events,
+           CAST(1 AS BIGINT) AS num_files
+    FROM both_parts GROUP BY 1""")
+def compact_fragmented(spark, sf_dir):
+    """Only the partitions with too many files are rewritten, and moved in the catalog."""
+    path = scratch_dir(spark, "lake")
+    lake = write_with_history(_timed_events(spark, sf_dir), path)
+    catalog.create_external_table(spark, "events_fragmented", path, lake.schema, ["date"])
+    table_now = compact_table(spark, "events_fragmented", "date",
+                              scratch_dir(spark, "compacted"))
+    return (file_detail(table_now, ["date"]).groupBy("date")
+            .agg(F.sum("num_rows").alias("n_events"), F.count(F.lit(1)).alias("num_files")))
+
+
 @query("""
     SELECT 'parquet' AS format, 'date' AS partition_columns,
            count(DISTINCT strftime(ts, '%Y-%m-%d')) AS num_partitions,
            count(DISTINCT strftime(ts, '%Y-%m-%d')) AS num_files, 1 AS has_bytes
-    FROM events""")
+    FROM events""", name="table_detail")
 def table_detail_report(spark, sf_dir):
     """From the directory listing alone.  The size itself depends on the machine."""
     path = scratch_dir(spark, "lake")
@@ -222,7 +238,7 @@ _TARGET = "o_orderdate < TIMESTAMP '1999-01-01'"
       FROM lineitem)
     SELECT * FROM target WHERE order_key NOT IN (SELECT order_key FROM ranked)
     UNION ALL
-    SELECT order_key, status, amount FROM ranked WHERE place = 1""")
+    SELECT order_key, status, amount FROM ranked WHERE place = 1""", name="keyed_upsert")
 def keyed_upsert_orders(spark, sf_dir):
     """The order book of 1998 brought up to date by the feed of all order lines.
 

@@ -22,15 +22,17 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
-def query(sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
-    """Register a function under its own name, with the SQL that gives the same rows."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[QueryFn], QueryFn]:
+    """Register a function, by default under its own name, with the SQL that gives the
+    same rows."""
 
     def add(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(pin_session(spark), sf_dir)
 
         run.__doc__ = fn.__doc__
-        REGISTRY[fn.__name__] = Query(fn.__name__, run, sql)
+        key = name or fn.__name__
+        REGISTRY[key] = Query(key, run, sql)
         return run
 
     return add

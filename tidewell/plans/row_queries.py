@@ -6,7 +6,7 @@ from tidewell.catalog import cached_table, register_view
 from tidewell.functions import epoch_seconds
 from tidewell.operators import (
     column_summary, group_count, group_mean, mean_between, null_profile, remap_values,
-    row_count, top_rows,
+    row_count, text_summary, top_rows,
 )
 from tidewell.plans.history import daily_counts_of_raw
 from tidewell.plans.registry import query, table
@@ -103,7 +103,7 @@ def _summary_sql(source, columns):
 SUMMARISED = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@query(_summary_sql("lineitem", SUMMARISED))
+@query(_summary_sql("lineitem", SUMMARISED), name="column_summary")
 def column_summary_numeric(spark, sf_dir):
     return column_summary(table(spark, sf_dir, "lineitem"), SUMMARISED, digits=4)
 
@@ -113,6 +113,16 @@ def column_summary_one(spark, sf_dir):
     return column_summary(table(spark, sf_dir, "orders"), ["o_totalprice"], digits=4)
 
 
+_TEXTS = ["o_orderstatus", "o_orderpriority"]
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS count, min({c}) AS min, max({c}) AS max "
+    "FROM orders" for c in _TEXTS))
+def column_summary_text(spark, sf_dir):
+    return text_summary(table(spark, sf_dir, "orders"), _TEXTS)
+
+
 @query("""
     SELECT column_name, null_count FROM (
       SELECT 'quality' AS column_name, count(*) - count(l.quality) AS null_count
@@ -124,7 +134,7 @@ def column_summary_one(spark, sf_dir):
       SELECT 'text', count(*) - count(d.text) FROM documents d
       UNION ALL
       SELECT 'lang', count(*) - count(d.lang) FROM documents d)
-    WHERE null_count > 0""")
+    WHERE null_count > 0""", name="null_profile")
 def null_profile_labels(spark, sf_dir):
     """Documents without a label have null label columns after the join."""
     documents = table(spark, sf_dir, "documents")

@@ -1,9 +1,11 @@
 from tidewell.sinks.files import export_csv, write_lake
 from tidewell.sinks.ledger import WriteLedger
-from tidewell.sinks.maintenance import compact, partition_detail, table_detail
+from tidewell.sinks.maintenance import (
+    compact, compact_table, file_detail, partition_detail, table_detail,
+)
 from tidewell.sinks.upsert import keyed_upsert, latest_per_key
 
 __all__ = [
-    "WriteLedger", "compact", "export_csv", "keyed_upsert", "latest_per_key",
-    "partition_detail", "table_detail", "write_lake",
+    "WriteLedger", "compact", "compact_table", "export_csv", "file_detail", "keyed_upsert",
+    "latest_per_key", "partition_detail", "table_detail", "write_lake",
 ]

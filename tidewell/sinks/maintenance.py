@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.catalog import move_partitions
 from tidewell.sinks.files import write_lake
 from tidewell.sinks.ledger import WriteLedger
 
@@ -38,13 +39,46 @@ def table_detail(spark: SparkSession, path: str,
         F.coalesce(F.sum("size_in_bytes"), F.lit(0)).cast("bigint").alias("size_in_bytes"))
 
 
+def file_detail(table: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bytes and rows of every file that a table reads at present.
+
+    Unlike a listing this follows a catalog table whose partitions have been moved.  No
+    data column is read, only the row counts of the files.
+    """
+    return (table.groupBy(*partition_by, F.col("_metadata.file_path").alias("path"),
+                          F.col("_metadata.file_size").alias("size_in_bytes"))
+            .agg(F.count(F.lit(1)).alias("num_rows")))
+
+
 def compact(table: DataFrame, target: str, partition_by: Sequence[str],
             ledger: WriteLedger | None = None) -> DataFrame:
     """Rewrite a table of many small files into files of the advisory size.
 
     The result goes to a new folder, so that readers of the old one are not
-    disturbed; point the catalog table at it with ``catalog.move_table`` or, to
-    compact only some partitions, pass those and use ``catalog.move_partitions``.
+    disturbed; point the catalog table at it with ``catalog.move_table``.  To rewrite
+    no more than needed, use ``compact_table``.
     """
     return write_lake(table, target, partition_by, mode="errorifexists", rebalance=True,
                       ledger=ledger)
+
+
+def compact_table(spark: SparkSession, name: str, column: str, target: str,
+                  file_bytes: int = 256 * 1024 * 1024,
+                  ledger: WriteLedger | None = None) -> DataFrame:
+    """Compact the partitions of a catalog table that have more files than their size
+    asks for, and let the table point at the new ones.
+
+    The other partitions are neither read nor written.  What comes to the driver is the
+    list of partition values to rewrite.
+    """
+    table = spark.table(name)
+    parts = (file_detail(table, [column]).groupBy(column)
+             .agg(F.count(F.lit(1)).alias("num_files"), F.sum("size_in_bytes").alias("bytes"))
+             .where(F.col(column).isNotNull()
+                    & (F.col("num_files") > F.ceil(F.col("bytes") / F.lit(file_bytes)))))
+    values = [row[0] for row in parts.select(F.col(column).cast("string")).collect()]
+    if not values:
+        return table
+    compact(table.where(F.col(column).cast("string").isin(values)), target, [column], ledger)
+    return move_partitions(spark, name, column,
+                           {value: f"{target}/{column}={value}" for value in values})

@@ -22,12 +22,17 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
             .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
 
 
+def _drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={batch_id}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def start_word_count(stream: DataFrame, text: str, path: str, checkpoint: str,
                      output_mode: str = "complete", available_now: bool = True,
                      state_partitions: int | None = None) -> StreamingQuery:
     """Keep a table of word counts up to date; read it with ``read_word_counts``.
 
-    ``complete`` writes the whole table in every batch.  ``update`` writes only the
+    ``complete`` writes the whole table in every batch and keeps the last two versions.  ``update`` writes only the
     words whose count changed, which is what to use once the vocabulary is large.
     A batch overwrites its own folder, so a batch that is run again after a failure
     does no harm.
@@ -41,6 +46,8 @@ def start_word_count(stream: DataFrame, text: str, path: str, checkpoint: str,
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if output_mode == "complete":
+            _drop_batch(spark, path, batch_id - 2)
 
     writer = (count_words(stream, text).writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint).foreachBatch(store))
