@@ -101,17 +101,19 @@ def test_impute_of_a_hot_group_without_broadcast_splits_it(spark, plan_of):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_fill_mode(spark):
+@pytest.mark.parametrize("now", [False, True])
+def test_fill_mode(spark, now):
     df = spark.createDataFrame(
         [(1, "b", 5), (2, "a", None), (3, None, None), (4, "b", 7), (5, "a", 7)],
         "id int, s string, n int")
-    assert rows(fill_mode(df, ["s", "n"])) == [
+    assert rows(fill_mode(df, ["s", "n"], now)) == [
         (1, "b", 5), (2, "a", 7), (3, "a", 7), (4, "b", 7), (5, "a", 7)]
 
 
 def test_fill_mode_of_an_empty_column_leaves_nulls(spark):
     df = spark.createDataFrame([(1, None)], "id int, s string")
     assert rows(fill_mode(df, ["s"])) == [(1, None)]
+    assert rows(fill_mode(df, ["s"], now=True)) == [(1, None)]
 
 
 def test_family(people):

@@ -57,19 +57,28 @@ def impute_group_mean(df: DataFrame, group: str, column: str, digits: int = 0,
             .select(*df.columns))
 
 
-def fill_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill nulls with the most frequent value; the smallest one among equals.
+def mode(df: DataFrame, column: str) -> DataFrame:
+    """The most frequent value of a column, the smallest one among equals; one row.
 
-    The value is a scalar subquery: a count per distinct value, of which the top one
-    is kept, so nothing but that value leaves the executors.
+    A count per distinct value, of which every task keeps its top one, so nothing but
+    that value leaves the executors.  No row if all values are null.
     """
-    filled = {}
-    for name in columns:
-        top = (df.where(F.col(name).isNotNull()).groupBy(name)
-               .agg(F.count(F.lit(1)).alias("_n"))
-               .orderBy(F.desc("_n"), F.asc(name)).limit(1).select(name))
-        filled[name] = F.coalesce(F.col(name), top.scalar())
-    return df.withColumns(filled)
+    return (df.where(F.col(column).isNotNull()).groupBy(column)
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .orderBy(F.desc("_n"), F.asc(column)).limit(1).select(column))
+
+
+def fill_mode(df: DataFrame, columns: Sequence[str], now: bool = False) -> DataFrame:
+    """Fill nulls with the most frequent value of the column.
+
+    By default the value is a subquery of the result.  With ``now`` it is found at once
+    and put in as a constant, which saves the subquery when the result is read often.
+    """
+    if now:
+        tops = {name: mode(df, name).first() for name in columns}
+        return df.na.fill({name: top[0] for name, top in tops.items() if top is not None})
+    return df.withColumns({name: F.coalesce(F.col(name), mode(df, name).scalar())
+                           for name in columns})
 
 
 def add_family(df: DataFrame, parts: Sequence[str], size: str = "family_size",

@@ -57,7 +57,7 @@ def build_features(df: DataFrame, spec: FeatureSpec) -> DataFrame:
                                *spec.numeric, *spec.indexed, *spec.fill]))
     titled = add_title(df, spec.text, spec.title, spec.remap)
     rows = materialize(titled.select(*used), "features")
-    rows = fill_mode(rows, spec.fill) if spec.fill else rows
+    rows = fill_mode(rows, spec.fill, now=True) if spec.fill else rows
     rows = index_strings(rows, [*spec.indexed, spec.title])
     if spec.impute_values is None:
         rows = impute_group_mean(rows, spec.title, spec.impute)
