@@ -183,19 +183,27 @@ def external_table_count(spark, sf_dir):
     return spark.sql("SELECT count(*) AS n_events FROM events_external")
 
 
-@query()
-def describe_table(spark, sf_dir):
-    """Formatted description; it names folders and times, so there is no SQL twin."""
-    catalog.create_external_table(spark, "events_described", f"{sf_dir}/events.parquet",
-                                  table(spark, sf_dir, "events").schema)
-    return catalog.describe_table(spark, "events_described")
-
-
-@query("""
+def _described_sql(name):
+    return f"""
     SELECT column_name AS col_name,
            CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string'
              WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS data_type
-    FROM (DESCRIBE orders)""")
+    FROM (DESCRIBE {name})"""
+
+
+@query(_described_sql("events") + """
+    UNION ALL SELECT 'Type', 'EXTERNAL' UNION ALL SELECT 'Provider', 'parquet'
+    UNION ALL SELECT 'Table', 'events_described'""")
+def describe_table(spark, sf_dir):
+    """Formatted description, without the lines that name folders, times and versions."""
+    schema = table(spark, sf_dir, "events").schema
+    catalog.create_external_table(spark, "events_described", f"{sf_dir}/events.parquet", schema)
+    return (catalog.describe_table(spark, "events_described")
+            .where(F.col("col_name").isin(*schema.names, "Type", "Provider", "Table"))
+            .select("col_name", "data_type"))
+
+
+@query(_described_sql("orders"))
 def describe_columns(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     catalog.create_external_table(spark, "orders_described", f"{sf_dir}/orders.parquet",
