@@ -1,5 +1,6 @@
 """Classifiers on labelled documents."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidewell.operators import (
@@ -63,14 +64,22 @@ def _label_index_sql(column):
       SELECT label AS prediction, ln((n + 1) / (sum(n) OVER () + count(*) OVER ())) AS prior,
              ln((s1 + 1) / (s + 4)) AS w1, ln((s2 + 1) / (s + 4)) AS w2,
              ln((s3 + 1) / (s + 4)) AS w3, ln((s4 + 1) / (s + 4)) AS w4
-      FROM sums)
-    SELECT doc_id, arg_max(prediction, prior + x1 * w1 + x2 * w2 + x3 * w3 + x4 * w4)
-             AS prediction, label
-    FROM vectors CROSS JOIN weights WHERE NOT is_train GROUP BY doc_id, label""")
+      FROM sums),
+    scores AS (
+      SELECT doc_id, label, prediction,
+             prior + x1 * w1 + x2 * w2 + x3 * w3 + x4 * w4 AS score
+      FROM vectors CROSS JOIN weights WHERE NOT is_train)
+    SELECT doc_id, label, arg_max(prediction, score) AS prediction,
+           round(max(score) FILTER (WHERE prediction = 0), 4) AS score_0,
+           round(max(score) FILTER (WHERE prediction = 1), 4) AS score_1
+    FROM scores GROUP BY doc_id, label""")
 def naive_bayes_predictions(spark, sf_dir):
-    """Naive Bayes has a closed form, so its predictions have a SQL twin."""
+    """Naive Bayes has a closed form, so its scores per class have a SQL twin."""
     train, test = _train_and_test(spark, sf_dir)
-    return score(fit("naive_bayes", train), test, keep=["doc_id"]).drop("features")
+    scored = score(fit("naive_bayes", train), test, keep=["doc_id", "rawPrediction"])
+    raw = vector_to_array("rawPrediction")
+    return scored.select("doc_id", "label", "prediction", F.round(raw[0], 4).alias("score_0"),
+                         F.round(raw[1], 4).alias("score_1"))
 
 
 @query("""
