@@ -131,6 +131,21 @@ def test_upsert(spark, book):
     assert merged.columns == ["id", "name"]
 
 
+def test_upsert_again_changes_nothing(spark, book):
+    source = spark.createDataFrame([(2, "B", 1), (4, "d", 1)], "id int, name string, seq int")
+    once = keyed_upsert(book, source, ["id"], ["seq"])
+    assert rows(keyed_upsert(once, source, ["id"], ["seq"])) == rows(once)
+
+
+def test_upsert_by_two_keys_and_two_orders(spark):
+    target = spark.createDataFrame([(1, "x", 0.5), (1, "y", 0.5)], "a int, b string, v double")
+    source = spark.createDataFrame(
+        [(1, "x", 1.0, 2, 1), (1, "x", 2.0, 1, 9), (2, "x", 3.0, 1, 1), (1, "x", 4.0, 2, 2)],
+        "a int, b string, v double, day int, seq int")
+    merged = keyed_upsert(target, source, ["a", "b"], ["day", "seq"])
+    assert rows(merged) == [(1, "x", 4.0), (1, "y", 0.5), (2, "x", 3.0)]
+
+
 def test_upsert_with_nothing_changes_nothing(spark, book):
     source = spark.createDataFrame([], "id int, name string, seq int")
     assert rows(keyed_upsert(book, source, ["id"], ["seq"])) == rows(book)

@@ -42,6 +42,23 @@ def test_word_count_over_several_batches(spark, folder, tmp_path, mode):
     assert rows(read_word_counts(spark, out, mode)) == rows(batch)
 
 
+@pytest.mark.parametrize("mode", ["complete", "update"])
+def test_a_batch_that_runs_again_does_no_harm(spark, folder, tmp_path, mode):
+    """As after a driver that died between writing a batch and recording it."""
+    out, state = str(tmp_path / "out"), tmp_path / "state"
+    for _ in range(2):
+        stream = open_files(spark, folder, "body string", files_per_batch=3)
+        query = start_word_count(stream, "body", out, str(state), mode)
+        query.awaitTermination()
+        counted = rows(read_word_counts(spark, out, mode))
+        assert counted == rows(count_words(spark.read.parquet(folder), "body"))
+        last = max((f for f in (state / "commits").iterdir() if f.name.isdigit()),
+                   key=lambda f: int(f.name))
+        last.unlink()
+        (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    assert any(p["numInputRows"] > 0 for p in query.recentProgress)
+
+
 def test_decode(spark):
     raw = spark.createDataFrame([("12", 1469501107, b"hello")],
                                 "offset string, enqueuedTime bigint, body binary")

@@ -142,7 +142,7 @@ def index_strings(df: DataFrame, columns: Sequence[str], suffix: str = "_index",
     if few:
         labels: dict[str, list[str]] = {c: [] for c in few}
         for row in (counts.where(F.col("column_name").isin(few))
-                    .orderBy("column_name", F.desc("n"), "value").toLocalIterator()):
+                    .orderBy("column_name", F.desc("n"), "value").collect()):
             labels[row["column_name"]].append(row["value"])
         indexers = [StringIndexerModel.from_labels(labels[c], c, c + suffix, "error")
                     for c in few]

@@ -28,7 +28,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[QueryFn]
 
     def add(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(pin_session(spark), sf_dir)
+            return fn(pin_session(spark), str(sf_dir).rstrip("/"))
 
         run.__doc__ = fn.__doc__
         key = name or fn.__name__
@@ -39,7 +39,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[QueryFn]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def load_all() -> dict[str, Query]:
