@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -11,7 +13,9 @@ from tidewell.operators import (
     sized_for_broadcast,
 )
 from tidewell.plans.feature_build import FeatureSpec, build_features
+from tidewell.plans.jdbc_queries import DERBY_DRIVER
 from tidewell.session import with_conf
+from tidewell.sources import read_table, write_table
 
 PEOPLE = [
     (1, True, 3, "Hill, Mr. Tom", "male", 22.0, 1, 0, 7.25, "S"),
@@ -195,6 +199,29 @@ SPEC = FeatureSpec(key="id", label="survived", text="name", impute="age",
                    indexed=["sex", "port"], fill=["port"], impute_values=TITLE_MEAN_AGES)
 
 
+@pytest.mark.parametrize("values", [TITLE_MEAN_AGES, None])
+def test_build_features_from_a_database(spark, people, values):
+    """Database types: bit label, decimal age and fare."""
+    url, properties = "jdbc:derby:memory:people;create=true", {"driver": DERBY_DRIVER}
+    typed = people.withColumns({"age": F.col("age").cast("decimal(4,2)"),
+                                "fare": F.col("fare").cast("decimal(8,4)"),
+                                # This database takes no null text from Spark.
+                                "port": F.coalesce("port", F.lit("-"))})
+    write_table(typed, url, "people", properties,
+                "name VARCHAR(82), sex VARCHAR(6), port VARCHAR(1)")
+    stored = read_table(spark, url, "people", properties)
+    assert dict(stored.dtypes)["survived"] == "boolean"
+    assert dict(stored.dtypes)["age"] == "decimal(4,2)"
+    # The one in group Other has no known age to take a mean of.
+    stored = stored.where("id <> 6").replace({"-": None}, subset=["port"])
+    spec = replace(SPEC, impute_values=values)
+    vectors = {r["id"]: r["features"].toArray().tolist()
+               for r in build_features(stored, spec).collect()}
+    plain = {r["id"]: r["features"].toArray().tolist()
+             for r in build_features(people.where("id <> 6"), spec).collect()}
+    assert vectors == plain
+
+
 def test_build_features(people):
     built = build_features(people, SPEC)
     assert built.columns == ["id", "survived", *SPEC.inputs, "features"]

@@ -32,10 +32,10 @@ def start_word_count(stream: DataFrame, text: str, path: str, checkpoint: str,
                      state_partitions: int | None = None) -> StreamingQuery:
     """Keep a table of word counts up to date; read it with ``read_word_counts``.
 
-    ``complete`` writes the whole table in every batch and keeps the last two versions.  ``update`` writes only the
-    words whose count changed, which is what to use once the vocabulary is large.
-    A batch overwrites its own folder, so a batch that is run again after a failure
-    does no harm.
+    ``complete`` writes the whole table in every batch and keeps the last two versions.
+    ``update`` writes only the words whose count changed, which is what to use once the
+    vocabulary is large.  A batch overwrites its own folder, so a batch that is run
+    again after a failure does no harm.
 
     The state is spread over ``state_partitions``, by default one for each core of the
     cluster.  Their number is fixed by the first start on a checkpoint folder, so it
