@@ -10,7 +10,7 @@ from tidewell import catalog
 from tidewell.plans.history import daily_counts, dated, write_with_history
 from tidewell.sinks import (
     WriteLedger, compact, compact_table, export_csv, keyed_upsert, latest_per_key, partition_detail,
-    table_detail, write_lake,
+    table_detail, upsert_table, write_lake,
 )
 from tidewell.sources import read_lake
 
@@ -63,8 +63,8 @@ def test_ledger(spark, events, tmp_path):
     history = ledger.read()
     assert rows(history, "version", "operation", "mode", "partition_by", "num_rows") == [
         (0, "WRITE", "overwrite", "date", 4), (1, "WRITE", "append", "date", 4),
-        (2, "WRITE", "errorifexists", "date", 8)]
-    assert history.where("written_at IS NULL").count() == 0
+        (2, "COMPACT", "errorifexists", "date", 8)]
+    assert history.where("written_at IS NULL OR written_by IS NULL").count() == 0
 
 
 def test_compaction_keeps_the_rows(spark, tmp_path):
@@ -146,6 +146,24 @@ def test_upsert_by_two_keys_and_two_orders(spark):
     assert rows(merged) == [(1, "x", 4.0), (1, "y", 0.5), (2, "x", 3.0)]
 
 
+def test_upsert_table(spark, book, tmp_path):
+    ledger = WriteLedger(spark, str(tmp_path / "ledger"))
+    rows_by_kind = book.withColumn("kind", F.lit("k"))
+    stored = write_lake(rows_by_kind, str(tmp_path / "a"), ["kind"])
+    catalog.create_external_table(spark, "unit_book", str(tmp_path / "a"), stored.schema,
+                                  ["kind"])
+    source = spark.createDataFrame([(3, "C", "m", 1), (9, "i", "k", 1)],
+                                   "id int, name string, kind string, seq int")
+    after = upsert_table(spark, "unit_book", source, ["id"], ["seq"], str(tmp_path / "b"),
+                         ["kind"], ledger)
+    assert rows(after) == [(1, "a", "k"), (2, "b", "k"), (3, "C", "m"), (9, "i", "k")]
+    assert rows(ledger.read(), "operation", "num_rows") == [("UPSERT", 4)]
+    with pytest.raises(PySparkException, match="null in key"):
+        upsert_table(spark, "unit_book", source.withColumn("id", F.lit(None).cast("int")),
+                     ["id"], ["seq"], str(tmp_path / "c"), ["kind"])
+    assert rows(spark.table("unit_book")) == rows(after)
+
+
 def test_upsert_with_nothing_changes_nothing(spark, book):
     source = spark.createDataFrame([], "id int, name string, seq int")
     assert rows(keyed_upsert(book, source, ["id"], ["seq"])) == rows(book)

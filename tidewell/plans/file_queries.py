@@ -8,8 +8,8 @@ from tidewell.plans.history import daily_counts, dated, write_with_history
 from tidewell.plans.registry import query, table
 from tidewell.session import scratch_dir
 from tidewell.sinks import (
-    WriteLedger, compact, compact_table, export_csv, file_detail, keyed_upsert,
-    partition_detail, table_detail, write_lake,
+    WriteLedger, compact, compact_table, export_csv, file_detail, partition_detail,
+    table_detail, upsert_table, write_lake,
 )
 from tidewell.sources import (
     list_files, read_csv, read_header, read_json, read_projected, read_typed_text,
@@ -168,7 +168,7 @@ def table_detail_report(spark, sf_dir):
 def write_ledger(spark, sf_dir):
     ledger = WriteLedger(spark, scratch_dir(spark, "ledger"))
     write_with_history(_timed_events(spark, sf_dir), scratch_dir(spark, "lake"), ledger=ledger)
-    return ledger.read().drop("written_at")
+    return ledger.read().drop("written_at", "written_by")
 
 
 def _events_table(spark, sf_dir, name):
@@ -259,11 +259,9 @@ def keyed_upsert_orders(spark, sf_dir):
         F.col("o_totalprice").alias("amount"))
     path = scratch_dir(spark, "book")
     stored = write_lake(book, path)
-    target = catalog.create_external_table(spark, "order_book", path, stored.schema)
+    catalog.create_external_table(spark, "order_book", path, stored.schema)
     feed = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_key"), F.col("l_linestatus").alias("status"),
         F.col("l_extendedprice").alias("amount"), "l_shipdate", "l_linenumber")
-    merged = keyed_upsert(target, feed, ["order_key"], ["l_shipdate", "l_linenumber"])
-    renewed = scratch_dir(spark, "book")
-    write_lake(merged, renewed)
-    return catalog.move_table(spark, "order_book", renewed)
+    return upsert_table(spark, "order_book", feed, ["order_key"],
+                        ["l_shipdate", "l_linenumber"], scratch_dir(spark, "book"))

@@ -13,7 +13,7 @@ from tidewell.sources.files import read_lake
 
 def write_lake(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                mode: str = "overwrite", rebalance: bool = True,
-               ledger: WriteLedger | None = None) -> DataFrame:
+               ledger: WriteLedger | None = None, operation: str = "WRITE") -> DataFrame:
     """Write a columnar table and return it freshly read.
 
     A DataFrame made over a path before a write does not see the new files, hence
@@ -39,7 +39,7 @@ def write_lake(df: DataFrame, path: str, partition_by: Sequence[str] = (),
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     if ledger is not None:
-        ledger.record("WRITE", mode, partition_by, counted.get["num_rows"])
+        ledger.record(operation, mode, partition_by, counted.get["num_rows"])
     return read_lake(df.sparkSession, path, df.schema)
 
 

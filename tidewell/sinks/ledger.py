@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LEDGER_SCHEMA = ("version bigint, written_at timestamp, operation string, mode string, "
-                 "partition_by string, num_rows bigint")
+LEDGER_SCHEMA = ("version bigint, written_at timestamp, written_by string, operation string, "
+                 "mode string, partition_by string, num_rows bigint")
 
 
 class WriteLedger:
@@ -27,6 +27,7 @@ class WriteLedger:
         row = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"),
             F.current_timestamp().alias("written_at"),
+            F.current_user().alias("written_by"),
             F.lit(operation).alias("operation"),
             F.lit(mode).alias("mode"),
             F.lit(",".join(partition_by)).alias("partition_by"),
@@ -34,6 +35,7 @@ class WriteLedger:
         row.write.mode("append").parquet(self.path)
 
     def read(self) -> DataFrame:
+        """Who wrote what and when, in no particular order."""
         return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
 
     def _next_version(self) -> int:

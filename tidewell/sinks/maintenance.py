@@ -59,7 +59,7 @@ def compact(table: DataFrame, target: str, partition_by: Sequence[str],
     no more than needed, use ``compact_table``.
     """
     return write_lake(table, target, partition_by, mode="errorifexists", rebalance=True,
-                      ledger=ledger)
+                      ledger=ledger, operation="COMPACT")
 
 
 def compact_table(spark: SparkSession, name: str, column: str, target: str,

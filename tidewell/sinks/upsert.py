@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.catalog import move_table
+from tidewell.sinks.files import write_lake
+from tidewell.sinks.ledger import WriteLedger
+
 
 def _require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     checked = {
@@ -47,3 +51,18 @@ def keyed_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     untouched = target.join(changed, list(keys), "left_anti")
     latest = latest_per_key(source, keys, order_by)
     return untouched.select(*target.columns).unionByName(latest.select(*target.columns))
+
+
+def upsert_table(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str],
+                 order_by: Sequence[str], path: str, partition_by: Sequence[str] = (),
+                 ledger: WriteLedger | None = None) -> DataFrame:
+    """Upsert into a catalog table.
+
+    The result is written to the new folder ``path`` and the table then points there:
+    a plain file table cannot be read and overwritten at once, and a job that fails
+    half-way leaves the table as it was.
+    """
+    merged = keyed_upsert(spark.table(name), source, keys, order_by)
+    write_lake(merged, path, partition_by, mode="errorifexists", ledger=ledger,
+               operation="UPSERT")
+    return move_table(spark, name, path, partitioned=bool(partition_by))
