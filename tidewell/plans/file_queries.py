@@ -1,9 +1,13 @@
 """File sources and sinks, table housekeeping, catalog."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell import catalog
 from tidewell.functions import epoch_seconds
+from tidewell.operators import row_count
 from tidewell.plans.history import daily_counts, dated, write_with_history
 from tidewell.plans.registry import query, table
 from tidewell.session import scratch_dir
@@ -213,10 +217,11 @@ def describe_columns(spark, sf_dir):
 
 
 @query("""
-    SELECT 'tidewell_listing' AS database_name, unnest(['events_listed', 'orders_listed'])
-      AS table_name""")
+    SELECT 'tidewell_listing' AS database_name, 'events_listed' AS table_name,
+           count(*) AS n_rows FROM events
+    UNION ALL SELECT 'tidewell_listing', 'orders_listed', count(*) FROM orders""")
 def catalog_listing(spark, sf_dir):
-    """Tables of a database of our own, one dropped again."""
+    """Tables of a database of our own, one dropped again, with their rows."""
     database = "tidewell_listing"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} "
               f"LOCATION '{scratch_dir(spark, 'database')}'")
@@ -227,9 +232,13 @@ def catalog_listing(spark, sf_dir):
     catalog.drop_table(spark, f"{database}.labels_listed")
     databases = catalog.list_databases(spark).where(F.col("namespace") == database)
     tables = catalog.list_tables(spark, database).where(~F.col("isTemporary"))
-    return (tables.join(databases, "namespace", "left_semi")
-            .select(F.col("namespace").alias("database_name"),
-                    F.col("tableName").alias("table_name")))
+    listed = (tables.join(databases, "namespace", "left_semi")
+              .select(F.col("namespace").alias("database_name"),
+                      F.col("tableName").alias("table_name")))
+    counts = [row_count(spark.table(f"{database}.{name}_listed"), "n_rows")
+              .withColumn("table_name", F.lit(f"{name}_listed"))
+              for name in ("events", "orders")]
+    return listed.join(reduce(DataFrame.unionByName, counts), "table_name")
 
 
 _TARGET = "o_orderdate < TIMESTAMP '1999-01-01'"
