@@ -6,9 +6,11 @@ import pytest
 import __spark_entry__ as contract
 from tests.conftest import SF_DIR
 from tidewell.plans.file_queries import TABLES
+from tidewell.plans.registry import load_all
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+OWN = load_all()
+QUERIES = {name: fn for name, fn in contract.queries().items() if name in OWN}
+SQL = {name: sql for name, sql in contract.oracle_sql().items() if name in OWN}
 DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
 
