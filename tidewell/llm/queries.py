@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import fold, read_table
+from tidewell.llm.near_duplicates import near_duplicates
 from tidewell.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -24,5 +25,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("worst.start").alias("worst_start"), F.col("worst.end").alias("worst_end"))
 
 
-QUERIES = {"op7_toxicity": op7_toxicity}
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose 4-word shingle sets reach a similarity of 0.8."""
+    return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+QUERIES = {"op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
 SQL: dict[str, str] = {}
