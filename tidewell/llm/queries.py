@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import fold, read_table
+from tidewell.llm.decontaminate import find_contamination
 from tidewell.llm.near_duplicates import near_duplicates
 from tidewell.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -30,5 +31,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
-QUERIES = {"op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document, by BM25 search of all passages."""
+    return find_contamination(read_table(spark, sf_dir, "documents"),
+                              read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {"op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
 SQL: dict[str, str] = {}
