@@ -9,6 +9,10 @@ terms are searched with block-max WAND for all segments whose score reaches
 word n-grams: the share of the n-grams of its question part and of its answer part that
 stand in the passage.  Both parts together must reach ``min_overlap``.
 
+Before the search, passages that cannot hold any segment are put aside without loss: of each
+segment, the commonest terms that make up at most ``COMMON`` of its score are left out, and
+the rest of the threshold must come from its other terms, whose postings are short.
+
 Terms are lower-case runs of letters and digits.  Impacts are divided by the segment's own
 score, so one threshold serves all segments.  An item that is null or has no term is never
 found; a null, empty or wordless text holds no item.  Equal items are all found.  Without an
@@ -30,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import Memo, map_documents
+from tidewell.llm.common import map_documents
 from tidewell.session import materialize
 
 TERM = re.compile(r"[^\W_]+")
@@ -38,6 +42,7 @@ STRIDE = 64
 BLOCK = 16
 K1, B = 1.2, 0.75
 NGRAM = 5
+COMMON = 0.25
 INDEX_BYTES = 16 * 1024 * 1024
 _END = 1 << 60
 
@@ -86,6 +91,49 @@ class Index:
         self.block_max = {t: [max(xs[i:i + BLOCK]) for i in range(0, len(xs), BLOCK)]
                           for t, xs in self.impacts.items()}
         self.most = {t: max(xs) for t, xs in self.impacts.items()}
+        self._rare_postings(n)
+
+    def _rare_postings(self, n: int) -> None:
+        """Postings without each segment's commonest terms, and the score left out of each."""
+        self.left_out = np.zeros(n)
+        rare: list[tuple[list[int], list[float]]] = []
+        self.vocabulary: dict[str, int] = {}
+        # commonest first: held by many segments, then short
+        for t in sorted(self.ids, key=lambda t: (-len(self.ids[t]), len(t), t)):
+            held = [(p, x) for p, x in zip(self.ids[t], self.impacts[t])
+                    if self.left_out[p] + x > COMMON]
+            for p, x in zip(self.ids[t], self.impacts[t]):
+                if self.left_out[p] + x <= COMMON:
+                    self.left_out[p] += x
+            if held:
+                self.vocabulary[t] = len(rare)
+                rare.append(([p for p, _ in held], [x for _, x in held]))
+        self.rare_first = np.concatenate([[0], np.cumsum([len(p) for p, _ in rare])]).astype(np.int64)
+        self.rare_segment = np.array([p for ps, _ in rare for p in ps], np.int64)
+        self.rare_impact = np.array([x for _, xs in rare for x in xs], float)
+
+    def passages(self, words: list[str], least: float) -> np.ndarray:
+        """The passages of a text in which some segment may score ``least``."""
+        get = self.vocabulary.get
+        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        at = np.flatnonzero(ids >= 0)
+        if len(at) == 0:
+            return at
+        last = max(0, (len(words) - STRIDE - 1) // STRIDE)
+        here = np.minimum(at // STRIDE, last)
+        before = at // STRIDE - 1
+        inside = (before >= 0) & (before < here)
+        v = len(self.vocabulary)
+        pairs = np.unique(np.concatenate([here * v + ids[at], (before * v + ids[at])[inside]]))
+        passage, term = pairs // v, pairs % v
+        size = self.rare_first[term + 1] - self.rare_first[term]
+        row = np.repeat(np.arange(len(term)), size)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + self.rare_first[term][row]
+        keys, group = np.unique(passage[row] * len(self.item) + self.rare_segment[place],
+                                return_inverse=True)
+        total = np.bincount(group, self.rare_impact[place])
+        enough = total + self.left_out[keys % len(self.item)] >= least - 1e-9
+        return np.unique(keys[enough] // len(self.item))
 
     def search(self, terms: list[str], least: float) -> list[tuple[int, float]]:
         """Every segment whose score over the distinct ``terms`` is at least ``least``."""
@@ -139,20 +187,15 @@ def contained(part: frozenset, seen: set) -> float:
     return len(part & seen) / len(part) if part else 1.0
 
 
-def find_items(text: str | None, index: Index, bound: Memo, min_score: float,
-               min_overlap: float) -> list[tuple]:
+def find_items(text: str | None, index: Index, min_score: float, min_overlap: float) -> list[tuple]:
     """(item id, passage, score, question overlap, answer overlap) of each item in the text;
     of several passages or segments that show an item, the one with the highest score."""
     words = terms_of(text)
     best: dict[int, tuple] = {}
     if not words:
         return []
-    reach = np.concatenate([[0.0], np.cumsum([bound[w] for w in words])])
-    starts = np.arange(0, max(1, len(words) - STRIDE), STRIDE)
-    ends = np.minimum(starts + 2 * STRIDE, len(words))
-    # No passage below the bound can reach the threshold: WAND would stop at once.
-    for p in np.flatnonzero(reach[ends] - reach[starts] >= min_score - 1e-9):
-        passage = words[starts[p]:ends[p]]
+    for p in index.passages(words, min_score):
+        passage = words[p * STRIDE:(p + 2) * STRIDE]
         hits = index.search(sorted(set(passage)), min_score)
         if not hits:
             continue
@@ -199,9 +242,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, item_id: str = "ite
 
         def make(shared=shared):
             index = shared.value
-            bound = Memo(lambda w: index.most.get(w, 0.0))
             return lambda ids, texts: ((i, *row) for i, t in zip(ids, texts)
-                                       for row in find_items(t, index, bound, min_score, min_overlap))
+                                       for row in find_items(t, index, min_score, min_overlap))
 
         part = map_documents(docs, ["doc_id", "text"],
                              "doc_id bigint, item_id bigint, passage int, score double, "
@@ -222,11 +264,10 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame
 
         def run(batches, shared=shared):
             index = shared.value
-            bound = Memo(lambda w: index.most.get(w, 0.0))
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
                 yield batch.filter(pa.array(
-                    [not find_items(t, index, bound, min_score, min_overlap) for t in texts], pa.bool_()))
+                    [not find_items(t, index, min_score, min_overlap) for t in texts], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
