@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import fold, read_table
 from tidewell.llm.decontaminate import find_contamination
 from tidewell.llm.near_duplicates import near_duplicates
+from tidewell.llm.pii import KINDS, find_pii, fit_pii
 from tidewell.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -37,5 +38,24 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                               read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
+def _joined(spans: str):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans counted and hashed, and all spans."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = find_pii(docs, fit_pii(docs))
+
+    def count(kind: str):
+        return (F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+                .alias(f"n_{kind}"))
+
+    return found.select("doc_id", *[count(k) for k in KINDS],
+                        F.sha2(_joined("base"), 256).alias("base_sha256"),
+                        _joined("spans").alias("spans"))
+
+
+QUERIES = {"op5_pii": op5_pii, "op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
 SQL: dict[str, str] = {}
