@@ -9,6 +9,8 @@ from tidewell.llm.common import fold, read_table
 from tidewell.llm.decontaminate import find_contamination
 from tidewell.llm.near_duplicates import near_duplicates
 from tidewell.llm.pii import KINDS, find_pii, fit_pii
+from tidewell.llm.sentencepiece import encode_documents
+from tidewell.llm.token_counts import count_tokens
 from tidewell.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -57,5 +59,19 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _joined("spans").alias("spans"))
 
 
-QUERIES = {"op5_pii": op5_pii, "op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and whether they decode to the text (null: empty)."""
+    docs = read_table(spark, sf_dir, "documents")
+    same = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    encoded = encode_documents(same)
+    return encoded.select("doc_id", "n_tokens", "tokens",
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of tokens of every document."""
+    return count_tokens(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_sentencepiece": op4_sentencepiece, "op8_token_counts": op8_token_counts, "op5_pii": op5_pii, "op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
 SQL: dict[str, str] = {}
