@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import fold, read_table
 from tidewell.llm.decontaminate import find_contamination
+from tidewell.llm.language import fit_language, identify_language
 from tidewell.llm.near_duplicates import near_duplicates
 from tidewell.llm.pii import KINDS, find_pii, fit_pii
+from tidewell.llm.quality import fit_quality, score_quality
 from tidewell.llm.sentencepiece import encode_documents
 from tidewell.llm.token_counts import count_tokens
 from tidewell.llm.toxicity import fit_toxicity, score_toxicity
@@ -73,5 +75,23 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_sentencepiece": op4_sentencepiece, "op8_token_counts": op8_token_counts, "op5_pii": op5_pii, "op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents")
+    return identify_language(docs, fit_language(docs)).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_quality(docs, read_table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("bad").alias("n_lines"),
+        F.size(F.filter("bad", lambda p: p >= 0.5)).alias("n_bad_lines"))
+
+
+QUERIES = {"op1_language_id": op1_language_id, "op2_quality": op2_quality, "op4_sentencepiece": op4_sentencepiece, "op8_token_counts": op8_token_counts, "op5_pii": op5_pii, "op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
 SQL: dict[str, str] = {}
