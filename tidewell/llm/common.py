@@ -60,8 +60,10 @@ def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object:
     Rows reach ``fit`` in the order of their columns, so the model does not depend on
     the order in which tasks finish.
     """
-    schema = pa.schema([pa.field(f.name, pa.string() if f.dataType.simpleString() == "string"
-                                 else pa.int64()) for f in sample.schema.fields])
+    kinds = {f.name: f.dataType.simpleString() for f in sample.schema.fields}
+    kinds = {name: kind if kind in ("string", "binary") else "bigint" for name, kind in kinds.items()}
+    arrow = {"string": pa.string(), "binary": pa.binary(), "bigint": pa.int64()}
+    schema = pa.schema([pa.field(name, arrow[kind]) for name, kind in kinds.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [pa.Table.from_batches([b]).cast(schema) for b in batches]
@@ -70,8 +72,7 @@ def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object:
         model = pickle.dumps(fit(rows))
         yield pa.RecordBatch.from_pydict({"model": pa.array([model], pa.binary())})
 
-    typed = sample.select(*[F.col(f.name).cast("string" if f.dataType.simpleString() == "string"
-                                               else "bigint") for f in sample.schema.fields])
+    typed = sample.select(*[F.col(name).cast(kind) for name, kind in kinds.items()])
     return pickle.loads(typed.repartition(1).mapInArrow(run, "model binary").first()[0])
 
 

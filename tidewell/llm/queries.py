@@ -9,6 +9,7 @@ from tidewell.llm.common import fold, read_table
 from tidewell.llm.decontaminate import find_contamination
 from tidewell.llm.language import fit_language, identify_language
 from tidewell.llm.near_duplicates import near_duplicates
+from tidewell.llm.nearest import nearest_neighbours
 from tidewell.llm.pii import KINDS, find_pii, fit_pii
 from tidewell.llm.quality import fit_quality, score_quality
 from tidewell.llm.sentencepiece import encode_documents
@@ -93,5 +94,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter("bad", lambda p: p >= 0.5)).alias("n_bad_lines"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_quality": op2_quality, "op4_sentencepiece": op4_sentencepiece, "op8_token_counts": op8_token_counts, "op5_pii": op5_pii, "op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth vector."""
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+QUERIES = {"op3_nearest_neighbours": op3_nearest_neighbours, "op1_language_id": op1_language_id, "op2_quality": op2_quality, "op4_sentencepiece": op4_sentencepiece, "op8_token_counts": op8_token_counts, "op5_pii": op5_pii, "op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
 SQL: dict[str, str] = {}
