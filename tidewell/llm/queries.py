@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import fold, read_table
 from tidewell.llm.decontaminate import find_contamination
 from tidewell.llm.language import fit_language, identify_language
+from tidewell.llm.language_model import score_texts
 from tidewell.llm.near_duplicates import near_duplicates
 from tidewell.llm.nearest import nearest_neighbours
 from tidewell.llm.pii import KINDS, find_pii, fit_pii
@@ -99,5 +100,10 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), every=20, k=20)
 
 
-QUERIES = {"op3_nearest_neighbours": op3_nearest_neighbours, "op1_language_id": op1_language_id, "op2_quality": op2_quality, "op4_sentencepiece": op4_sentencepiece, "op8_token_counts": op8_token_counts, "op5_pii": op5_pii, "op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document, learned outside the held-out fold."""
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op6_language_model": op6_language_model, "op3_nearest_neighbours": op3_nearest_neighbours, "op1_language_id": op1_language_id, "op2_quality": op2_quality, "op4_sentencepiece": op4_sentencepiece, "op8_token_counts": op8_token_counts, "op5_pii": op5_pii, "op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
 SQL: dict[str, str] = {}
