@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm.common import read_table
+from tidewell.llm.decontaminate import drop_contaminated
 from tidewell.llm.near_duplicates import drop_near_duplicates
+from tidewell.llm.pii import fit_pii, redact_documents
+from tidewell.llm.sentencepiece import encode_documents
 from tidewell.llm.toxicity import drop_toxic, fit_toxicity
 from tidewell.session import materialize
 
@@ -25,9 +28,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return drop_near_duplicates(docs, shingle=5, percent=80)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with personal data replaced in their text."""
+    return redact_documents(docs, fit_pii(docs))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of each document and the text that they decode to."""
+    return encode_documents(docs)
+
+
 STAGES = [
     ("toxicity", toxicity),
     ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("redact", redact),
+    ("tokenize", tokenize),
 ]
 
 # The stages fit models and follow links; SQL cannot express them.
