@@ -5,7 +5,9 @@ collapsed first.  Of each distinct set, ``BANDS * ROWS`` MinHash samples are tak
 at a time form band keys, and all samples are folded into a parity bitmap, the odd sketch.
 The population count of the XOR of two sketches estimates a high similarity
 precisely, so a pair that shares a band is compared on its full sets only if the estimate
-is within ``SIGMAS`` standard errors of the threshold.
+is within ``SIGMAS`` standard errors of the threshold.  A second parity bitmap holds the
+whole set: the sets of a pair differ in at least as many shingles as the bitmaps differ
+in bits, so a pair above that bound is left out without any error.
 
 A band key with many texts never gives all its pairs.  First each text is compared with
 one leader of the key, the text that meets most others; the links found are contracted to
@@ -85,6 +87,12 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(parity).view(np.int64)
 
 
+def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
+    """Parities of how many shingles of the set fall on each bit."""
+    bits = (shingles % np.uint64(SKETCH_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(bits, minlength=SKETCH_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def estimate(differing_bits: int) -> float:
     """Similarity that two sketches differing in so many bits stand for."""
     rest = 1 - 2 * differing_bits / SKETCH_BITS
@@ -98,7 +106,11 @@ def most_bits(threshold: float) -> int:
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``set_key``, ``bands`` and ``sketch`` of every row."""
+    """``doc_id``, ``n_shingles``, ``set_key``, ``bands`` and ``sketch`` of every row.
+
+    ``sketch`` holds the odd sketch of the samples, the parity bitmap of the whole set, and
+    the size of the set.
+    """
     def make():
         memo = Memo(word_hash)
 
@@ -110,7 +122,8 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
                     continue
                 samples = min_hashes(found)
                 yield (i, len(found), xxhash.xxh3_128_digest(found.tobytes()),
-                       band_keys(samples).tolist(), odd_sketch(samples).tolist())
+                       band_keys(samples).tolist(), odd_sketch(samples).tolist()
+                       + parity_bitmap(found).tolist() + [len(found)])
         return work
 
     return map_documents(docs, ["doc_id", "text"],
@@ -118,12 +131,17 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
                          "bands array<bigint>, sketch array<bigint>", make)
 
 
-def _differing(left: str, right: str) -> Column:
-    """Population count of the XOR of two sketch columns."""
-    total = F.lit(0)
-    for i in range(SKETCH_WORDS):
-        total = total + F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i]))
-    return total
+def _close(left: str, right: str, percent: int) -> Column:
+    """Whether a pair with these sketches may reach the similarity."""
+    def differing(first: int) -> Column:
+        total = F.lit(0)
+        for i in range(first, first + SKETCH_WORDS):
+            total = total + F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i]))
+        return total
+
+    sizes = F.col(left)[2 * SKETCH_WORDS] + F.col(right)[2 * SKETCH_WORDS]
+    return ((differing(SKETCH_WORDS) * (100 + percent) <= sizes * (100 - percent))
+            & (differing(0) <= most_bits(percent / 100)))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -174,7 +192,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         a = sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a"))
         b = sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b"))
         return (pairs.join(a, "a").join(b, "b")
-                .filter(_differing("sketch_a", "sketch_b") <= most_bits(percent / 100)))
+                .filter(_close("sketch_a", "sketch_b", percent)))
 
     met = members.groupBy("rep").agg(F.sum("n").alias("met"))
     leaders = (members.join(met, "rep").groupBy("key")
@@ -188,7 +206,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     rest = materialize(_apart(members, found), "apart")
     if not rest.isEmpty():
-        more = (_block_pairs(rest, sketches, most_bits(percent / 100))
+        more = (_block_pairs(rest, sketches, percent)
                 .join(tried, ["a", "b"], "left_anti")
                 .join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"],
                       "left_anti"))
@@ -216,7 +234,7 @@ def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(mixed, "key")
 
 
-def _block_pairs(rest: DataFrame, sketches: DataFrame, bits: int) -> DataFrame:
+def _block_pairs(rest: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs of one key in different components whose sketches are close.
 
     A key's texts are dealt into blocks of about ``BLOCK``; each pair of blocks is a join key
@@ -233,7 +251,7 @@ def _block_pairs(rest: DataFrame, sketches: DataFrame, bits: int) -> DataFrame:
                          F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"))
     met = left.join(right, ["key", "i", "j"]).filter(
         (F.col("of_a") != F.col("of_b")) & ((F.col("i") < F.col("j")) | (F.col("a") < F.col("b")))
-        & (_differing("sketch_a", "sketch_b") <= bits))
+        & _close("sketch_a", "sketch_b", percent))
     return met.select("a", "b").distinct()
 
 
