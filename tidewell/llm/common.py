@@ -138,3 +138,52 @@ def words_of(text: str | None) -> list[bytes]:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Words are hashed by a polynomial over random values of their bytes, for all words at once:
+# prefix sums of value * R**place, brought back to place 0 by the inverse of R.
+_R = 0x9E3779B97F4A7C15
+_R_INVERSE = pow(_R, -1, 1 << 64)
+_BYTE_VALUES = np.random.default_rng(41).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_HASHED_BYTES = 1 << 20
+
+
+def _powers(factor: int, n: int) -> np.ndarray:
+    steps = np.full(n, factor, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+def hash_words(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, one after the other, and words of each text.
+
+    Words lie between ASCII white space, A-Z counts as a-z, null as empty.
+    """
+    data = [t.encode("utf-8", "replace").lower() if t else b"" for t in texts]
+    found, sizes, at = [], [], 0
+    while at < len(data):
+        stop, size = at, 0
+        while stop < len(data) and (stop == at or size + len(data[stop]) <= _HASHED_BYTES):
+            size += len(data[stop]) + 1
+            stop += 1
+        raw = np.frombuffer(b"\n" + b"\n".join(data[at:stop]) + b"\n", np.uint8)
+        space = _SPACE[raw]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        begin, end = edge[::2], edge[1::2]
+        if len(_POWERS[0]) < len(raw):
+            _POWERS[:] = _powers(_R, len(raw) * 2), _powers(_R_INVERSE, len(raw) * 2)
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[raw] * _POWERS[0][:len(raw)], out=total[1:])
+        found.append(mix64((total[end] - total[begin]) * _POWERS[1][begin]
+                           + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+        first = np.cumsum([1] + [len(d) + 1 for d in data[at:stop]])
+        sizes.append(np.diff(np.searchsorted(begin, first)))
+        at = stop
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(found), np.concatenate(sizes)
+
+
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
