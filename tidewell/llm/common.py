@@ -73,7 +73,8 @@ def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object:
         yield pa.RecordBatch.from_pydict({"model": pa.array([model], pa.binary())})
 
     typed = sample.select(*[F.col(name).cast(kind) for name, kind in kinds.items()])
-    return pickle.loads(typed.repartition(1).mapInArrow(run, "model binary").first()[0])
+    row = typed.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(row[0]) if row else fit(schema.empty_table())  # no task without rows
 
 
 def map_documents(docs: DataFrame, columns: list[str], schema: str,

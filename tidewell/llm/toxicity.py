@@ -36,38 +36,41 @@ def word_features(word: str) -> list[int]:
     return [zlib.crc32(p.encode("utf-8", "surrogatepass")) >> (32 - FEATURE_BITS) for p in parts]
 
 
-def _bags(texts: list[str], memo: Memo) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct features of every sentence, the sentence of each, the document of each sentence."""
-    features, sizes, owner = [], [], []
-    for d, text in enumerate(texts):
-        for sentence in SENTENCE.findall(text.lower()):
-            found = set()
-            for word in set(WORD.findall(sentence)):
-                found.update(memo[word])
-            if found:
-                features.append(np.fromiter(found, np.int32, len(found)))
-                sizes.append(len(found))
-                owner.append(d)
-    flat = np.concatenate(features) if features else np.zeros(0, np.int32)
-    return flat, np.repeat(np.arange(len(sizes)), sizes), np.array(owner, np.int64)
-
-
-def _select(flat, sentence, owner, y, at_most: int) -> np.ndarray:
+def _select(texts: list[str], y: np.ndarray, at_most: int) -> np.ndarray:
     """Features that occur in positive documents more often than in others, best first by
-    the signed root of their likelihood ratio; ties to the smaller feature."""
-    pairs = np.unique(owner[sentence] * (1 << FEATURE_BITS) + flat)
-    feature, doc = pairs & ((1 << FEATURE_BITS) - 1), pairs >> FEATURE_BITS
-    pos = np.bincount(feature, y[doc], 1 << FEATURE_BITS)
-    neg = np.bincount(feature, 1 - y[doc], 1 << FEATURE_BITS)
-    rate_pos, rate_neg = pos / max(1, y.sum()), neg / max(1, (1 - y).sum())
+    the gain in likelihood; ties to the smaller feature."""
+    counts, memo = np.zeros((2, 1 << FEATURE_BITS)), Memo(word_features)
+    for text, label in zip(texts, y):
+        found = set()
+        for word in set(WORD.findall(text.lower())):
+            found.update(memo[word])
+        counts[int(label), list(found)] += 1
+    neg, pos = counts
     expected = (pos + neg) * y.mean()
     with np.errstate(divide="ignore", invalid="ignore"):
-        gain = np.where(rate_pos > 2 * rate_neg, pos * np.log(pos / expected), 0)
+        gain = np.where(pos / y.sum() > 2 * neg / (1 - y).sum(), pos * np.log(pos / expected), 0)
     gain[pos < 3] = 0
     order = np.lexsort((np.arange(len(gain)), -gain))[:at_most]
     return order[gain[order] > 0]
 
 
+def _bags(texts: list[str], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct chosen features of every sentence, the sentence of each, the document of each
+    sentence that has a word."""
+    place = {int(f): i for i, f in enumerate(chosen)}
+    memo = Memo(lambda word: [place[f] for f in word_features(word) if f in place])
+    features, sentences, owner = [], [], []
+    for d, text in enumerate(texts):
+        for sentence in SENTENCE.findall(text.lower()):
+            words = WORD.findall(sentence)
+            if words:
+                found = {f for word in words for f in memo[word]}
+                features += found
+                sentences += [len(owner)] * len(found)
+                owner.append(d)
+    return np.array(features, np.int64), np.array(sentences, np.int64), np.array(owner, np.int64)
+
+
 def fit_bags(texts: list[str], labels: list[int], rounds: int = 250, l1: float = 2e-4) -> dict:
     """Weights of hashed features and the bias, by proximal Adam on the noisy-or likelihood.
 
@@ -77,12 +80,8 @@ def fit_bags(texts: list[str], labels: list[int], rounds: int = 250, l1: float =
     y = np.array(labels, float)
     if len(set(labels)) < 2:
         return {"weights": {}, "bias": -40.0}
-    flat, sentence, owner = _bags(texts, Memo(word_features))
-    chosen = _select(flat, sentence, owner, y, MAX_FEATURES)
-    place = np.full(1 << FEATURE_BITS, -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
-    keep = place[flat] >= 0
-    column, sentence = place[flat[keep]], sentence[keep]
+    chosen = _select(texts, y, MAX_FEATURES)
+    column, sentence, owner = _bags(texts, chosen)
     n, d = len(owner), len(y)
     theta = np.zeros(len(chosen) + 1)
     theta[-1] = -5.0
@@ -117,11 +116,8 @@ def sentence_scorer(model: dict):
     """A function from a text to (score, [(start, end, probability of a sentence)])."""
     weights, bias = model["weights"], model["bias"]
 
-    def spread(word: str):
-        # a feature counts once in a sentence, so words keep their features apart
-        return tuple(f for f in word_features(word) if f in weights)
-
-    memo = Memo(spread)
+    # a feature counts once in a sentence, so words keep their features apart
+    memo = Memo(lambda word: tuple(f for f in word_features(word) if f in weights))
 
     def score(text: str | None):
         found, survive = [], 0.0
@@ -131,11 +127,7 @@ def sentence_scorer(model: dict):
             words = set(WORD.findall(match[0]))
             if not words:
                 continue
-            features = set()
-            for word in words:
-                hit = memo[word]
-                if hit:
-                    features.update(hit)
+            features = {f for hit in map(memo.__getitem__, words) if hit for f in hit}
             z = min(40.0, bias + sum(weights[f] for f in sorted(features)))
             p = 1 / (1 + math.exp(-max(z, -40.0)))
             survive += math.log1p(-p) if p < 1 else -40.0
