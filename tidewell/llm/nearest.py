@@ -139,15 +139,15 @@ def scan(q: np.ndarray, x: np.ndarray, rotation: np.ndarray, k: int) -> list[tup
     rest_q = np.sqrt(np.maximum(np.cumsum((rq ** 2)[:, ::-1], axis=1)[:, ::-1], 0))
     rest_x = np.sqrt(np.maximum(np.cumsum((rx ** 2)[:, ::-1], axis=1)[:, ::-1], 0))
     best = np.full((len(q), k), -np.inf)
-    where = np.full((len(q), k), -1, np.int64)
-    step = max(64, k)
+    found: list[tuple[np.ndarray, ...]] = []
+    step = max(128, 2 * k)
     for begin in range(0, len(x), step):
         end = min(begin + step, len(x))
         bound = best.min(axis=1)
         partial = rq[:, :COLUMNS] @ rx[begin:end, :COLUMNS].T
-        row, col = np.nonzero(np.ones(partial.shape, bool)) if dim <= COLUMNS else np.nonzero(
-            partial + _reach(rest_q[:, COLUMNS, None], rest_x[None, begin:end, COLUMNS], dim - COLUMNS)
-            >= bound[:, None])
+        hope = partial if dim <= COLUMNS else partial + _reach(
+            rest_q[:, COLUMNS, None], rest_x[None, begin:end, COLUMNS], dim - COLUMNS)
+        row, col = np.nonzero((hope >= bound[:, None]) | (dim <= COLUMNS))
         value, col = partial[row, col], col + begin
         for first in range(COLUMNS, dim, COLUMNS):
             last = min(first + COLUMNS, dim)
@@ -158,11 +158,14 @@ def scan(q: np.ndarray, x: np.ndarray, rotation: np.ndarray, k: int) -> list[tup
         exact = np.einsum("ij,ij->i", q[row], x[col])
         fresh = np.full((len(q), end - begin), -np.inf)
         fresh[row, col - begin] = exact
-        both = np.hstack([best, fresh])
-        spot = np.hstack([where, np.broadcast_to(np.arange(begin, end), fresh.shape)])
-        order = np.argsort(-both, axis=1, kind="stable")[:, :k]  # equal scores: smaller place
-        best, where = np.take_along_axis(both, order, axis=1), np.take_along_axis(spot, order, axis=1)
-    return [(w[s > -np.inf], s[s > -np.inf]) for w, s in zip(where, best)]
+        best = np.partition(np.hstack([best, fresh]), -k, axis=1)[:, -k:]
+        found.append((row, col, exact))
+    row, col, exact = (np.concatenate(c) for c in zip(*found))
+    good = exact >= best.min(axis=1)[row]  # equal scores at the bound all stay
+    row, col, exact = row[good], col[good], exact[good]
+    order = np.argsort(row, kind="stable")
+    cuts = np.searchsorted(row[order], np.arange(1, len(q)))
+    return list(zip(np.split(col[order], cuts), np.split(exact[order], cuts)))
 
 
 def _reach(a, b, left: int):
@@ -213,18 +216,21 @@ def nearest_neighbours(vectors: DataFrame, *, id_column: str = "vec_id", vector:
 
     placed = materialize(entries.select("rep", "vec", "ids").mapInArrow(
         lambda b: lists(b, False), "list int, rep bigint, vec binary, ids array<bigint>"), "lists")
-    # Rows of a list are dealt into chunks; both counts have one row for each list.
-    chunks = F.broadcast(placed.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")))
-    probes = entries.filter("asked").select("rep", "vec").mapInArrow(
-        lambda b: lists(b, True), "list int, rep bigint, vec binary").join(chunks, "list")
-    sides = F.broadcast(probes.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("sides")))
-    probes = (probes.join(sides, "list").withColumn("side", F.pmod(F.xxhash64("rep"), "sides").cast("int"))
-              .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-              .select("list", "chunk", "side", "rep", "vec"))
-    base = (placed.join(chunks, "list").join(sides, "list")
-            .withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
-            .withColumn("side", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-            .select("list", "chunk", "side", "rep", "vec", "ids"))
+    probes = materialize(entries.filter("asked").select("rep", "vec").mapInArrow(
+        lambda b: lists(b, True), "list int, rep bigint, vec binary"), "probes")
+
+    def split(rows: DataFrame):
+        """Into how many parts of about ``CHUNK`` rows each list is dealt, as a literal array."""
+        counts = dict(rows.groupBy("list").count().collect())  # at most MAX_LISTS rows
+        parts = [-(-counts.get(i, 0) // CHUNK) or 1 for i in range(len(model["centres"]))]
+        return F.array(*[F.lit(p) for p in parts])[F.col("list")], max(parts)
+
+    (chunks, most), (sides, widest) = split(placed), split(probes)
+    several = lambda parts, more: F.explode(F.sequence(F.lit(0), parts - 1)) if more > 1 else F.lit(0)
+    probes = probes.withColumn("side", F.pmod(F.xxhash64("rep"), sides).cast("int")).select(
+        "list", several(chunks, most).alias("chunk"), "side", "rep", "vec")
+    base = placed.withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks).cast("int")).select(
+        "list", "chunk", several(sides, widest).alias("side"), "rep", "vec", "ids")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out: tuple[list, list, list] = ([], [], [])
