@@ -58,9 +58,13 @@ def move_table(spark: SparkSession, name: str, path: str,
 
 def move_partitions(spark: SparkSession, name: str, column: str,
                     locations: Mapping[str, str]) -> DataFrame:
-    """Let single partitions point at other folders; the rest stays where it is."""
+    """Let single partitions point at other folders; the rest stays where it is.
+
+    None stands for the partition of null.
+    """
     for value, path in locations.items():
-        spark.sql(f"ALTER TABLE {_quoted(name)} PARTITION (`{column}`={_literal(value)}) "
+        shown = "NULL" if value is None else _literal(str(value))
+        spark.sql(f"ALTER TABLE {_quoted(name)} PARTITION (`{column}`={shown}) "
                   f"SET LOCATION {_literal(path)}")
     return refresh_table(spark, name)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewell.sinks.ledger import WriteLedger
-from tidewell.sources.files import read_lake
+from tidewell.sources.files import CSV_DIALECT, read_lake
 
 
 def write_lake(df: DataFrame, path: str, partition_by: Sequence[str] = (),
@@ -43,7 +43,15 @@ def write_lake(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     return read_lake(df.sparkSession, path, df.schema)
 
 
-def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Flat export with a header line in every file and no row index."""
-    df.write.mode(mode).option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = "",
+               **dialect) -> str:
+    """Flat export with a header line in every file and no row index.
+
+    Outer blanks stay, quotes are doubled, and text with a line break is one quoted field, to be read
+    with ``read_csv(multi_line=True)``.  To tell null from the empty text, give a
+    ``null_value`` that no text has, here and in ``read_csv``.  ``dialect`` takes
+    Spark's CSV options.
+    """
+    options = {**CSV_DIALECT, "header": True, "nullValue": null_value, **dialect}
+    df.write.mode(mode).options(**options).csv(path)
     return path

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,17 +69,41 @@ def compact_table(spark: SparkSession, name: str, column: str, target: str,
     """Compact the partitions of a catalog table that have more files than their size
     asks for, and let the table point at the new ones.
 
-    The other partitions are neither read nor written.  What comes to the driver is the
-    list of partition values to rewrite.
+    A partition, also the one of null, is dealt into as many files as its bytes need at
+    ``file_bytes``, so a second call finds nothing to do.  The other partitions are neither read nor
+    written.  New locations are taken from the files written, and nothing moves
+    unless these hold as many rows as the old ones.  What comes to the driver is one row for
+    each partition to rewrite.
     """
     table = spark.table(name)
+    files = F.ceil(F.col("bytes") / F.lit(file_bytes))
     parts = (file_detail(table, [column]).groupBy(column)
-             .agg(F.count(F.lit(1)).alias("num_files"), F.sum("size_in_bytes").alias("bytes"))
-             .where(F.col(column).isNotNull()
-                    & (F.col("num_files") > F.ceil(F.col("bytes") / F.lit(file_bytes)))))
-    values = [row[0] for row in parts.select(F.col(column).cast("string")).collect()]
-    if not values:
+             .agg(F.count(F.lit(1)).alias("num_files"), F.sum("size_in_bytes").alias("bytes"),
+                  F.sum("num_rows").alias("num_rows"))
+             .where(F.col("num_files") > files)
+             .select(column, files.cast("int").alias("_files"), "num_rows"))
+    chosen = parts.collect()
+    if not chosen:
         return table
-    compact(table.where(F.col(column).cast("string").isin(values)), target, [column], ledger)
+    plan = spark.createDataFrame([(r[0], r[1]) for r in chosen],
+                                 table.select(column).schema.add("_files", "integer"))
+    values = [r[0] for r in chosen if r[0] is not None]
+    wanted = F.col(column).isin(values) if values else F.lit(False)
+    if len(values) < len(chosen):
+        wanted = wanted | F.col(column).isNull()
+    others = [c for c in table.columns if c != column]
+    rows = table.where(wanted).alias("t").join(
+        F.broadcast(plan.withColumnRenamed(column, "_value")),
+        F.col(column).eqNullSafe(F.col("_value")))
+    dealt = rows.withColumn("_file", F.pmod(F.xxhash64(*others), F.col("_files")))
+    write_lake(dealt.repartition(sum(r[1] for r in chosen), column, "_file").select(*table.columns),
+               target, [column], mode="errorifexists", rebalance=False, ledger=ledger,
+               operation="COMPACT")
+    written = (spark.read.schema(table.schema).parquet(target)
+               .groupBy(column).agg(F.count(F.lit(1)).alias("num_rows"),
+                                    F.min("_metadata.file_path").alias("path")).collect())
+    if {r[0]: r[1] for r in written} != {r[0]: r[2] for r in chosen}:
+        raise RuntimeError(f"the rewritten partitions of {name} in {target} do not hold its rows")
+    # The folder of a value as Spark wrote it, with its own escapes.
     return move_partitions(spark, name, column,
-                           {value: f"{target}/{column}={value}" for value in values})
+                           {r[0]: unquote(r["path"].rsplit("/", 1)[0]) for r in written})

@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+# What lets text come back as it was: quotes are doubled, and outer blanks belong to the text.
+CSV_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False}
+
+
 def _inferring(reader, schema: StructType | str | None, sampling_ratio: float | None):
     if schema is not None:
         return reader.schema(schema)
@@ -16,14 +21,18 @@ def _inferring(reader, schema: StructType | str | None, sampling_ratio: float |
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             sampling_ratio: float | None = None, null_value: str | None = None) -> DataFrame:
+             sampling_ratio: float | None = None, null_value: str | None = None,
+             multi_line: bool = False, **dialect) -> DataFrame:
     """CSV with a header row.
 
+    ``multi_line`` reads quoted line breaks, at the price of one task for each file.
+    ``dialect`` takes Spark's CSV options, such as ``sep``, ``quote`` and ``escape``.
+
     Without ``schema`` the types are inferred, which costs a full extra pass; give
     the schema on large inputs.  ``sampling_ratio`` makes that pass cheaper but may
     type a column too narrowly.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(**{**CSV_DIALECT, "header": True, "multiLine": multi_line, **dialect})
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     return _inferring(reader, schema, sampling_ratio).csv(path)

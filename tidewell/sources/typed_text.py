@@ -16,11 +16,16 @@ Header = Sequence[tuple[str, str]]
 
 
 def read_header(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """``name:type`` lines, in file order.  One line per column, so a few KB at most."""
-    text = spark.read.text(path, wholetext=True).first()
-    lines = text["value"].splitlines() if text else []
-    pairs = [line.split(":") for line in lines if line]
-    return [(pair[0], pair[1]) for pair in pairs]
+    """``name:type`` lines of all files, by file name and line.  One line per column, so a few
+    KB at most.  A line without a colon, or a header without lines, is an error."""
+    files = (spark.read.text(path, wholetext=True)
+             .select("value", F.col("_metadata.file_path").alias("file")).orderBy("file").collect())
+    lines = [line.strip() for file in files for line in file["value"].splitlines() if line.strip()]
+    pairs = [tuple(line.split(":")[:2]) for line in lines]
+    wrong = [line for line, pair in zip(lines, pairs) if len(pair) < 2]
+    if wrong or not pairs:
+        raise ValueError(f"no name:type line in the header {path}: {wrong[:1]}")
+    return pairs
 
 
 def typed_schema(header: Header) -> StructType:

@@ -60,11 +60,18 @@ def start_word_count(stream: DataFrame, text: str, path: str, checkpoint: str,
 def read_word_counts(spark: SparkSession, path: str,
                      output_mode: str = "complete") -> DataFrame:
     """Current word counts, as of the last finished batch."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    # One entry for each batch folder; the writer adds the marker after the last file.
+    done = {}
+    for found in fs.globStatus(folder):
+        marker = spark._jvm.org.apache.hadoop.fs.Path(found.getPath(), "_SUCCESS")
+        done[int(found.getPath().getName().split("=")[1])] = fs.exists(marker)
     batches = spark.read.schema(RESULT_SCHEMA).parquet(path)
     if output_mode == "update":
         # Counts only grow, so the largest one is the latest.
-        return batches.groupBy("word").agg(F.max("count").alias("count"))
-    # The last batch is found from the folder names; only its files are read.
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    latest = listing.agg(F.max("batch_id")).first()[0]
+        broken = [batch for batch, whole in done.items() if not whole]
+        return (batches.where(~F.col("batch_id").isin(broken)).groupBy("word")
+                .agg(F.max("count").alias("count")))
+    latest = max([batch for batch, whole in done.items() if whole], default=-1)
     return batches.where(F.col("batch_id") == latest).select("word", "count")
