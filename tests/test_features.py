@@ -134,19 +134,19 @@ def test_family_of_unknown_size_is_not_alone(spark):
 LETTERS = [("b",), ("a",), ("c",), ("c",)]
 
 
-@pytest.mark.parametrize("max_labels", [100, 1])
-def test_index_order(spark, max_labels):
+@pytest.mark.parametrize("continuous", [[], ["s"]])
+def test_index_order(spark, continuous):
     """The most frequent first, equals by value; the same on both ways."""
     df = spark.createDataFrame(LETTERS, "s string")
-    result = index_strings(df, ["s"], max_labels=max_labels).distinct()
+    result = index_strings(df, ["s"], continuous=continuous).distinct()
     assert rows(result) == [("a", 1.0), ("b", 2.0), ("c", 0.0)]
 
 
-@pytest.mark.parametrize("max_labels", [100, 0])
-def test_index_of_null_is_an_error(spark, max_labels):
+@pytest.mark.parametrize("continuous", [[], ["s"]])
+def test_index_of_null_is_an_error(spark, continuous):
     df = spark.createDataFrame([*LETTERS, (None,)], "s string")
     with pytest.raises(Exception, match="(?i)null"):
-        index_strings(df, ["s"], max_labels=max_labels).collect()
+        index_strings(df, ["s"], continuous=continuous).collect()
 
 
 def test_columns_with_different_numbers_of_labels(spark):

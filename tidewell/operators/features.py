@@ -15,7 +15,6 @@ from tidewell.operators.joins import BROADCAST_BYTES, sized_for_broadcast
 from tidewell.session import materialize
 
 # MLlib keeps the labels of an indexed column on the driver; up to this many.
-MAX_DRIVER_LABELS = 100_000
 
 
 def remap_values(df: DataFrame, mapping: Mapping[str, str],
@@ -127,17 +126,17 @@ def frequency_index(df: DataFrame, column: str, index: str = "index") -> DataFra
 
 
 def index_strings(df: DataFrame, columns: Sequence[str], suffix: str = "_index",
-                  max_labels: int = MAX_DRIVER_LABELS) -> DataFrame:
+                  continuous: Sequence[str] = ()) -> DataFrame:
     """Add a frequency index for each text column; a null label is an error.
 
-    One counting pass serves all columns.  Those with few labels are indexed by an
-    MLlib model, which keeps its labels on the driver; any others by a join with the
-    ranked labels.
+    One counting pass serves all columns.  The caller says which are ``continuous``: these
+    are indexed by a join with the ranked labels, for any number of labels, and carry no
+    label metadata, so trees cut their index as a number.  The others are categorical:
+    an MLlib model keeps their labels on the driver and in the metadata of the result.  The
+    number of labels never changes which of the two a column is.
     """
     counts = materialize(value_counts(df, columns), "labels")
-    sizes = {row["column_name"]: row["count"]
-             for row in counts.groupBy("column_name").count().collect()}
-    few = [c for c in columns if sizes.get(c, 0) <= max_labels]
+    few = [c for c in columns if c not in continuous]
     out = df
     if few:
         labels: dict[str, list[str]] = {c: [] for c in few}

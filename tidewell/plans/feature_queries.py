@@ -135,6 +135,20 @@ def string_index(spark, sf_dir):
     return index_strings(orders, ["o_orderpriority"]).drop("o_orderpriority")
 
 
+@query("""
+    WITH coded AS (
+      SELECT CAST(l_partkey AS VARCHAR) AS part, CAST(row_number() OVER (
+        ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) - 1 AS DOUBLE) AS part_index
+      FROM lineitem GROUP BY 1)
+    SELECT l_orderkey, l_linenumber, part_index
+    FROM lineitem JOIN coded ON CAST(l_partkey AS VARCHAR) = part""")
+def string_index_many(spark, sf_dir):
+    """A column whose labels grow with the table, indexed without the driver."""
+    parts = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return index_strings(parts, ["part"], continuous=["part"]).drop("part")
+
+
 @query("""
     SELECT l_partkey, CAST(row_number() OVER (ORDER BY count(*) DESC, l_partkey) - 1 AS DOUBLE)
       AS index
