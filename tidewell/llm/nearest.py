@@ -6,8 +6,8 @@ centre, and a query probes the lists whose centres have the largest product with
 number of probed lists is the smallest that finds ``TARGET`` of the true neighbours of sample
 queries.  Long lists are dealt into chunks, so no task gets a whole hot list.
 
-Within a list vectors are rotated at random and scanned in column blocks.  After
-each block, the part of the product still missing is, by the rotation, spread around 0 with
+Within a list vectors are rotated at random and scanned in column blocks.  A query starts
+with a bound, its k-th best product with the sample's vectors in its lists.  After each block, the part of the product still missing is, by the rotation, spread around 0 with
 deviation ``|rest of q| |rest of x| / sqrt(dimensions left)``.  A candidate whose partial product
 plus ``EPSILON`` deviations is below the query's current bound is abandoned.  Survivors are
 scored in double precision on the original vectors.
@@ -38,6 +38,12 @@ TARGET = 0.97
 EPSILON = 4.0
 COLUMNS = 16
 CHUNK = 4096
+# Candidates of a slice, and the share of live pairs from which a block is one matrix product.
+SLICE = 512
+DENSE = 0.1
+# Bytes of sample vectors that give the first bounds.
+FLOOR_BYTES = 32 << 20
+SLACK = 1e-6
 HELD = 50_000
 
 
@@ -126,43 +132,78 @@ def fit_lists(data: list[bytes], dim: int, total: int, k: int) -> dict:
     needed = np.take_along_axis(place, owner[top], axis=1) + 1
     share = [(needed <= p).mean() for p in range(1, lists + 1)]
     probes = next((p for p, s in enumerate(share, 1) if s >= TARGET), lists)
-    return {"centres": centres, "rotation": rotation, "probes": probes, "dim": dim}
+    kept = rng.permutation(len(x))[:max(k, FLOOR_BYTES // (4 * dim))]
+    return {"centres": centres, "rotation": rotation, "probes": probes, "dim": dim,
+            "sample": x[kept].astype(np.float32), "owner": owner[kept]}
 
 
-def scan(q: np.ndarray, x: np.ndarray, rotation: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the places and exact scores of its ``k`` best candidates, unordered.
-
-    Candidates come in slices; the bound of a query is its k-th best score so far.
+def floors(q: np.ndarray, probes: np.ndarray, model: dict, k: int) -> np.ndarray:
+    """For each query a score that ``k`` candidates of its probed lists reach: the k-th best
+    product with the sample's vectors in those lists."""
+    sample, owner = model["sample"].astype(float), model["owner"]
+    out = np.full(len(q), -np.inf)
+    if len(sample) < k:
+        return out
+    slack = SLACK * np.sqrt((sample ** 2).sum(axis=1).max())
+    for s in range(0, len(q), 256):
+        products = q[s:s + 256] @ sample.T
+        probed = np.zeros((len(products), len(model["centres"])), bool)
+        np.put_along_axis(probed, probes[s:s + 256], True, axis=1)
+        products[~probed[:, owner]] = -np.inf
+        out[s:s + 256] = np.partition(products, -k, axis=1)[:, -k]
+    return out - slack * np.sqrt((q ** 2).sum(axis=1))
+
+
+def scan(q: np.ndarray, x: np.ndarray, rotation: np.ndarray, k: int,
+         floor: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query the places and exact scores of its ``k`` best candidates, unordered;
+    candidates below the query's ``floor`` are left out.
+
+    Candidates come in slices; the bound of a query is its k-th best score so far, at least its
+    floor.  While many pairs of a slice are alive, a block is one matrix product for all of
+    them; afterwards only the pairs that are left are computed.
     """
     dim = q.shape[1]
     rq, rx = q @ rotation, x @ rotation
     rest_q = np.sqrt(np.maximum(np.cumsum((rq ** 2)[:, ::-1], axis=1)[:, ::-1], 0))
     rest_x = np.sqrt(np.maximum(np.cumsum((rx ** 2)[:, ::-1], axis=1)[:, ::-1], 0))
-    best = np.full((len(q), k), -np.inf)
+    best = np.repeat(floor[:, None], k, axis=1)
     found: list[tuple[np.ndarray, ...]] = []
-    step = max(128, 2 * k)
-    for begin in range(0, len(x), step):
-        end = min(begin + step, len(x))
+    for begin in range(0, len(x), SLICE):
+        end = min(begin + SLICE, len(x))
         bound = best.min(axis=1)
-        partial = rq[:, :COLUMNS] @ rx[begin:end, :COLUMNS].T
-        hope = partial if dim <= COLUMNS else partial + _reach(
-            rest_q[:, COLUMNS, None], rest_x[None, begin:end, COLUMNS], dim - COLUMNS)
-        row, col = np.nonzero((hope >= bound[:, None]) | (dim <= COLUMNS))
+        partial, first = np.zeros((len(q), end - begin)), 0
+        while True:
+            last = min(first + COLUMNS, dim)
+            partial += rq[:, first:last] @ rx[begin:end, first:last].T
+            first = last
+            if first == dim:
+                alive = partial >= (bound - SLACK * rest_q[:, 0] * rest_x[:, 0].max())[:, None]
+                break
+            alive = partial >= bound[:, None] - _reach(
+                rest_q[:, first, None], rest_x[None, begin:end, first], dim - first)
+            if np.count_nonzero(alive) < alive.size * DENSE:
+                break
+        row, col = np.nonzero(alive)
         value, col = partial[row, col], col + begin
-        for first in range(COLUMNS, dim, COLUMNS):
+        while first < dim:
             last = min(first + COLUMNS, dim)
             value = value + np.einsum("ij,ij->i", rq[row, first:last], rx[col, first:last])
             if last < dim:
-                alive = value + _reach(rest_q[row, last], rest_x[col, last], dim - last) >= bound[row]
-                row, col, value = row[alive], col[alive], value[alive]
+                going = value + _reach(rest_q[row, last], rest_x[col, last], dim - last) >= bound[row]
+                row, col, value = row[going], col[going], value[going]
+            first = last
         exact = np.einsum("ij,ij->i", q[row], x[col])
-        fresh = np.full((len(q), end - begin), -np.inf)
-        fresh[row, col - begin] = exact
-        best = np.partition(np.hstack([best, fresh]), -k, axis=1)[:, -k:]
+        good = exact >= bound[row]
+        row, col, exact = row[good], col[good], exact[good]
         found.append((row, col, exact))
+        if end < len(x):
+            hit, at = np.unique(row, return_inverse=True)
+            place = np.arange(len(row)) - np.searchsorted(row, row)  # rows come in order
+            fresh = np.full((len(hit), place.max(initial=-1) + 1), -np.inf)
+            fresh[at, place] = exact
+            best[hit] = np.partition(np.hstack([best[hit], fresh]), -k, axis=1)[:, -k:]
     row, col, exact = (np.concatenate(c) for c in zip(*found))
-    good = exact >= best.min(axis=1)[row]  # equal scores at the bound all stay
-    row, col, exact = row[good], col[good], exact[good]
     order = np.argsort(row, kind="stable")
     cuts = np.searchsorted(row[order], np.arange(1, len(q)))
     return list(zip(np.split(col[order], cuts), np.split(exact[order], cuts)))
@@ -170,7 +211,7 @@ def scan(q: np.ndarray, x: np.ndarray, rotation: np.ndarray, k: int) -> list[tup
 
 def _reach(a, b, left: int):
     """What the missing columns may add; never more than the product of the lengths."""
-    return a * b * min(1.0, EPSILON / math.sqrt(left)) + 1e-6 * a * b
+    return a * b * min(1.0, EPSILON / math.sqrt(left)) + SLACK * a * b
 
 
 def nearest_neighbours(vectors: DataFrame, *, id_column: str = "vec_id", vector: str = "embedding",
@@ -198,7 +239,7 @@ def nearest_neighbours(vectors: DataFrame, *, id_column: str = "vec_id", vector:
     if total <= 1000:
         sample = entries
     model = fit_in_task(sample.select("vec"), lambda rows: fit_lists(rows["vec"].to_pylist(), dim, total, k))
-    shared = spark.sparkContext.broadcast(model)  # at most MAX_LISTS centres
+    shared = spark.sparkContext.broadcast(model)  # at most MAX_LISTS centres and FLOOR_BYTES
 
     def lists(batches, asked):
         m = shared.value
@@ -210,14 +251,17 @@ def nearest_neighbours(vectors: DataFrame, *, id_column: str = "vec_id", vector:
             else:
                 found = np.argmax(x @ c.T - 0.5 * (c * c).sum(axis=1), axis=1)[:, None]
             owner = pa.array(np.repeat(np.arange(len(x)), found.shape[1]))
+            names, columns = batch.schema.names, batch.columns
+            if asked:
+                names, columns = [*names, "floor"], [*columns, pa.array(floors(x, found, m, keep))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found.ravel(), pa.int32()), *[col.take(owner) for col in batch.columns]],
-                names=["list", *batch.schema.names])
+                [pa.array(found.ravel(), pa.int32()), *[col.take(owner) for col in columns]],
+                names=["list", *names])
 
     placed = materialize(entries.select("rep", "vec", "ids").mapInArrow(
         lambda b: lists(b, False), "list int, rep bigint, vec binary, ids array<bigint>"), "lists")
     probes = materialize(entries.filter("asked").select("rep", "vec").mapInArrow(
-        lambda b: lists(b, True), "list int, rep bigint, vec binary"), "probes")
+        lambda b: lists(b, True), "list int, rep bigint, vec binary, floor double"), "probes")
 
     def split(rows: DataFrame):
         """Into how many parts of about ``CHUNK`` rows each list is dealt, as a literal array."""
@@ -228,7 +272,7 @@ def nearest_neighbours(vectors: DataFrame, *, id_column: str = "vec_id", vector:
     (chunks, most), (sides, widest) = split(placed), split(probes)
     several = lambda parts, more: F.explode(F.sequence(F.lit(0), parts - 1)) if more > 1 else F.lit(0)
     probes = probes.withColumn("side", F.pmod(F.xxhash64("rep"), sides).cast("int")).select(
-        "list", several(chunks, most).alias("chunk"), "side", "rep", "vec")
+        "list", several(chunks, most).alias("chunk"), "side", "rep", "vec", "floor")
     base = placed.withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks).cast("int")).select(
         "list", "chunk", several(sides, widest).alias("side"), "rep", "vec", "ids")
 
@@ -239,9 +283,13 @@ def nearest_neighbours(vectors: DataFrame, *, id_column: str = "vec_id", vector:
             x, q = [np.frombuffer(b"".join(t["vec"].to_pylist()), np.float32).reshape(-1, dim).astype(float)
                     for t in (left, right)]
             ids, reps = left["ids"].to_pylist(), right["rep"].to_pylist()
+            floor = right["floor"].to_numpy()
             for start in range(0, len(q), 512):
-                found = scan(q[start:start + 512], x, shared.value["rotation"], keep)
-                for rep, (where, scores) in zip(reps[start:start + 512], found):
+                stop = start + 512
+                found = scan(q[start:stop], x, shared.value["rotation"], keep, floor[start:stop])
+                for rep, (where, scores) in zip(reps[start:stop], found):
+                    if not len(where):
+                        continue
                     rows = sorted((-s, i) for w, s in zip(where, scores.tolist()) for i in ids[w])[:keep]
                     out[0].append(rep)
                     out[1].append([-s for s, _ in rows])
