@@ -25,7 +25,7 @@ CLASSIFIERS: dict[str, Callable] = {
     "decision_tree": lambda bins, **c: DecisionTreeClassifier(seed=SEED, maxBins=bins, **c),
     "random_forest": lambda bins, **c: RandomForestClassifier(seed=SEED, maxBins=bins, **c),
     "gradient_boosted_trees":
-        lambda bins, **c: GBTClassifier(maxIter=10, seed=SEED, maxBins=bins, **c),
+        lambda bins, **c: GBTClassifier(**{"maxIter": 10} | c, seed=SEED, maxBins=bins),
     # Multinomial: all features must be zero or more, MLlib checks that.
     "naive_bayes": lambda bins, **c: NaiveBayes(**c),
     "linear_svc": lambda bins, **c: LinearSVC(**c),
@@ -47,15 +47,17 @@ def with_label(df: DataFrame, label: str) -> DataFrame:
 
 
 def fit(name: str, train: DataFrame, label: str = "label",
-        features: str = "features") -> Model:
+        features: str = "features", bins: int | None = None, **params) -> Model:
     """Train, store the model in the shared folder and return the stored one.
 
     The stored model carries no training summary.  The summary of a fresh one refers
     to the session, which cannot be shipped to executors once the session has been
-    used to observe metrics.
+    used to observe metrics.  Trees cut each feature into ``bins``, by default as many as
+    the indexed column with most labels needs; MLlib refuses fewer.  ``params`` go to the
+    classifier.
     """
-    model = CLASSIFIERS[name](bins_needed(train, features), labelCol=label,
-                              featuresCol=features).fit(train)
+    model = CLASSIFIERS[name](bins or bins_needed(train, features), labelCol=label,
+                              featuresCol=features, **params).fit(train)
     path = scratch_dir(train.sparkSession, f"model-{name}")
     model.save(path)
     return type(model).load(path)

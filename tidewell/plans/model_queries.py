@@ -98,3 +98,117 @@ def accuracy_from_predictions(spark, sf_dir):
                             "accuracy double, test_error double")
     return result.select(F.round("accuracy", 6).alias("accuracy"),
                          F.round("test_error", 6).alias("test_error"))
+
+
+# Models that a closed form describes, over all labelled documents: the word variety of a
+# text (twentieths of its words that are distinct), toxicity and a band of its length.
+_TRAITS_SQL = """
+    WITH traits AS (
+      SELECT doc_id, CAST(quality AS DOUBLE) AS label, lang, toxic,
+             len(list_distinct(string_split(text, ' '))) * 20 // len(string_split(text, ' '))
+               AS variety,
+             least(n_chars // 200, 12) AS band
+      FROM labels JOIN documents USING (doc_id) WHERE text IS NOT NULL)"""
+
+# The cut of one feature that leaves the least impurity; a cut lies between two values.
+_STUMP_SQL = _TRAITS_SQL + """,
+    cells AS (
+      SELECT feature, value, count(*) AS n, sum(label) AS good
+      FROM (SELECT 1 AS feature, variety AS value, label FROM traits
+            UNION ALL SELECT 2, toxic, label FROM traits
+            UNION ALL SELECT 3, band, label FROM traits)
+      GROUP BY feature, value),
+    sides AS (
+      SELECT feature, value, sum(n) OVER upto AS n, sum(good) OVER upto AS good,
+             sum(n) OVER (PARTITION BY feature) AS total,
+             sum(good) OVER (PARTITION BY feature) AS total_good
+      FROM cells WINDOW upto AS (PARTITION BY feature ORDER BY value)),
+    cut AS (
+      SELECT *, good / n AS below, (total_good - good) / (total - n) AS above
+      FROM sides WHERE n < total
+      ORDER BY good * (1 - good / n)
+        + (total_good - good) * (1 - (total_good - good) / (total - n)), feature, value LIMIT 1),
+    leaves AS (
+      SELECT doc_id, label, CASE WHEN CASE feature WHEN 1 THEN variety WHEN 2 THEN toxic
+        ELSE band END <= value THEN below ELSE above END AS share
+      FROM traits CROSS JOIN cut)"""
+
+_TREE_SQL = _STUMP_SQL + """
+    SELECT doc_id, label, CASE WHEN share > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+             AS prediction, round(share, 6) AS probability FROM leaves"""
+
+
+def _traits(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    words = F.split("text", " ", -1)
+    variety = F.floor(F.size(F.array_distinct(words)) * 20 / F.size(words))
+    documents = documents.select(
+        "doc_id", "lang", variety.alias("variety"),
+        F.least(F.floor(F.col("n_chars") / 200), F.lit(12)).alias("band"))
+    rows = table(spark, sf_dir, "labels").join(documents, "doc_id")
+    rows = with_label(rows, "quality").withColumnRenamed("quality", "label")
+    return materialize(rows, "traits")
+
+
+def _fitted(rows, inputs, name, keep=("doc_id",), **params):
+    rows = assemble(rows, inputs)
+    return score(fit(name, rows, **params), rows, keep=keep).drop("features")
+
+
+def _with_probability(spark, sf_dir, name, **params):
+    scored = _fitted(_traits(spark, sf_dir), ["variety", "toxic", "band"], name,
+                     keep=["doc_id", "probability"], **params)
+    return scored.withColumn("probability", F.round(vector_to_array("probability")[1], 6))
+
+
+@query(_TREE_SQL)
+def decision_tree_stump(spark, sf_dir):
+    """A tree of one cut: the best one by Gini impurity."""
+    return _with_probability(spark, sf_dir, "decision_tree", maxDepth=1)
+
+
+@query(_TREE_SQL)
+def random_forest_stump(spark, sf_dir):
+    """A forest of one such tree over all rows and features."""
+    return _with_probability(spark, sf_dir, "random_forest", maxDepth=1, numTrees=1,
+                             bootstrap=False, featureSubsetStrategy="all")
+
+
+@query(_STUMP_SQL + """
+    SELECT doc_id, label, CASE WHEN share > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+             AS prediction, round(1 / (1 + exp(-2 * (2 * share - 1))), 6) AS probability
+    FROM leaves""")
+def boosted_stump(spark, sf_dir):
+    """One round of boosting: the same cut by variance, with a logistic link."""
+    return _with_probability(spark, sf_dir, "gradient_boosted_trees", maxDepth=1, maxIter=1)
+
+
+def _flags(rows, conditions):
+    return rows.withColumns({name: F.when(condition, 1).otherwise(0)
+                             for name, condition in conditions.items()})
+
+
+@query(_TRAITS_SQL + """
+    SELECT doc_id, label, CASE WHEN share > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+             AS prediction, round(share, 4) AS probability
+    FROM (SELECT doc_id, label, avg(label) OVER (PARTITION BY CASE WHEN lang IN
+            ('de', 'en', 'es') THEN lang ELSE '' END) AS share FROM traits)""")
+def logistic_groups(spark, sf_dir):
+    """With a flag for each group but one, the fitted probability is the group's mean."""
+    rows = _flags(_traits(spark, sf_dir),
+                  {f"is_{lang}": F.col("lang") == lang for lang in ("de", "en", "es")})
+    scored = _fitted(rows, ["is_de", "is_en", "is_es"], "logistic_regression",
+                     keep=["doc_id", "probability"], maxIter=200, tol=1e-12)
+    return scored.withColumn("probability", F.round(vector_to_array("probability")[1], 4))
+
+
+@query(_TRAITS_SQL + """
+    SELECT doc_id, label, CASE WHEN avg(label) OVER (PARTITION BY CASE WHEN variety < 6
+             THEN 0 WHEN variety < 11 THEN 1 ELSE 2 END) > 0.5
+             THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM traits""")
+def linear_svc_groups(spark, sf_dir):
+    """With a flag for each group but one, the least hinge loss answers with the majority."""
+    variety = F.col("variety")
+    rows = _flags(_traits(spark, sf_dir),
+                  {"is_poor": variety < 6, "is_plain": (variety >= 6) & (variety < 11)})
+    return _fitted(rows, ["is_poor", "is_plain"], "linear_svc", maxIter=200, tol=1e-9)
