@@ -26,7 +26,7 @@ def folder(spark, tmp_path):
 def test_word_count_over_several_batches(spark, folder, tmp_path, mode):
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
     stream = open_files(spark, folder, "body string", files_per_batch=2)
-    query = start_word_count(stream, "body", out, state, mode)
+    query = start_word_count(stream, "body", out, state, mode, state_partitions=4)
     query.awaitTermination()
     assert len(query.recentProgress) >= 3
     batch = count_words(spark.read.parquet(folder), "body")
@@ -37,7 +37,7 @@ def test_word_count_over_several_batches(spark, folder, tmp_path, mode):
     # New files are taken up where the last run stopped.
     spark.createDataFrame([("z a",)], "body string").write.mode("append").parquet(folder)
     stream = open_files(spark, folder, "body string", files_per_batch=2)
-    start_word_count(stream, "body", out, state, mode).awaitTermination()
+    start_word_count(stream, "body", out, state, mode, state_partitions=4).awaitTermination()
     batch = count_words(spark.read.parquet(folder), "body")
     assert rows(read_word_counts(spark, out, mode)) == rows(batch)
 
@@ -48,7 +48,7 @@ def test_a_batch_that_runs_again_does_no_harm(spark, folder, tmp_path, mode):
     out, state = str(tmp_path / "out"), tmp_path / "state"
     for _ in range(2):
         stream = open_files(spark, folder, "body string", files_per_batch=3)
-        query = start_word_count(stream, "body", out, str(state), mode)
+        query = start_word_count(stream, "body", out, str(state), mode, state_partitions=4)
         query.awaitTermination()
         counted = rows(read_word_counts(spark, out, mode))
         assert counted == rows(count_words(spark.read.parquet(folder), "body"))
@@ -59,6 +59,21 @@ def test_a_batch_that_runs_again_does_no_harm(spark, folder, tmp_path, mode):
     assert any(p["numInputRows"] > 0 for p in query.recentProgress)
 
 
+def test_update_folders_stay_bounded(spark, tmp_path):
+    """Twenty batches, each with a word of its own and one that all share."""
+    source, out = tmp_path / "source", tmp_path / "out"
+    for i in range(20):
+        spark.createDataFrame([(f"shared own{i}",)], "body string").coalesce(1).write.mode(
+            "append").parquet(str(source))
+    stream = open_files(spark, str(source), "body string", files_per_batch=1)
+    start_word_count(stream, "body", str(out), str(tmp_path / "state"), "update",
+                     state_partitions=2, merge_every=4).awaitTermination()
+    assert rows(read_word_counts(spark, str(out), "update")) == rows(
+        count_words(spark.read.parquet(str(source)), "body"))
+    kept = [int(f.name.split("=")[1]) for f in out.iterdir() if f.name.startswith("batch_id=")]
+    assert max(kept) == 19 and len(kept) <= 8
+
+
 def test_decode(spark):
     raw = spark.createDataFrame([("12", 1469501107, b"hello")],
                                 "offset string, enqueuedTime bigint, body binary")

@@ -45,11 +45,15 @@ def csv_export(spark, sf_dir):
     return read_csv(spark, path, schema=customer.schema)
 
 
-@query("SELECT event_id, event_type, value FROM events")
+@query("""
+    SELECT event_id, epoch_us(ts) AS time_us, user_id, event_type, value, props FROM events""")
 def json_scan(spark, sf_dir):
-    path = scratch_dir(spark, "json")
-    table(spark, sf_dir, "events").select("event_id", "event_type", "value").write.json(path)
-    return read_json(spark, path).select("event_id", "event_type", "value")
+    """Every column; the types are inferred, but JSON has none for times."""
+    path, events = scratch_dir(spark, "json"), table(spark, sf_dir, "events")
+    events.withColumn("ts", F.col("ts").cast("string")).write.json(path)
+    return read_json(spark, path).select(
+        "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("time_us"), "user_id",
+        "event_type", "value", "props")
 
 
 HEADER = [("event_id", "int"), ("user_id", "int"), ("value", "double"),
@@ -89,11 +93,24 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-@query(f"SELECT unnest({TABLES}) || '.parquet' AS file_name, 1 AS has_bytes")
+def _plain_path(path):
+    """Listings and scans write the slashes after the scheme in different numbers."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{name}.parquet' AS file_name, 1 AS has_bytes, count(*) AS n_rows FROM {name}"
+    for name in TABLES))
 def file_listing(spark, sf_dir):
-    files = list_files(spark, sf_dir, "*.parquet")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                        (F.col("length") > 0).cast("int").alias("has_bytes"))
+    """The files of all tables, with the rows that a scan finds in each."""
+    parts = [table(spark, sf_dir, name).groupBy("_metadata.file_path").agg(
+        F.count(F.lit(1)).alias("n_rows")) for name in TABLES]
+    counts = reduce(DataFrame.unionByName, parts).select(
+        _plain_path("file_path").alias("path"), "n_rows")
+    files = list_files(spark, sf_dir, "*.parquet", recursive=True)
+    return files.withColumn("path", _plain_path("path")).join(counts, "path").select(
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        (F.col("length") > 0).cast("int").alias("has_bytes"), "n_rows")
 
 
 @query("""
@@ -207,13 +224,21 @@ def describe_table(spark, sf_dir):
             .select("col_name", "data_type"))
 
 
-@query(_described_sql("orders"))
+@query(f"""
+    WITH counts AS (SELECT count(COLUMNS(*)) FROM orders)
+    SELECT col_name, data_type, n_values
+    FROM ({_described_sql("orders")}) JOIN (
+      UNPIVOT counts ON COLUMNS(*) INTO NAME col_name VALUE n_values) USING (col_name)""")
 def describe_columns(spark, sf_dir):
+    """The description of a table next to the non-null values of each column."""
     orders = table(spark, sf_dir, "orders")
     catalog.create_external_table(spark, "orders_described", f"{sf_dir}/orders.parquet",
                                   orders.schema)
+    counts = spark.table("orders_described").agg(
+        *[F.count(c).alias(c) for c in orders.columns]).unpivot(
+        [], orders.columns, "col_name", "n_values")
     return (catalog.describe_table(spark, "orders_described", formatted=False)
-            .select("col_name", "data_type"))
+            .join(counts, "col_name").select("col_name", "data_type", "n_values"))
 
 
 @query("""

@@ -28,7 +28,8 @@ def _stream(spark, sf_dir, name):
 def _word_count_stream(spark, sf_dir, output_mode):
     path, state = scratch_dir(spark, "words"), scratch_dir(spark, "words-state")
     start_word_count(_stream(spark, sf_dir, "documents"), "text", path, state,
-                     output_mode).awaitTermination()
+                     output_mode, state_partitions=int(spark.conf.get("spark.sql.shuffle.partitions"))
+                     ).awaitTermination()
     return read_word_counts(spark, path, output_mode)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.catalog import move_table
+from tidewell.session import materialize
 from tidewell.sinks.files import write_lake
 from tidewell.sinks.ledger import WriteLedger
 
@@ -42,14 +43,12 @@ def keyed_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     with the same key.
 
     ``source`` may hold several rows of a key, the latest counts; its ``order_by``
-    columns need not exist in ``target``.  The anti join sees only the distinct
-    keys of ``source``; whether these are broadcast is decided from their real size
-    at run time.
+    columns need not exist in ``target``.  ``source`` is read once: its latest rows
+    are stored, and the anti join sees only their keys; whether these are broadcast is
+    decided from their real size at run time.
     """
-    source = _require_keys(source, keys)
-    changed = source.select(*keys).distinct()
-    untouched = target.join(changed, list(keys), "left_anti")
-    latest = latest_per_key(source, keys, order_by)
+    latest = materialize(latest_per_key(_require_keys(source, keys), keys, order_by), "latest")
+    untouched = target.join(latest.select(*keys), list(keys), "left_anti")
     return untouched.select(*target.columns).unionByName(latest.select(*target.columns))
 
 
