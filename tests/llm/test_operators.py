@@ -11,12 +11,12 @@ import pytest
 
 import corpus_pipeline
 from tests.conftest import SF_DIR
-from tidewell.llm import decontaminate, language, near_duplicates, nearest, pii, quality, toxicity
+from tidewell.llm import common, decontaminate, language, near_duplicates, nearest, pii, quality, toxicity
 from tidewell.llm.common import hash_words, read_table, words_of
 from tidewell.llm.components import connected_components
 from tidewell.llm.elias_fano import EliasFano, Trie
 from tidewell.llm.language_model import score_texts
-from tidewell.llm.queries import QUERIES
+from tidewell.llm.queries import QUERIES, SQL
 
 EDGE = [(1, None, 9), (2, "", 9), (3, "x", 9), (4, "Plain words stand here. No more.\n", 9),
         (4, "Plain words stand here. No more.\n", 9), (None, "no id at all in this row", 9),
@@ -78,6 +78,9 @@ def test_components_are_those_of_all_pairs(spark, documents):
     found = QUERIES["op10_minhash_near_dedup"](spark, SF_DIR).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    assert sorted(con.execute(SQL["op10_minhash_near_dedup"]).fetchall()) == sorted(tuple(r) for r in found)
 
 
 def test_a_large_key_is_taken_apart_in_blocks(spark, monkeypatch):
@@ -208,6 +211,17 @@ def test_contamination_edge_rows(spark, edge):
     assert decontaminate.find_contamination(edge, items.limit(0)).count() == 0
 
 
+def test_a_long_item_leaves_no_short_segment(spark):
+    words = [f"w{i}" for i in range(64)] + ["the", "end"]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    docs = spark.createDataFrame(
+        [(1, "this is the end of a clean text"), (2, "so " * 70 + " ".join(words) + " so on"),
+         (3, "again " * 31 + " ".join(words[33:]))], "doc_id bigint, text string")
+    found = {r["doc_id"] for r in decontaminate.find_contamination(docs, items).collect()}
+    assert found == {2, 3}
+    assert decontaminate.drop_contaminated(docs, items).count() == 1
+
+
 # personal data
 
 _BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -272,6 +286,14 @@ def test_classifiers_without_labels(edge, labels):
     assert found[1] == found[2] == found[6] == "und" and found[4] == found[7] == "xx"
 
 
+def test_an_id_with_many_rows_stays_within_the_sample(spark):
+    from pyspark.sql import functions as F
+    docs = spark.range(3000).select(F.lit(1).cast("bigint").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    labels = spark.createDataFrame([(1, 1)], "doc_id bigint, toxic int")
+    sample = common.labelled_sample(docs, labels, "toxic", 10, 4, 2)
+    assert 0 < sample.count() <= 2 * common.most_rows(10)
+
+
 def test_noisy_or_and_offending_sentences():
     model = toxicity.fit_bags(["good day. you fool. fine"] * 20 + ["good day. fine"] * 30, [1] * 20 + [0] * 30)
     score, found = toxicity.sentence_scorer(model)("Fine. You FOOL! good day")

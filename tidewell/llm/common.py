@@ -20,11 +20,16 @@ def fold(doc_id: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % parts
 
 
+def most_rows(per_stratum: int) -> int:
+    """The bound of a sample that aims at so many rows of a value."""
+    return int(1.1 * per_stratum) + 100
+
+
 def bounded_sample(df: DataFrame, key: str, stratum: str, per_stratum: int) -> DataFrame:
     """About ``per_stratum`` rows of each value of ``stratum``, chosen by a hash of ``key``.
 
     The choice depends on the key alone, so a retried task finds the same rows.  At most
-    ``1.1 * per_stratum + 100`` rows of each value are returned.
+    ``most_rows(per_stratum)`` rows of each value are returned.
     """
     counts = {r[0]: r[1] for r in df.groupBy(stratum).count().collect()}
     kept = None
@@ -35,7 +40,7 @@ def bounded_sample(df: DataFrame, key: str, stratum: str, per_stratum: int) -> D
         if n > per_stratum:
             share = int(per_stratum / n * (1 << 30))
             rows = rows.filter(F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(1 << 30)) < share)
-            rows = rows.limit(int(1.1 * per_stratum) + 100)
+            rows = rows.limit(most_rows(per_stratum))
         kept = rows if kept is None else kept.unionByName(rows)
     return df.limit(0) if kept is None else kept
 
@@ -45,13 +50,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """(doc_id, text, label) of a bounded sample of labelled rows outside the held-out fold.
 
     Ids are sampled before any text is read; the join broadcasts only those ids, whose
-    number ``per_class`` bounds.
+    number ``per_class`` bounds.  Of an id that has many rows, so many texts go in that the
+    whole stays within the bound of both classes.
     """
     ids = (labels.select("doc_id", F.col(label).cast("int").alias("label"))
            .filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()
                    & (fold("doc_id", parts) != held_out)).distinct())
     ids = bounded_sample(ids, "doc_id", "label", per_class)
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+            .limit(2 * most_rows(per_class)))
 
 
 def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object:

@@ -1,7 +1,7 @@
 """Benchmark decontamination: a BM25 index of test items searched by block-max WAND.
 
-The index holds the test items, cut into segments of at most ``STRIDE`` words; its postings
-are in blocks that keep their largest impact.  Every training document is cut into
+The index holds the test items, cut evenly into segments of at most ``STRIDE`` words, so that
+no long item leaves a few common words as a segment of its own; its postings are in blocks that keep their largest impact.  Every training document is cut into
 passages, windows of ``2 * STRIDE`` words that start every ``STRIDE`` words, so that any segment
 copied into a document lies whole in one of its passages.  Each passage is a query: its distinct
 terms are searched with block-max WAND for all segments whose score reaches
@@ -66,10 +66,10 @@ class Index:
         self.item, self.parts = [], []
         segments = []
         for item, words, asked in items:
-            for start in range(0, max(1, len(words)), STRIDE):
-                piece = words[start:start + STRIDE]
-                if not piece:
-                    continue
+            pieces = -(-len(words) // STRIDE)
+            for i in range(pieces):
+                start = i * len(words) // pieces
+                piece = words[start:(i + 1) * len(words) // pieces]
                 cut = min(max(asked - start, 0), len(piece))
                 self.item.append(item)
                 self.parts.append((frozenset(grams(piece[:cut])), frozenset(grams(piece[cut:])),

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import bounded_sample, fit_in_task, fold, map_documents
+from tidewell.llm.common import bounded_sample, fit_in_task, fold, map_documents, most_rows
 
 LETTER = re.compile(r"[^\W\d_]")
 BITS = 12  # of each of the two feature tables
@@ -87,9 +87,11 @@ def fit_language(docs: DataFrame, *, parts: int = 5, held_out: int = 0,
     known = docs.select("doc_id", "text", F.col("lang").alias("label")).filter(
         F.col("label").isNotNull() & (fold("doc_id", parts) != held_out))
     names = sorted(r[0] for r in known.select("label").distinct().collect())
-    ids = bounded_sample(known.select("doc_id", "label"), "doc_id", "label",
-                         max(20, sample_docs // max(1, len(names))))
-    sample = known.join(F.broadcast(ids.distinct()), ["doc_id", "label"])
+    each = max(20, sample_docs // max(1, len(names)))
+    ids = bounded_sample(known.select("doc_id", "label"), "doc_id", "label", each)
+    # an id with many rows must not make the sample larger
+    sample = (known.join(F.broadcast(ids.distinct()), ["doc_id", "label"])
+              .limit(max(1, len(names)) * most_rows(each)))
 
     def fit(rows):
         pairs = [(t, k) for t, k in zip(rows["text"].to_pylist(), rows["label"].to_pylist())

@@ -105,5 +105,39 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op6_language_model": op6_language_model, "op3_nearest_neighbours": op3_nearest_neighbours, "op1_language_id": op1_language_id, "op2_quality": op2_quality, "op4_sentencepiece": op4_sentencepiece, "op8_token_counts": op8_token_counts, "op5_pii": op5_pii, "op9_decontaminate": op9_decontaminate, "op7_toxicity": op7_toxicity, "op10_minhash_near_dedup": op10_minhash_near_dedup}
-SQL: dict[str, str] = {}
+QUERIES = {fn.__name__: fn for fn in (
+    op1_language_id, op2_quality, op3_nearest_neighbours, op4_sentencepiece, op5_pii, op6_language_model,
+    op7_toxicity, op8_token_counts, op9_decontaminate, op10_minhash_near_dedup)}
+
+# Shingle sets, all linked pairs and the smallest id reachable.
+SQL = {"op10_minhash_near_dedup": r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    places AS (
+        SELECT doc_id, len(w) AS n_words, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+    runs AS (
+        SELECT doc_id, i, n_words, concat_ws(' ', word, lead(word, 1) OVER p, lead(word, 2) OVER p,
+            lead(word, 3) OVER p) AS shingle
+        FROM places WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+    shingles AS (SELECT DISTINCT doc_id, shingle FROM runs WHERE i <= greatest(1, n_words - 3)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    members AS (SELECT doc_id, shingle, n FROM shingles JOIN sizes USING (doc_id)),
+    links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b
+        FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+            AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n
+        HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (
+        SELECT a AS doc_id, b AS other FROM both_ways
+        UNION
+        SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON r.other = l.a),
+    least_reached AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id),
+    placed AS (
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id
+        FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached USING (doc_id))
+    SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM placed
+"""}
