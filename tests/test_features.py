@@ -12,7 +12,7 @@ from tidewell.operators import (
     frequency_index, hash_split, impute_group_mean, index_strings, random_split, remap_values,
     sized_for_broadcast,
 )
-from tidewell.plans.feature_build import FeatureSpec, build_features
+from tidewell.plans.feature_build import FeatureSpec, FittedFeatures, build_features, fit_features
 from tidewell.plans.jdbc_queries import DERBY_DRIVER
 from tidewell.session import with_conf
 from tidewell.sources import read_table, write_table
@@ -232,3 +232,27 @@ def test_build_features(people):
     assert by_id[3]["features"].toArray().tolist() == [3, 9, 20, 0, 0, 0, 1, 0, 0, 3]
     assert by_id[5]["features"].toArray().tolist() == [2, 27, 4, 1, 2, 3, 0, 1, 1, 2]
     assert by_id[2]["survived"] == 1.0
+
+
+def test_fitted_features_stored_and_applied(spark, people, tmp_path):
+    vectors = lambda df: {r["id"]: r["features"].toArray().tolist() for r in df.collect()}
+    fit_features(people, SPEC).save(str(tmp_path / "facts"))
+    fitted = FittedFeatures.load(spark, str(tmp_path / "facts"), SPEC)
+    assert vectors(fitted.transform(people)) == vectors(build_features(people, SPEC))
+    # One row without a label: title, port and age come from the fitted rows.
+    new = spark.createDataFrame([(9, 3, "Hill, Mr. Tim", "male", None, 0, 0, 7.0, None)],
+                                COLUMNS.replace("survived boolean, ", ""))
+    row = fitted.transform(new).first()
+    whole = vectors(build_features(people, SPEC))
+    assert "survived" not in row.asDict()
+    assert row["port_index"] == 0 and row["title_index"] == whole[1][SPEC.inputs.index("title_index")]
+    assert row["age"] is not None
+
+
+def test_fitted_features_meet_an_unknown_label(spark, people):
+    fitted = fit_features(people, SPEC)
+    odd = people.where("id = 1").withColumn("sex", F.lit("other"))
+    assert fitted.transform(odd, unknown="keep").first()["sex_index"] == 2
+    assert fitted.transform(odd, unknown="skip").count() == 0
+    with pytest.raises(Exception, match="[Uu]nseen"):
+        fitted.transform(odd).collect()

@@ -8,7 +8,7 @@ from tidewell.operators import (
     add_family, add_title, assemble, fill_mode, frequency_index, hash_split,
     impute_group_mean, index_strings, random_split,
 )
-from tidewell.plans.feature_build import FeatureSpec, build_features
+from tidewell.plans.feature_build import FeatureSpec, build_features, fit_features
 from tidewell.plans.registry import query, table
 
 # Titles as they appear in names, one for each nation.
@@ -196,9 +196,7 @@ def _index_sql(name):
         AS DOUBLE) AS {name}_index FROM full_rows GROUP BY {name})"""
 
 
-@query(rf"""
-    WITH {_TITLED},
-    lines AS (
+_NAMED = rf"""lines AS (
       SELECT l_orderkey, count(*) AS n_lines,
              count(*) FILTER (WHERE l_returnflag = 'R') AS n_returned,
              min(l_returnflag) AS port
@@ -212,7 +210,12 @@ def _index_sql(name):
              o_totalprice AS fare, port
       FROM orders JOIN titled ON o_custkey = c_custkey
       LEFT JOIN lines ON o_orderkey = l_orderkey),
-    named AS (SELECT *, CASE t {_REMAP_CASE} ELSE t END AS title FROM raw),
+    named AS (SELECT *, CASE t {_REMAP_CASE} ELSE t END AS title FROM raw)"""
+
+
+@query(rf"""
+    WITH {_TITLED},
+    {_NAMED},
     full_rows AS (
       SELECT * REPLACE (
         coalesce(age, round(avg(age) OVER (PARTITION BY title), 0)) AS age,
@@ -232,3 +235,38 @@ def feature_build(spark, sf_dir):
     element = vector_to_array("features")
     return built.select("passenger_id", "survived",
                         *[element[i].alias(c) for i, c in enumerate(SPEC.inputs)])
+
+
+def _fitted_index_sql(name):
+    return f"""(SELECT {name}, CAST(row_number() OVER (ORDER BY count(*) DESC, {name}) - 1
+        AS DOUBLE) AS {name}_index FROM full_rows WHERE is_train GROUP BY {name})"""
+
+
+@query(rf"""
+    WITH {_TITLED},
+    {_NAMED},
+    marked AS (
+      SELECT *, CAST('0x' || substr(md5(CAST(passenger_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80
+        AS is_train FROM named),
+    means AS (SELECT title, round(avg(age), 0) AS mean_age FROM marked WHERE is_train GROUP BY title),
+    full_rows AS (
+      SELECT * REPLACE (
+        coalesce(age, mean_age) AS age,
+        coalesce(port, (SELECT port FROM marked WHERE is_train AND port IS NOT NULL
+                        GROUP BY port ORDER BY count(*) DESC, port LIMIT 1)) AS port)
+      FROM marked LEFT JOIN means USING (title))
+    SELECT passenger_id, survived, CAST(class AS DOUBLE) AS class, fare, age,
+           CAST(relatives AS DOUBLE) AS relatives, CAST(children AS DOUBLE) AS children,
+           CAST(relatives + children AS DOUBLE) AS family_size,
+           CAST(relatives + children = 0 AS DOUBLE) AS alone,
+           segment_index, port_index, title_index
+    FROM full_rows JOIN {_fitted_index_sql('segment')} USING (segment)
+      JOIN {_fitted_index_sql('port')} USING (port) JOIN {_fitted_index_sql('title')} USING (title)
+    WHERE NOT is_train""")
+def feature_build_fitted(spark, sf_dir):
+    """The feature build learned on the training side, applied to the other."""
+    marked = hash_split(passengers(spark, sf_dir), ["passenger_id"])
+    built = fit_features(marked.where("is_train"), SPEC).transform(marked.where("not is_train"))
+    element = vector_to_array("features")
+    return built.select("passenger_id", "survived",
+                        *[element[i].alias(c) for i, c in enumerate(SPEC.inputs)])
