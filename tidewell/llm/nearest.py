@@ -4,7 +4,7 @@ Equal vectors are one entry that keeps its smallest ids, as many as a result can
 k-means on a bounded sample gives the lists; every vector is placed in the list of its nearest
 centre, and a query probes the lists whose centres have the largest product with it.  The
 number of probed lists is the smallest that finds ``TARGET`` of the true neighbours of sample
-queries.  Long lists are dealt into chunks, so no task gets a whole hot list.
+queries; a query whose lists hold fewer candidates than a result can use goes on to its next lists.  Long lists are dealt into chunks, so no task gets a whole hot list.
 
 Within a list vectors are rotated at random and scanned in column blocks.  A query starts
 with a bound, its k-th best product with the sample's vectors in its lists.  After each block, the part of the product still missing is, by the rotation, spread around 0 with
@@ -241,27 +241,35 @@ def nearest_neighbours(vectors: DataFrame, *, id_column: str = "vec_id", vector:
     model = fit_in_task(sample.select("vec"), lambda rows: fit_lists(rows["vec"].to_pylist(), dim, total, k))
     shared = spark.sparkContext.broadcast(model)  # at most MAX_LISTS centres and FLOOR_BYTES
 
-    def lists(batches, asked):
+    def lists(batches, asked, held=None):
         m = shared.value
         c = m["centres"]
         for batch in batches:
             x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32).reshape(-1, dim).astype(float)
             if asked:
-                found = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :m["probes"]]
+                found = np.argsort(-(x @ c.T), axis=1, kind="stable")
+                short = (np.cumsum(held[found], axis=1) < keep).sum(axis=1) + 1
+                wanted = np.minimum(np.maximum(short, m["probes"]), len(c))
+                taken = np.arange(len(c)) < wanted[:, None]
             else:
                 found = np.argmax(x @ c.T - 0.5 * (c * c).sum(axis=1), axis=1)[:, None]
-            owner = pa.array(np.repeat(np.arange(len(x)), found.shape[1]))
+                taken = np.ones(found.shape, bool)
+            owner = pa.array(np.repeat(np.arange(len(x)), taken.sum(axis=1)))
             names, columns = batch.schema.names, batch.columns
             if asked:
-                names, columns = [*names, "floor"], [*columns, pa.array(floors(x, found, m, keep))]
+                probed = np.where(taken, found, found[:, :1])[:, :wanted.max(initial=1)]
+                names, columns = [*names, "floor"], [*columns, pa.array(floors(x, probed, m, keep))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found.ravel(), pa.int32()), *[col.take(owner) for col in columns]],
+                [pa.array(found[taken], pa.int32()), *[col.take(owner) for col in columns]],
                 names=["list", *names])
 
     placed = materialize(entries.select("rep", "vec", "ids").mapInArrow(
         lambda b: lists(b, False), "list int, rep bigint, vec binary, ids array<bigint>"), "lists")
+    ids_held = np.zeros(len(model["centres"]), np.int64)
+    for r in placed.groupBy("list").agg(F.sum(F.size("ids"))).collect():  # at most MAX_LISTS rows
+        ids_held[r[0]] = r[1]
     probes = materialize(entries.filter("asked").select("rep", "vec").mapInArrow(
-        lambda b: lists(b, True), "list int, rep bigint, vec binary, floor double"), "probes")
+        lambda b: lists(b, True, ids_held), "list int, rep bigint, vec binary, floor double"), "probes")
 
     def split(rows: DataFrame):
         """Into how many parts of about ``CHUNK`` rows each list is dealt, as a literal array."""
