@@ -1,16 +1,21 @@
 """Benchmark decontamination: a BM25 index of test items searched by block-max WAND.
 
-The index holds the test items, cut evenly into segments of at most ``STRIDE`` words, so that
-no long item leaves a few common words as a segment of its own; its postings are in blocks that keep their largest impact.  Every training document is cut into
+The index holds the test items and, as segments of their own, their question and answer parts
+where these are telling: a question from ``NGRAM`` words on, an answer from ``TELLING``.  What is
+longer than ``STRIDE`` words is cut into segments of that length, evenly spread, that overlap by
+half or more.  Postings are in blocks that keep their largest impact.  Every training document is cut into
 passages, windows of ``2 * STRIDE`` words that start every ``STRIDE`` words, so that any segment
 copied into a document lies whole in one of its passages.  Each passage is a query: its distinct
 terms are searched with block-max WAND for all segments whose score reaches
 ``min_score`` of the segment's score for itself.  A retrieved segment is then verified on
-word n-grams: the share of the n-grams of its question part and of its answer part that
-stand in the passage.  Both parts together must reach ``min_overlap``.
-
-Before the search, passages that cannot hold any segment are put aside without loss: of each
-segment, the commonest terms that make up at most ``COMMON`` of its score are left out, and
+word n-grams: the share of its n-grams that stand in the passage must reach ``min_overlap``, and
+must be all of them for a question of less than ``TELLING`` words.  So an item is found by its
+whole, by its question alone or by its answer alone.  ``min_score`` is below ``min_overlap``
+because the half of a segment that is copied may hold its commoner words.
+
+Before the search, passages that cannot hold any segment are put aside without loss: first
+those that hold too few n-grams of every segment to pass the verification, counted by n-gram hashes;
+then, of each segment, the commonest terms that make up at most ``COMMON`` of its score are left out, and
 the rest of the threshold must come from its other terms, whose postings are short.
 
 Terms are lower-case runs of letters and digits.  Impacts are divided by the segment's own
@@ -34,11 +39,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import map_documents
+from tidewell.llm.common import map_documents, mix64
 from tidewell.session import materialize
 
 TERM = re.compile(r"[^\W_]+")
 STRIDE = 64
+TELLING = 10
+MIN_SCORE = 0.3
 BLOCK = 16
 K1, B = 1.2, 0.75
 NGRAM = 5
@@ -58,23 +65,46 @@ def grams(words: list[str], n: int = NGRAM) -> set[tuple]:
     return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))}
 
 
+def pieces(words: list[str]) -> list[tuple[int, list[str]]]:
+    """Start and words of each segment: all words, or windows of ``STRIDE`` that overlap by half."""
+    more = -(-max(0, len(words) - STRIDE) // (STRIDE // 2))
+    starts = [i * (len(words) - STRIDE) // more for i in range(more + 1)] if more else [0]
+    return [(s, words[s:s + STRIDE]) for s in starts] if words else []
+
+
+def _gram_hashes(ids: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the ``n`` word numbers from each place on."""
+    out = np.full(max(0, len(ids) - n + 1), n, np.uint64)
+    for i in range(n):
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + ids[i:i + len(out)].astype(np.uint64))
+    return out
+
+
 class Index:
     """Postings of the segments, and what is needed to verify a segment."""
 
     def __init__(self, items: list[tuple[int, list[str], int]]):
         """``items``: (item id, words, number of words of the question)."""
-        self.item, self.parts = [], []
+        self.item, self.parts, self.whole = [], [], []
         segments = []
+
+        def add(item, piece, question, answer, whole=False):
+            self.item.append(item)
+            self.parts.append((question, answer, frozenset(grams(piece))))
+            self.whole.append(whole)  # found only by all n-grams
+            segments.append(Counter(piece))
+
         for item, words, asked in items:
-            pieces = -(-len(words) // STRIDE)
-            for i in range(pieces):
-                start = i * len(words) // pieces
-                piece = words[start:(i + 1) * len(words) // pieces]
+            question, answer = (frozenset(grams(x)) for x in (words[:asked], words[asked:]))
+            for start, piece in pieces(words):
                 cut = min(max(asked - start, 0), len(piece))
-                self.item.append(item)
-                self.parts.append((frozenset(grams(piece[:cut])), frozenset(grams(piece[cut:])),
-                                   frozenset(grams(piece))))
-                segments.append(Counter(piece))
+                add(item, piece, frozenset(grams(piece[:cut])), frozenset(grams(piece[cut:])))
+            if NGRAM <= asked < len(words):
+                for _, piece in pieces(words[:asked]):
+                    add(item, piece, frozenset(grams(piece)), answer, asked < TELLING)
+            if 0 < asked <= len(words) - TELLING:
+                for _, piece in pieces(words[asked:]):
+                    add(item, piece, question, frozenset(grams(piece)))
         n = len(segments)
         held = Counter(t for s in segments for t in s)
         mean = sum(sum(s.values()) for s in segments) / n if n else 1
@@ -92,6 +122,53 @@ class Index:
                           for t, xs in self.impacts.items()}
         self.most = {t: max(xs) for t, xs in self.impacts.items()}
         self._rare_postings(n)
+        self._gram_postings()
+
+    def _gram_postings(self) -> None:
+        """Hashes of the n-grams of all segments, with the segments of each."""
+        self.numbers = {t: i for i, t in enumerate(self.ids)}
+        postings: dict[tuple, list[int]] = {}
+        for place, (_, _, whole) in enumerate(self.parts):
+            for gram in whole:
+                postings.setdefault(gram, []).append(place)
+        self.lengths = sorted({len(g) for g in postings})
+        keys = np.array([int(_gram_hashes(np.array([self.numbers[t] for t in g], np.int64), len(g))[0])
+                         for g in postings], np.uint64)
+        order = np.argsort(keys, kind="stable")
+        held = list(postings.values())
+        self.gram_keys = keys[order]
+        self.gram_first = np.concatenate([[0], np.cumsum([len(held[i]) for i in order])]).astype(np.int64)
+        self.gram_segment = np.array([p for i in order for p in held[i]], np.int64)
+        self.gram_count = np.array([len(whole) for _, _, whole in self.parts], float)
+
+    def overlapping(self, words: list[str], min_overlap: float) -> np.ndarray:
+        """The passages of a text that may hold enough n-grams of some segment; equal hashes only add."""
+        get = self.numbers.get
+        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        last = max(0, (len(words) - STRIDE - 1) // STRIDE)
+        found, v = [], max(1, len(self.gram_keys))
+        for n in self.lengths:
+            known = np.cumsum(np.concatenate([[0], ids >= 0]))
+            at = np.flatnonzero(known[n:] - known[:-n] == n)
+            if len(at) == 0:
+                continue
+            keys = _gram_hashes(ids, n)[at]
+            first = np.searchsorted(self.gram_keys, keys)
+            hit = self.gram_keys[np.minimum(first, v - 1)] == keys
+            at, first = at[hit], first[hit]
+            here = np.minimum(at // STRIDE, last)
+            before = at // STRIDE - 1
+            inside = (before >= 0) & (before < here)
+            found += [here * v + first, (before * v + first)[inside]]
+        pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        passage, gram = pairs // v, pairs % v
+        size = self.gram_first[gram + 1] - self.gram_first[gram]
+        row = np.repeat(np.arange(len(gram)), size)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + self.gram_first[gram][row]
+        keys, count = np.unique(passage[row] * len(self.item) + self.gram_segment[place], return_counts=True)
+        segment = keys % max(1, len(self.item))
+        least = np.where(np.array(self.whole, bool)[segment], 1.0, min_overlap)
+        return np.unique(keys[count >= least * self.gram_count[segment] - 1e-9] // max(1, len(self.item)))
 
     def _rare_postings(self, n: int) -> None:
         """Postings without each segment's commonest terms, and the score left out of each."""
@@ -194,7 +271,8 @@ def find_items(text: str | None, index: Index, min_score: float, min_overlap: fl
     best: dict[int, tuple] = {}
     if not words:
         return []
-    for p in index.passages(words, min_score):
+    kept = index.overlapping(words, min_overlap)
+    for p in np.intersect1d(kept, index.passages(words, min_score)) if len(kept) else ():
         passage = words[p * STRIDE:(p + 2) * STRIDE]
         hits = index.search(sorted(set(passage)), min_score)
         if not hits:
@@ -203,11 +281,11 @@ def find_items(text: str | None, index: Index, min_score: float, min_overlap: fl
                                  for i in range(len(passage) - n + 1)}
         for place, score in hits:
             question, answer, whole = index.parts[place]
-            if contained(whole, seen) >= min_overlap:
+            if contained(whole, seen) >= (1.0 if index.whole[place] else min_overlap):
                 row = (index.item[place], int(p), score, contained(question, seen),
                        contained(answer, seen))
                 old = best.get(row[0])
-                if old is None or (row[2], -row[1]) > (old[2], -old[1]):
+                if old is None or (round(row[2], 9), -row[1]) > (round(old[2], 9), -old[1]):
                     best[row[0]] = row
     return [best[i] for i in sorted(best)]
 
@@ -233,7 +311,7 @@ def _indexes(items: DataFrame, id_column: str, text: str, answer: str | None) ->
 
 def find_contamination(docs: DataFrame, items: DataFrame, *, item_id: str = "item_id",
                        item_text: str = "text", item_answer: str | None = None,
-                       min_score: float = 0.5, min_overlap: float = 0.5) -> DataFrame:
+                       min_score: float = MIN_SCORE, min_overlap: float = 0.5) -> DataFrame:
     """``doc_id``, ``item_id``, ``passage``, ``score``, ``question_overlap`` and
     ``answer_overlap`` for every test item found in a document."""
     found = None
@@ -256,7 +334,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame
     """The rows, with all columns, whose text holds no test item."""
     import pyarrow as pa
 
-    min_score, min_overlap = options.pop("min_score", 0.5), options.pop("min_overlap", 0.5)
+    min_score, min_overlap = options.pop("min_score", MIN_SCORE), options.pop("min_overlap", 0.5)
     names = {k: options.get(k, d) for k, d in (("item_id", "item_id"), ("item_text", "text"),
                                                ("item_answer", None))}
     for index in _indexes(items, names["item_id"], names["item_text"], names["item_answer"]):
