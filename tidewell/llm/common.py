@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,6 +110,17 @@ def map_documents(docs: DataFrame, columns: list[str], schema: str,
     return docs.select(*columns).mapInArrow(run, fields)
 
 
+def text_pieces(batch: pa.RecordBatch, column: str, piece_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts hold about ``piece_bytes``; a longer text is a slice by itself."""
+    sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    total, at = np.cumsum(sizes), 0
+    while at < batch.num_rows:
+        before = total[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(total, before + piece_bytes, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 class Memo(dict):
     """Values of words, computed at first use; starts afresh at ``MEMO_ENTRIES``."""
 

@@ -13,6 +13,7 @@ from tidewell.llm.near_duplicates import near_duplicates
 from tidewell.llm.nearest import nearest_neighbours
 from tidewell.llm.pii import KINDS, find_pii, fit_pii
 from tidewell.llm.quality import fit_quality, score_quality
+from tidewell.llm.resampling import resample
 from tidewell.llm.sentencepiece import encode_documents
 from tidewell.llm.token_counts import count_tokens
 from tidewell.llm.toxicity import fit_toxicity, score_toxicity
@@ -105,9 +106,15 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and noisy score of every document, and the rank of those drawn towards the benchmark."""
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {fn.__name__: fn for fn in (
     op1_language_id, op2_quality, op3_nearest_neighbours, op4_sentencepiece, op5_pii, op6_language_model,
-    op7_toxicity, op8_token_counts, op9_decontaminate, op10_minhash_near_dedup)}
+    op7_toxicity, op8_token_counts, op9_decontaminate, op10_minhash_near_dedup,
+    op11_importance_resampling)}
 
 # Shingle sets, all linked pairs and the smallest id reachable.
 SQL = {"op10_minhash_near_dedup": r"""
@@ -140,4 +147,42 @@ SQL = {"op10_minhash_near_dedup": r"""
         SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id
         FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached USING (doc_id))
     SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM placed
+""",
+# CRC-32 byte by byte over the distinct words' bytes, by a table built in SQL.
+"op11_importance_resampling": r"""
+    WITH crc_table AS (
+        SELECT list(list_reduce(list_prepend(b::BIGINT, range(8)),
+            lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY b) AS t
+        FROM range(256) r(b)),
+    texts AS (
+        SELECT 'd' AS kind, doc_id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+    split AS (
+        SELECT kind, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM texts),
+    features AS (SELECT kind, doc_id, unnest(w) AS word FROM split),
+    words AS (
+        SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(word) + 1),
+            lambda i: ('0x' || substr(hex(word), (2 * i - 1)::INT, 2))::BIGINT)),
+            lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+        FROM (SELECT DISTINCT word FROM features), crc_table),
+    placed AS (SELECT kind, doc_id, bucket FROM features JOIN words USING (word)),
+    counts AS (
+        SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM placed GROUP BY bucket),
+    totals AS (SELECT coalesce(sum(s), 0)::DOUBLE AS s_all, coalesce(sum(t), 0)::DOUBLE AS t_all FROM counts),
+    gains AS (
+        SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)
+            / ((s + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain FROM counts, totals),
+    weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM placed JOIN gains USING (bucket)
+        WHERE kind = 'd' GROUP BY doc_id),
+    scored AS (
+        SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+            coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln(
+                (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+        FROM split LEFT JOIN weights USING (doc_id) WHERE kind = 'd'),
+    drawn AS (
+        SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+        FROM scored WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+    FROM scored LEFT JOIN drawn USING (doc_id)
 """}
