@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import fold, read_table
 from tidewell.llm.decontaminate import find_contamination
+from tidewell.llm.filter_audit import audit_filters
 from tidewell.llm.language import fit_language, identify_language
 from tidewell.llm.language_model import score_texts
+from tidewell.llm.line_runs import drop_frequent_lines
 from tidewell.llm.near_duplicates import near_duplicates
 from tidewell.llm.nearest import nearest_neighbours
 from tidewell.llm.pii import KINDS, find_pii, fit_pii
@@ -111,10 +113,21 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that at least ten documents hold."""
+    return drop_frequent_lines(read_table(spark, sf_dir, "documents"), limit=10, min_chars=1).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, in all 120 orders, for each language."""
+    return audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {fn.__name__: fn for fn in (
     op1_language_id, op2_quality, op3_nearest_neighbours, op4_sentencepiece, op5_pii, op6_language_model,
     op7_toxicity, op8_token_counts, op9_decontaminate, op10_minhash_near_dedup,
-    op11_importance_resampling)}
+    op11_importance_resampling, op12_line_dedup, op13_filter_audit)}
 
 # Shingle sets, all linked pairs and the smallest id reachable.
 SQL = {"op10_minhash_near_dedup": r"""
@@ -185,4 +198,56 @@ SQL = {"op10_minhash_near_dedup": r"""
         FROM scored WHERE n_features >= 20)
     SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
     FROM scored LEFT JOIN drawn USING (doc_id)
+""",
+"op12_line_dedup": r"""
+    WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+    lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM split),
+    keyed AS (
+        SELECT doc_id, line, i, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM lines),
+    frequent AS (
+        SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+    marked AS (SELECT doc_id, line, i, frequent.key IS NOT NULL AS gone FROM keyed LEFT JOIN frequent USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id
+""",
+# Each row's failed filters as a string, then every order of the letters.
+"op13_filter_audit": r"""
+    WITH words AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    firsts AS (SELECT text, min(doc_id) AS first FROM words GROUP BY text),
+    marks AS (SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good,
+        max(coalesce(toxic = 1, false)::INT) AS toxic FROM labels GROUP BY doc_id),
+    failed AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, concat(
+            CASE WHEN len(w) < 100 THEN 'A' END,
+            CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' END,
+            CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * length(text) THEN 'C' END,
+            CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+            CASE WHEN doc_id > first THEN 'E' END) AS f
+        FROM words JOIN firsts USING (text) LEFT JOIN marks USING (doc_id)),
+    kinds AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, f),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    orders AS (
+        SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE b.x <> a.x AND c.x NOT IN (a.x, b.x) AND d.x NOT IN (a.x, b.x, c.x)
+            AND e.x NOT IN (a.x, b.x, c.x, d.x)),
+    steps AS (
+        SELECT filter_order, step::INT AS step, substr(filter_order, step::INT, 1) AS own,
+            substr(filter_order, 1, step::INT - 1) AS earlier
+        FROM orders, range(1, 6) r(step)),
+    met AS (
+        SELECT *, contains(f, own) AS fails, translate(f, earlier, '') <> f AS gone FROM kinds, steps)
+    SELECT part, filter_order, step,
+        coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (f = own), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost,
+        sum(coalesce(sum(n) FILTER (fails AND NOT gone), 0)) OVER (PARTITION BY part, own)::BIGINT AS shapley
+    FROM met GROUP BY part, filter_order, step, own
 """}
