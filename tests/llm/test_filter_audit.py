@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 from itertools import permutations
 
 import duckdb
-import numpy as np
+import pyarrow as pa
 
 from tests.conftest import SF_DIR
 from tidewell.llm import filter_audit
@@ -82,13 +82,11 @@ def test_empty_tables(spark):
     assert {tuple(r) for r in audit_filters(docs, labels.limit(0)).collect()} == _plain(ROWS, [])
 
 
-def test_matrix_rows():
-    words, pointers, columns, counts = _matrix([b"b a b", b"", b"c\x0ba"])
-    assert words.to_pylist() == [b"b", b"a", b"c"]
-    assert pointers.tolist() == [0, 2, 2, 4]
-    assert columns.tolist() == [0, 1, 1, 2] and counts.tolist() == [2, 1, 1, 1]
-    assert [len(a) for a in _matrix([b""])[1:]] == [2, 0, 0]
-    assert np.diff(_matrix([b"", b"x"])[1]).tolist() == [0, 1]
+def test_matrix_cells():
+    words, cells, counts = _matrix(pa.array(["b a b", "", " c\x0ba\x1c \n", "\t"]))
+    assert words.to_pylist() == ["b", "a", "c", "a\x1c"]
+    assert cells.tolist() == [0, 1, 2 * 4 + 2, 2 * 4 + 3] and counts.tolist() == [2, 1, 1, 1]
+    assert [len(a) for a in _matrix(pa.array(["", ""]))] == [0, 0, 0]
 
 
 def test_query_equals_its_sql(spark):

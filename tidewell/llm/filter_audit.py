@@ -1,9 +1,9 @@
 """How five document filters interact, from a sparse document-term matrix.
 
 One pass over the texts cuts them into shards of about ``SHARD_BYTES``, each with its distinct words and, for
-every text, the places of its words among them with their counts: the rows of a sparse matrix in compressed form
-(pointers, columns, values).  The distinct words of all shards are numbered once for the whole table, and the numbers
-come back to the shards, whose columns they become.  Row sums are then a text's words, nonzero
+every text, the places of its words among them with their counts: the filled cells of a sparse matrix.  The
+distinct words of all shards are numbered once for the whole table, and the numbers come back to the shards, where they
+become the columns of its compressed rows (pointers, columns, values).  Row sums are then a text's words, nonzero
 counts its distinct words, and these decide filters A and B.  The pass also finds C and D; equal texts
 by hash decide E.  What each row fails becomes a set of at most five letters, and rows are only
 counted by part and set: the 120 orders are worked out on these few counts.
@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import text_pieces
@@ -41,22 +42,30 @@ MIN_WORDS = 100
 MIN_DISTINCT_PERCENT = 80
 MAX_CAPITAL_PERCENT = 10
 MARKS = b"#$%&*|"
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 _CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_SHARD = ("shard bigint, words array<binary>, pointers binary, columns binary, counts binary, "
-          "doc_id array<bigint>, part array<string>, t1 array<bigint>, t2 array<bigint>, marks array<int>")
+_SHARD = ("shard bigint, words array<string>, cells binary, counts binary, doc_id array<bigint>, "
+          "part array<string>, t1 array<bigint>, t2 array<bigint>, marks array<int>")
 
 
-def _matrix(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words of the texts, and the rows of the texts' counts over them."""
-    split = [t.split() for t in texts]  # at ASCII white space
-    sizes = np.array([len(w) for w in split], np.int64)
-    coded = pa.array([w for words in split for w in words], pa.binary()).dictionary_encode()
-    row = np.repeat(np.arange(len(texts)), sizes)
-    width = max(1, len(coded.dictionary))
-    cells, counts = np.unique(row * width + coded.indices.to_numpy(), return_counts=True)
-    pointers = np.searchsorted(cells, np.arange(len(texts) + 1) * width)
-    return coded.dictionary, pointers, (cells % width).astype(np.int32), counts.astype(np.int32)
+def _packed(values: np.ndarray, kind: type) -> bytes:
+    return zstandard.compress(values.astype(kind).tobytes(), 1)
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), kind).astype(np.int64)
+
+
+def _matrix(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of the texts, the filled cells (text * words + word) in order, and their counts."""
+    split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts.cast(pa.large_string())))
+    words = pc.list_flatten(split)
+    row = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+    some = pc.greater(pc.binary_length(words), 0)  # a blank text is split into one empty word
+    row = row[some.to_numpy(zero_copy_only=False)]
+    coded = words.filter(some).dictionary_encode()
+    cells, counts = np.unique(row * max(1, len(coded.dictionary)) + coded.indices.to_numpy(), return_counts=True)
+    return coded.dictionary.cast(pa.string()), cells, counts
 
 
 def _marks(text: bytes) -> int:
@@ -73,28 +82,31 @@ def shards(docs: DataFrame) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for piece in text_pieces(batch, "text", SHARD_BYTES):
+                words, cells, counts = _matrix(pc.fill_null(piece["text"], ""))
                 texts = pc.fill_null(piece["text"], "").cast(pa.binary()).to_pylist()
-                words, pointers, columns, counts = _matrix(texts)
                 names = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, texts)), "<i8").reshape(-1, 2)
                 whole = [piece["doc_id"], piece["part"], pa.array(names[:, 0].copy()), pa.array(names[:, 1].copy()),
                          pa.array([_marks(t) for t in texts], pa.int32())]
                 row = [pa.array([number], pa.int64()), pa.ListArray.from_arrays([0, len(words)], words),
-                       *[pa.array([a.tobytes()], pa.binary()) for a in (pointers, columns, counts)],
+                       pa.array([_packed(np.diff(cells, prepend=0), np.int64)], pa.binary()),
+                       pa.array([_packed(counts, np.int32)], pa.binary()),
                        *[pa.ListArray.from_arrays([0, len(a)], a) for a in whole]]
                 number += 1
-                yield pa.RecordBatch.from_arrays(row, ["shard", "words", "pointers", "columns", "counts",
-                                                       "doc_id", "part", "t1", "t2", "marks"])
+                yield pa.RecordBatch.from_arrays(row, ["shard", "words", "cells", "counts", "doc_id",
+                                                       "part", "t1", "t2", "marks"])
 
     return docs.select("doc_id", "text", "part").mapInArrow(run, _SHARD)
 
 
 def word_numbers(parts: DataFrame) -> DataFrame:
-    """(shard, place, number): the number that each word of a shard has in the whole table."""
-    words = parts.select(F.col("shard").alias("shard"), F.posexplode("words").alias("place", "word"))
-    # written once, so a number stays with its word
-    numbers = materialize(words.select("word").distinct()
-                          .withColumn("number", F.monotonically_increasing_id()), "dictionary")
-    return words.join(numbers, "word").select("shard", "place", "number")
+    """(shard, place, number): the number that each word of a shard has in the whole table.
+
+    It is the smallest among the places at which shards hold the word, numbered through the table.
+    """
+    words = (parts.select(F.col("shard").alias("shard"), F.posexplode("words").alias("place", "word"))
+             .withColumn("_place", F.monotonically_increasing_id()))
+    number = F.min("_place").over(Window.partitionBy("word"))
+    return words.select("shard", "place", number.alias("number"))
 
 
 def _rows(parts: pa.Table, numbers: pa.Table) -> pa.Table:
@@ -104,11 +116,13 @@ def _rows(parts: pa.Table, numbers: pa.Table) -> pa.Table:
     out = []
     for row in parts.to_batches():
         for i in range(row.num_rows):
-            pointers, columns, counts = (np.frombuffer(row[c][i].as_py(), kind) for c, kind in (
-                ("pointers", np.int64), ("columns", np.int32), ("counts", np.int32)))
-            columns = number[columns]  # the matrix over the whole table's words
             texts = {c: row[c][i].values for c in ("doc_id", "part", "t1", "t2", "marks")}
-            sums = np.diff(np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[pointers])
+            cells, counts = np.cumsum(_unpacked(row["cells"][i].as_py(), np.int64)), _unpacked(row["counts"][i].as_py(), np.int32)
+            width = max(1, len(number))
+            # the rows of the matrix over the whole table's words: pointers, columns, values
+            pointers = np.searchsorted(cells, np.arange(len(texts["doc_id"]) + 1) * width)
+            columns = number[cells % width]
+            sums = np.diff(np.concatenate([[0], np.cumsum(counts)])[pointers])
             filled = np.diff(np.concatenate([[0], np.cumsum(columns >= 0)])[pointers])
             failed = np.where(sums < MIN_WORDS, 1, 0) | np.where(
                 100 * filled < MIN_DISTINCT_PERCENT * sums, 2, 0)
