@@ -10,7 +10,7 @@ from tidewell import catalog
 from tidewell.plans.history import daily_counts, dated, write_with_history
 from tidewell.sinks import (
     WriteLedger, compact, compact_table, export_csv, keyed_upsert, latest_per_key, partition_detail,
-    table_detail, upsert_table, write_lake,
+    table_detail, upsert_partitions, upsert_table, write_lake,
 )
 from tidewell.sources import read_lake
 
@@ -164,6 +164,90 @@ def test_upsert_table(spark, book, tmp_path):
     assert rows(spark.table("unit_book")) == rows(after)
 
 
+def _partitioned_book(spark, tmp_path, name):
+    rows_by_kind = spark.createDataFrame(
+        [(1, "a", "k", 1), (2, "b", "k", 1), (3, "c", "m", 1), (4, "d", "n", 1), (5, "e", None, 1),
+         (6, "f", "p'q", 2), (7, "g", "o", 1)], "id int, name string, kind string, zone int")
+    write_lake(rows_by_kind, str(tmp_path / name), ["kind", "zone"])
+    return catalog.create_external_table(spark, name, str(tmp_path / name),
+                                         rows_by_kind.schema, ["kind", "zone"])
+
+
+def _files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, tmp_path, plan_of):
+    _partitioned_book(spark, tmp_path, "unit_touched")
+    before = _files(tmp_path / "unit_touched")
+    ledger = WriteLedger(spark, str(tmp_path / "ledger"))
+    # 3 moves from m to k, 5 is changed where it is, 9 is new in a new partition
+    source = spark.createDataFrame(
+        [(3, "C", "k", 1, 1), (5, "E", None, 1, 1), (9, "i", "new", 1, 1), (9, "I", "new", 1, 2)],
+        "id int, name string, kind string, zone int, seq int")
+    after = upsert_partitions(spark, "unit_touched", source, ["id"], ["seq"], ledger)
+    expected = [(1, "a", "k", 1), (2, "b", "k", 1), (3, "C", "k", 1), (4, "d", "n", 1), (5, "E", None, 1),
+                (6, "f", "p'q", 2), (7, "g", "o", 1), (9, "I", "new", 1)]
+    assert rows(after, "id", "name", "kind", "zone") == expected
+    now = _files(tmp_path / "unit_touched")
+    kept = {f for f in before if now.get(f) == before[f]}
+    assert {f.split("/")[0] for f in kept} == {"kind=n", "kind=p%27q", "kind=o"}
+    assert not any(f.startswith("kind=m/") for f in now)
+    # a repair finds nothing that had been taken out
+    assert rows(catalog.refresh_table(spark, "unit_touched", partitioned=True),
+                "id", "name", "kind", "zone") == expected
+    assert rows(ledger.read(), "operation", "num_rows") == [("UPSERT", 5)]
+    again = upsert_partitions(spark, "unit_touched", source, ["id"], ["seq"])
+    assert rows(again, "id", "name", "kind", "zone") == expected
+    nothing = upsert_partitions(spark, "unit_touched", source.limit(0), ["id"], ["seq"])
+    assert rows(nothing, "id", "name", "kind", "zone") == expected
+
+
+def test_a_key_with_the_partition_reads_only_its_partitions(spark, tmp_path, plan_of):
+    from tidewell.sinks import touched_partitions
+    table = _partitioned_book(spark, tmp_path, "unit_pruned")
+    latest = spark.createDataFrame([(1, "A", "k", 1), (8, "h", "k", 1)],
+                                   "id int, name string, kind string, zone int")
+    touched = touched_partitions(table, latest, ["id", "kind", "zone"], ["kind", "zone"])
+    assert rows(touched) == [("k", 1, 3, 3)]
+    assert "dynamicpruning" in plan_of(touched)
+
+
+def test_a_failed_upsert_leaves_the_table(spark, tmp_path):
+    _partitioned_book(spark, tmp_path, "unit_failed")
+    before, files = rows(spark.table("unit_failed")), _files(tmp_path / "unit_failed")
+    bad = spark.createDataFrame([(1, "x", "k", 1, 1), (None, "y", "k", 1, 1)],
+                                "id int, name string, kind string, zone int, seq int")
+    with pytest.raises(PySparkException, match="null in key"):
+        upsert_partitions(spark, "unit_failed", bad, ["id"], ["seq"])
+    late = bad.where("id IS NOT NULL").withColumn(
+        "name", F.when(F.col("seq") == 1, F.raise_error(F.lit("late failure"))).otherwise(F.col("name")))
+    with pytest.raises(PySparkException, match="late failure"):
+        upsert_partitions(spark, "unit_failed", late, ["id"], ["seq"])
+    assert rows(spark.table("unit_failed")) == before and _files(tmp_path / "unit_failed") == files
+
+
+@pytest.mark.parametrize("step", ["refresh_table", "_rename"])
+def test_a_failed_move_leaves_the_table(spark, tmp_path, monkeypatch, step):
+    name = f"unit_move_{step.strip('_')}"
+    before = rows(_partitioned_book(spark, tmp_path, name))
+    write_lake(spark.table(name).limit(1), str(tmp_path / "moved"), ["kind", "zone"])
+    real, calls = getattr(catalog, step), []
+
+    def failing(spark, old, new=None, **options):
+        calls.append(old)
+        if step == "refresh_table" or len(calls) == 2:
+            raise RuntimeError("move")
+        return real(spark, old, new)
+
+    monkeypatch.setattr(catalog, step, failing)
+    with pytest.raises(RuntimeError, match="move"):
+        catalog.move_table(spark, name, str(tmp_path / "moved"), partitioned=True)
+    monkeypatch.undo()
+    assert rows(spark.table(name)) == before
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+
+
 def test_upsert_with_nothing_changes_nothing(spark, book):
     source = spark.createDataFrame([], "id int, name string, seq int")
     assert rows(keyed_upsert(book, source, ["id"], ["seq"])) == rows(book)

@@ -10,10 +10,10 @@ from tidewell.functions import epoch_seconds
 from tidewell.operators import row_count
 from tidewell.plans.history import daily_counts, dated, write_with_history
 from tidewell.plans.registry import query, table
-from tidewell.session import scratch_dir
+from tidewell.session import materialize, scratch_dir
 from tidewell.sinks import (
     WriteLedger, compact, compact_table, export_csv, file_detail, partition_detail,
-    table_detail, upsert_table, write_lake,
+    table_detail, upsert_partitions, write_lake,
 )
 from tidewell.sources import (
     list_files, read_csv, read_header, read_json, read_projected, read_typed_text,
@@ -266,36 +266,86 @@ def catalog_listing(spark, sf_dir):
     return listed.join(reduce(DataFrame.unionByName, counts), "table_name")
 
 
-_TARGET = "o_orderdate < TIMESTAMP '1999-01-01'"
+_NEW_KEYS = 1_000_000_000_000  # added to the keys of the feed's new orders
 
 
 @query(f"""
     WITH target AS (
-      SELECT o_orderkey AS order_key, o_orderstatus AS status, o_totalprice AS amount
-      FROM orders WHERE {_TARGET}),
+      SELECT o_orderkey AS order_key, o_orderstatus AS status, o_totalprice AS amount,
+             strftime(o_orderdate, '%Y-%m') AS month FROM orders),
+    feed AS (
+      SELECT CASE WHEN l_orderkey % 10 = 0 THEN l_orderkey + {_NEW_KEYS} ELSE l_orderkey END
+               AS order_key,
+             l_linestatus AS status, l_extendedprice AS amount, strftime(l_shipdate, '%Y-%m') AS month,
+             l_shipdate, l_linenumber FROM lineitem),
     ranked AS (
-      SELECT l_orderkey AS order_key, l_linestatus AS status, l_extendedprice AS amount,
-             row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC,
-               l_linenumber DESC, l_linestatus DESC, l_extendedprice DESC) AS place
-      FROM lineitem)
+      SELECT *, row_number() OVER (PARTITION BY order_key ORDER BY l_shipdate DESC,
+               l_linenumber DESC, status DESC, amount DESC) AS place FROM feed)
     SELECT * FROM target WHERE order_key NOT IN (SELECT order_key FROM ranked)
     UNION ALL
-    SELECT order_key, status, amount FROM ranked WHERE place = 1""", name="keyed_upsert")
+    SELECT order_key, status, amount, month FROM ranked WHERE place = 1""", name="keyed_upsert")
 def keyed_upsert_orders(spark, sf_dir):
-    """The order book of 1998 brought up to date by the feed of all order lines.
+    """The book of all orders brought up to date by the feed of all order lines.
 
-    Each order takes status and amount of its last line; orders after 1998 are new to
-    the book, those without a line stay as they are.  The result is written to a new
-    folder, to which the table then points.
+    Each order takes status, amount and month of its last line, and so moves to the
+    partition of that month.  A tenth of the feed are new orders, whose keys are shifted
+    beyond those of the book; orders without a line stay as they are.
     """
-    book = table(spark, sf_dir, "orders").where(_TARGET).select(
+    _order_book(spark, sf_dir, "order_book")
+    line = F.col("l_orderkey")
+    feed = table(spark, sf_dir, "lineitem").select(
+        F.when(line % 10 == 0, line + _NEW_KEYS).otherwise(line).alias("order_key"),
+        F.col("l_linestatus").alias("status"), F.col("l_extendedprice").alias("amount"),
+        F.date_format("l_shipdate", "yyyy-MM").alias("month"), "l_shipdate", "l_linenumber")
+    return upsert_partitions(spark, "order_book", feed, ["order_key"],
+                             ["l_shipdate", "l_linenumber"])
+
+
+def _order_book(spark, sf_dir, name):
+    """A table of all orders, partitioned by the month of their date."""
+    book = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("status"),
-        F.col("o_totalprice").alias("amount"))
+        F.col("o_totalprice").alias("amount"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
     path = scratch_dir(spark, "book")
-    stored = write_lake(book, path)
-    catalog.create_external_table(spark, "order_book", path, stored.schema)
-    feed = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_key"), F.col("l_linestatus").alias("status"),
-        F.col("l_extendedprice").alias("amount"), "l_shipdate", "l_linenumber")
-    return upsert_table(spark, "order_book", feed, ["order_key"],
-                        ["l_shipdate", "l_linenumber"], scratch_dir(spark, "book"))
+    write_lake(book, path, ["month"])
+    return catalog.create_external_table(spark, name, path, book.schema, ["month"])
+
+
+@query("""
+    WITH target AS (
+      SELECT o_orderkey AS order_key, CAST(floor(o_totalprice) AS BIGINT) AS amount,
+             strftime(o_orderdate, '%Y-%m') AS month, o_orderdate AS day FROM orders),
+    feed AS (
+      SELECT order_key, amount + 1 AS amount,
+             CASE WHEN month = '2001-05' THEN '2001-07' ELSE month END AS month
+      FROM target WHERE day >= TIMESTAMP '2001-05-01' OR strftime(day, '%m-%d') = '02-28'),
+    after AS (
+      SELECT order_key, amount, month FROM target WHERE order_key NOT IN (SELECT order_key FROM feed)
+      UNION ALL SELECT order_key, amount, month FROM feed),
+    changed AS (
+      SELECT month FROM feed UNION SELECT month FROM target
+      WHERE order_key IN (SELECT order_key FROM feed))
+    SELECT month, count(*) AS n_orders, CAST(sum(amount) AS BIGINT) AS amount,
+           CAST(month IN (SELECT month FROM changed) AS INTEGER) AS rewritten
+    FROM after GROUP BY month""")
+def upsert_touched(spark, sf_dir):
+    """Each month of the order book after an upsert, and whether its files are new.
+
+    The feed corrects the orders of the last months and those of each 28th of February; May of 2001
+    is moved to July, and its partition goes.
+    """
+    _order_book(spark, sf_dir, "order_book_touched")
+    old = materialize(file_detail(spark.table("order_book_touched"), ["month"]).select("path"), "files")
+    day = F.col("o_orderdate")
+    month = F.date_format(day, "yyyy-MM")
+    feed = (table(spark, sf_dir, "orders")
+            .where((day >= F.lit("2001-05-01").cast("timestamp_ntz")) | (F.date_format(day, "MM-dd") == "02-28"))
+            .select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("status"),
+                    (F.floor("o_totalprice") + 1).cast("double").alias("amount"),
+                    F.when(month == "2001-05", "2001-07").otherwise(month).alias("month")))
+    after = upsert_partitions(spark, "order_book_touched", feed, ["order_key"], ["amount"])
+    fresh = (file_detail(after, ["month"]).join(old, "path", "left_anti")
+             .select("month").distinct().withColumn("rewritten", F.lit(1)))
+    return (after.groupBy("month").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sum(F.floor("amount")).cast("bigint").alias("amount"))
+        .join(fresh, "month", "left").withColumn("rewritten", F.coalesce("rewritten", F.lit(0))))

@@ -3,10 +3,12 @@ from tidewell.sinks.ledger import WriteLedger
 from tidewell.sinks.maintenance import (
     compact, compact_table, file_detail, partition_detail, table_detail,
 )
-from tidewell.sinks.upsert import keyed_upsert, latest_per_key, upsert_table
+from tidewell.sinks.upsert import (
+    keyed_upsert, latest_per_key, touched_partitions, upsert_partitions, upsert_table,
+)
 
 __all__ = [
     "WriteLedger", "compact", "compact_table", "export_csv", "file_detail", "keyed_upsert",
-    "latest_per_key", "partition_detail", "table_detail", "upsert_table",
-    "write_lake",
+    "latest_per_key", "partition_detail", "table_detail", "touched_partitions",
+    "upsert_partitions", "upsert_table", "write_lake",
 ]
