@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidewell import catalog
 from tidewell.plans.history import daily_counts, dated, write_with_history
+from tidewell.session import with_conf
 from tidewell.sinks import (
-    WriteLedger, compact, compact_table, export_csv, keyed_upsert, latest_per_key, partition_detail,
+    WriteLedger, compact, compact_table, export_csv, keyed_upsert, latest_per_key, maintenance, pack_files, partition_detail,
     table_detail, upsert_partitions, upsert_table, write_lake,
 )
-from tidewell.sources import read_lake
+from tidewell.sources import list_files, read_lake
 
 
 @pytest.fixture
@@ -306,23 +307,61 @@ def test_move_single_partitions(spark, events, tmp_path):
     assert sum("/b/" in f for f in moved.inputFiles()) == 1
 
 
-def test_only_fragmented_partitions_are_rewritten(spark, tmp_path):
-    path = str(tmp_path / "t")
-    schema = "id bigint, date string"
-    spark.range(0, 100, numPartitions=5).selectExpr("id", "'many' AS date").write.partitionBy(
-        "date").parquet(path)
-    spark.range(100, 200, numPartitions=1).selectExpr("id", "'one' AS date").write.mode(
-        "append").partitionBy("date").parquet(path)
-    lake = read_lake(spark, path, schema)
+def test_only_fragmented_partitions_are_rewritten(spark, tmp_path, plan_of):
+    path = tmp_path / "t"
+    schema = "id bigint, tags map<string, bigint>, date string, kind int"
+    for n, values in ((5, "'many' AS date, 1 AS kind"), (1, "'one' AS date, 1 AS kind"),
+                      (3, "CAST(null AS string) AS date, 2 AS kind"), (4, "'it''s' AS date, CAST(null AS int) AS kind")):
+        spark.range(0, 100, numPartitions=n).selectExpr("id", "map('a', id) AS tags", values.split(", ")[0],
+                                                        values.split(", ")[1]).write.mode(
+            "append").partitionBy("date", "kind").parquet(str(path))
+    lake = read_lake(spark, str(path), schema)
     name = "unit_fragmented"
-    catalog.create_external_table(spark, name, path, lake.schema, ["date"])
-    after = compact_table(spark, name, "date", str(tmp_path / "c1"))
-    files = after.inputFiles()
-    assert len(files) == 2 and sum("/c1/date=many/" in f for f in files) == 1
-    assert rows(after) == rows(lake)
-    again = compact_table(spark, name, "date", str(tmp_path / "c2"))
-    assert sorted(again.inputFiles()) == sorted(files)
-    assert not (tmp_path / "c2").exists()
+    before = catalog.create_external_table(spark, name, str(path), lake.schema, ["date", "kind"])
+    expected = rows(before.selectExpr("id", "tags['a'] AS a", "date", "kind"))
+    files = _files(path)
+    ledger = WriteLedger(spark, str(tmp_path / "ledger"))
+    after = compact_table(spark, name, ledger=ledger)
+    assert rows(after.selectExpr("id", "tags['a'] AS a", "date", "kind")) == expected
+    now = _files(path)
+    assert len(now) == 4 and {f.split("/")[0] for f in now if now[f] == files.get(f)} == {"date=one"}
+    assert rows(ledger.read(), "operation", "num_rows") == [("COMPACT", 300)]
+    assert compact_table(spark, name).count() == 400
+    assert _files(path) == now
+
+
+def test_files_are_packed_first_fit(spark):
+    sizes = [7, 5, 5, 4, 3, 2, 2, 30, 1]
+    files = spark.createDataFrame([("p", None, f"f{i}", s) for i, s in enumerate(sizes)] + [("q", 1, "g", 3)],
+                                  "a string, b int, path string, size_in_bytes bigint")
+    found = pack_files(files, ["a", "b"], 10).collect()
+    bins = {}
+    for r in found:
+        bins.setdefault((r["a"], r["b"], r["bin"]), []).append(r["size_in_bytes"])
+    # 30 alone; 7 3; 5 5; 4 2 2 1
+    assert sorted(sorted(b, reverse=True) for k, b in bins.items() if k[0] == "p") == [
+        [4, 2, 2, 1], [5, 5], [7, 3], [30]]
+    assert bins["q", 1, 0] == [3]
+
+
+def test_lots_of_files_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(maintenance, "LOT_FILES", 10)
+    files = spark.range(95).selectExpr("'p' AS a", "concat('f', id) AS path", "1 AS size_in_bytes")
+    found = pack_files(files, ["a"], 10)
+    assert found.select("lot").distinct().count() == 10 and found.count() == 95
+    assert found.groupBy("lot", "bin").count().agg({"count": "max"}).first()[0] <= 10
+
+
+def test_listing_tasks_follow_files_and_not_bytes(spark, tmp_path):
+    found = {}
+    with with_conf(spark, spark__sql__files__maxPartitionBytes=20_000):
+        for label, n in (("small", 100), ("large", 20_000)):
+            path = str(tmp_path / label)
+            spark.range(0, n, numPartitions=8).selectExpr("id", "sha2(string(id), 256) AS s").write.parquet(path)
+            found[label] = (len(list_files(spark, path).inputFiles()), partition_detail(spark, path, []).first()[0],
+                            len(spark.read.parquet(path).select("s").rdd.glom().collect()))
+    assert found["small"][:2] == found["large"][:2] == (1, 8)
+    assert found["large"][2] > found["small"][2]
 
 
 def test_cached_table_is_released(spark):

@@ -16,7 +16,7 @@ from tidewell.sinks import (
     table_detail, upsert_partitions, write_lake,
 )
 from tidewell.sources import (
-    list_files, read_csv, read_header, read_json, read_projected, read_typed_text,
+    file_rows, list_files, read_csv, read_header, read_json, read_projected, read_typed_text,
     rows_from_list,
 )
 
@@ -102,15 +102,15 @@ def _plain_path(path):
     f"SELECT '{name}.parquet' AS file_name, 1 AS has_bytes, count(*) AS n_rows FROM {name}"
     for name in TABLES))
 def file_listing(spark, sf_dir):
-    """The files of all tables, with the rows that a scan finds in each."""
-    parts = [table(spark, sf_dir, name).groupBy("_metadata.file_path").agg(
-        F.count(F.lit(1)).alias("n_rows")) for name in TABLES]
-    counts = reduce(DataFrame.unionByName, parts).select(
-        _plain_path("file_path").alias("path"), "n_rows")
+    """The files of all tables, with the rows that their footers name.
+
+    A table may be one file or a folder of them.
+    """
+    counts = file_rows(spark, sf_dir).select(_plain_path("path").alias("path"), "n_rows")
     files = list_files(spark, sf_dir, "*.parquet", recursive=True)
-    return files.withColumn("path", _plain_path("path")).join(counts, "path").select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        (F.col("length") > 0).cast("int").alias("has_bytes"), "n_rows")
+    return (files.withColumn("path", _plain_path("path")).join(counts, "path")
+            .groupBy(F.regexp_extract("path", "([^/]+[.]parquet)(/[^/]+)?$", 1).alias("file_name"))
+            .agg(F.min((F.col("length") > 0).cast("int")).alias("has_bytes"), F.sum("n_rows").alias("n_rows")))
 
 
 @query("""
@@ -157,16 +157,39 @@ def compact_partitions(spark, sf_dir):
            CAST(1 AS BIGINT) AS num_files
     FROM both_parts GROUP BY 1""")
 def compact_fragmented(spark, sf_dir):
-    """Only the partitions with too many files are rewritten, and moved in the catalog."""
+    """Only the partitions with too many files are rewritten."""
     path = scratch_dir(spark, "lake")
     lake = write_with_history(_timed_events(spark, sf_dir), path)
     catalog.create_external_table(spark, "events_fragmented", path, lake.schema, ["date"])
-    table_now = compact_table(spark, "events_fragmented", "date",
-                              scratch_dir(spark, "compacted"))
+    table_now = compact_table(spark, "events_fragmented")
     return (file_detail(table_now, ["date"]).groupBy("date")
             .agg(F.sum("num_rows").alias("n_events"), F.count(F.lit(1)).alias("num_files")))
 
 
+@query("""
+    SELECT strftime(ts, '%Y-%m-%d') AS date, event_type, count(*) * 2 AS n_events,
+           CAST(1 AS INTEGER) AS fewer_files, CAST(1 AS INTEGER) AS packed
+    FROM events GROUP BY 1, 2""")
+def compact_two_columns(spark, sf_dir):
+    """A table partitioned by date and type, every partition in two files or more, after packing.
+
+    ``packed``: at most one file of the partition is under half of the wanted size.
+    """
+    path, wanted = scratch_dir(spark, "lake"), 1 << 20
+    events = dated(_timed_events(spark, sf_dir)).withColumn("tags", F.create_map("event_type", "value"))
+    for mode in ("overwrite", "append"):
+        lake = write_lake(events, path, ["date", "event_type"], mode)
+    parts = ["date", "event_type"]
+    before = catalog.create_external_table(spark, "events_two_columns", path, lake.schema, parts)
+    files = file_detail(before, parts).groupBy(*parts).agg(F.count(F.lit(1)).alias("n_before"))
+    after = file_detail(compact_table(spark, "events_two_columns", wanted), parts)
+    return (after.groupBy(*parts).agg(
+        F.sum("num_rows").alias("n_events"), F.count(F.lit(1)).alias("n_files"),
+        F.count_if(F.col("size_in_bytes") < wanted / 2).alias("n_small")).join(files, parts)
+        .select(*parts, "n_events", (F.col("n_files") < F.col("n_before")).cast("int").alias("fewer_files"),
+                (F.col("n_small") <= 1).cast("int").alias("packed")))
+
+
 @query("""
     SELECT 'parquet' AS format, 'date' AS partition_columns,
            count(DISTINCT strftime(ts, '%Y-%m-%d')) AS num_partitions,

@@ -111,3 +111,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_listing(df: DataFrame, label: str, files_per_task: int = 1000) -> DataFrame:
+    """``df``, which looks at files and not at their content, computed once and stored.
+
+    Spark deals files to tasks by their bytes, which says nothing about such a scan: here
+    the number of tasks follows the number of files, whatever their size.
+    """
+    tasks = 1 + len(df._jdf.inputFiles()) // files_per_task
+    with with_conf(df.sparkSession, spark__sql__files__minPartitionNum=tasks,
+                   spark__sql__files__maxPartitionBytes=(1 << 62),
+                   spark__sql__files__openCostInBytes=0):
+        return materialize(df, label)

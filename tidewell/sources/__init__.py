@@ -1,5 +1,5 @@
 from tidewell.sources.files import (
-    list_files, read_csv, read_json, read_lake, read_projected,
+    file_rows, list_files, read_csv, read_json, read_lake, read_projected,
 )
 from tidewell.sources.jdbc import key_range, read_query, read_table, write_table
 from tidewell.sources.local import rows_from_list
@@ -8,7 +8,7 @@ from tidewell.sources.typed_text import (
 )
 
 __all__ = [
-    "key_range", "list_files", "parse_typed_lines", "read_csv", "read_header", "read_json",
+    "file_rows", "key_range", "list_files", "parse_typed_lines", "read_csv", "read_header", "read_json",
     "read_lake", "read_projected", "read_query", "read_table", "read_typed_text",
     "rows_from_list", "typed_schema", "write_table",
 ]

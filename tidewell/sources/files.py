@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewell.session import stored_listing
+
 
 # What lets text come back as it was: quotes are doubled, and outer blanks belong to the text.
 CSV_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
@@ -67,7 +70,7 @@ def read_projected(spark: SparkSession, path: str, columns: Sequence[str],
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*",
                recursive: bool = False) -> DataFrame:
-    """Files below ``path`` as rows (path, length, modificationTime).
+    """Files below ``path`` as rows (path, length, modificationTime), listed once.
 
     The content column is pruned, so no file is opened.  As in any Spark scan, empty
     files and names that start with ``_`` or ``.`` do not count as data.
@@ -75,4 +78,16 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*",
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    return reader.load(path).select("path", "length", "modificationTime")
+    return stored_listing(reader.load(path).select("path", "length", "modificationTime"), "listing")
+
+
+def file_rows(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """(path, length, n_rows) of all columnar files below ``path``, whatever their columns.
+
+    One scan that reads no column: the numbers of rows stand in the files' footers.
+    """
+    files = (spark.read.schema("_none int").option("pathGlobFilter", pattern)
+             .option("recursiveFileLookup", True).parquet(path))
+    return stored_listing(
+        files.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"))
+        .agg(F.count(F.lit(1)).alias("n_rows")), "file-rows")
