@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidewell.functions import TITLE_MEAN_AGES, TITLE_REMAP
 from tidewell.operators import (
-    add_family, add_title, assemble, feature_stages, fill_by_group, fill_mode,
+    add_family, add_title, assemble, feature_stages, fill_by_group, fill_mode, modes,
     frequency_index, hash_split, impute_group_mean, index_strings, random_split, remap_values,
     sized_for_broadcast,
 )
@@ -256,3 +256,34 @@ def test_fitted_features_meet_an_unknown_label(spark, people):
     assert fitted.transform(odd, unknown="skip").count() == 0
     with pytest.raises(Exception, match="[Uu]nseen"):
         fitted.transform(odd).collect()
+
+
+def test_modes_of_many_columns_in_one_scan(spark, tmp_path, plan_of):
+    data = [(1, "b", 5, True, None), (2, "a", 30, None, None), (3, None, 30, False, None), (4, "b", 5, True, None),
+            (5, "a", None, True, None)]
+    spark.createDataFrame(data, "id int, `s.t` string, n int, f boolean, v string").write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    found = modes(df, ["s.t", "n", "f", "v"])
+    assert tuple(found.first()) == ("a", 5, True, None)  # 5 before 30: numbers, not text
+    assert plan_of(modes(df, ["s.t", "n", "f"])).count("FileScan") == 1
+    for now in (False, True):
+        filled = fill_mode(df, ["s.t", "n", "f", "v"], now)
+        assert dict(filled.dtypes) == dict(df.dtypes)
+        assert rows(filled) == [(1, "b", 5, True, None), (2, "a", 30, True, None), (3, "a", 30, False, None),
+                                (4, "b", 5, True, None), (5, "a", 5, True, None)]
+    assert fill_mode(df, []) is df
+
+
+def test_fills_of_a_feature_build_read_the_rows_once(spark, monkeypatch):
+    from tidewell.plans import feature_build
+    calls = []
+    real = feature_build.modes
+    monkeypatch.setattr(feature_build, "modes", lambda df, columns: calls.append(list(columns)) or real(df, columns))
+    people = spark.createDataFrame(
+        [(i, i % 2, "Mr. X" if i % 3 else "Miss. Y", float(i) if i % 4 else None, 0, 1, "q" if i % 5 else None,
+          "r" if i % 3 else None) for i in range(1, 40)],
+        "id int, label int, name string, age double, a int, b int, s string, t string")
+    spec = feature_build.FeatureSpec("id", "label", "name", "age", ["a", "b"], [], ["s", "t"], ["s", "t"])
+    fitted = feature_build.fit_features(people, spec)
+    assert calls == [["s", "t"]]
+    assert fitted.transform(people).count() == 39

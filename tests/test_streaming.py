@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidewell.sources import read_lake
 from tidewell.streaming import (
-    append_stream, count_words, decode_events, open_files, open_stream, print_stream,
-    read_word_counts, start_word_count,
+    append_stream, count_words, decode_events, open_files, open_stream, print_stream, read_decoded,
+    read_rejects, read_word_counts, start_decoding, start_word_count,
 )
 
 TEXTS = ["a b", "b  c", " a", "b", None, "c c c"]
@@ -106,3 +106,35 @@ def test_printed_stream(spark, folder):
     query.stop()
     assert sum(p["numInputRows"] for p in query.recentProgress) == len(TEXTS)
     assert "Console" in query.lastProgress["sink"]["description"]
+
+
+RAW = "offset string, enqueuedTime string, body binary"
+
+
+def test_a_stream_goes_on_after_unreadable_events(spark, tmp_path):
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    batches = [[("1", "2024-01-01 00:00:00", b"a"), ("abc", "2024-01-01 00:00:01", b"b")],
+               [(None, None, None), ("99999999999999999999", "not a time", b"\xff")],
+               [("4", "2024-01-01 00:00:04", b"")]]
+    for batch in batches:
+        spark.createDataFrame(batch, RAW).coalesce(1).write.mode("append").parquet(folder)
+    for _ in range(2):  # the second run takes the last batch again
+        query = start_decoding(open_files(spark, folder, RAW, files_per_batch=1), out, state)
+        query.awaitTermination()
+        assert query.exception() is None
+        good = sorted((r["Offset"], r["Timestamp"], r["Body"]) for r in read_decoded(spark, out).collect()
+                      if r["Offset"] is not None)
+        assert good == [(1, 1704067200, "a"), (4, 1704067204, "")]
+        assert read_decoded(spark, out).count() == 3
+        found = {r["reason"]: (r["Offset"], r["Timestamp"]) for r in read_rejects(spark, out).collect()}
+        assert found == {"unreadable offset: abc": (None, 1704067201),
+                         "unreadable offset: 99999999999999999999; unreadable enqueuedTime: not a time": (None, None)}
+        last = max((f for f in (tmp_path / "state" / "commits").iterdir() if f.name.isdigit()),
+                   key=lambda f: int(f.name))
+        last.unlink()
+        (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+
+
+def test_decode_without_a_reason_gives_nulls(spark):
+    raw = spark.createDataFrame([("x", "y", b"z")], RAW)
+    assert rows(decode_events(raw)) == [(None, None, None, "z")]

@@ -26,6 +26,9 @@ TITLE_MEAN_AGES = {"Miss": 22, "Other": 46, "Master": 5, "Mr": 33, "Mrs": 36}
 # Fixed value: date partitions are named in this format.
 DATE_FORMAT = "yyyy-MM-dd"
 
+# Columns of a decoded event, in order.
+EVENT_COLUMNS = ["Offset", "Time (readable)", "Timestamp", "Body"]
+
 # Fixed value: history is the original data moved back by two days.
 HISTORY_SHIFT_SECONDS = 172800
 

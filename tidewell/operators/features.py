@@ -14,8 +14,6 @@ from tidewell.functions import TITLE_REMAP, first_title, hash_bucket
 from tidewell.operators.joins import BROADCAST_BYTES, sized_for_broadcast
 from tidewell.session import materialize
 
-# MLlib keeps the labels of an indexed column on the driver; up to this many.
-
 
 def remap_values(df: DataFrame, mapping: Mapping[str, str],
                  columns: Sequence[str] | None = None) -> DataFrame:
@@ -56,28 +54,40 @@ def impute_group_mean(df: DataFrame, group: str, column: str, digits: int = 0,
             .select(*df.columns))
 
 
-def mode(df: DataFrame, column: str) -> DataFrame:
-    """The most frequent value of a column, the smallest one among equals; one row.
+def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row with the most frequent value of each column, the smallest among equals; null
+    if all values are null.
 
-    A count per distinct value, of which every task keeps its top one, so nothing but
-    that value leaves the executors.  No row if all values are null.
+    One scan for all columns: grouping sets count the values of each column side by side, reduced in the
+    tasks, and an ordered aggregate takes the top one of each, in the column's own type.
     """
-    return (df.where(F.col(column).isNotNull()).groupBy(column)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .orderBy(F.desc("_n"), F.asc(column)).limit(1).select(column))
+    own = [F.col(f"`{c}`") for c in columns]
+    cells = df.select(*[c.alias(f"_v{i}") for i, c in enumerate(own)])
+    names = cells.columns
+    counts = cells.groupingSets([[name] for name in names], *names).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.grouping(name).alias(f"{name}_out") for name in names])
+    tops = [F.min(F.when((F.col(f"{name}_out") == 0) & F.col(name).isNotNull(),
+                         F.struct((-F.col("_n")).alias("order"), F.col(name).alias("value"))))["value"].alias(c)
+            for name, c in zip(names, columns)]
+    return counts.agg(*tops)
 
 
 def fill_mode(df: DataFrame, columns: Sequence[str], now: bool = False) -> DataFrame:
-    """Fill nulls with the most frequent value of the column.
+    """Fill nulls with the most frequent value of the column, found in one pass for all columns.
 
-    By default the value is a subquery of the result.  With ``now`` it is found at once
-    and put in as a constant, which saves the subquery when the result is read often.
+    By default the values are a stored row that the result looks up.  With ``now`` they are put in
+    as constants, which saves the lookup when the result is read often.
     """
+    columns = list(columns)
+    if not columns:
+        return df
     if now:
-        tops = {name: mode(df, name).first() for name in columns}
-        return df.na.fill({name: top[0] for name, top in tops.items() if top is not None})
-    return df.withColumns({name: F.coalesce(F.col(name), mode(df, name).scalar())
-                           for name in columns})
+        tops = modes(df, columns).first().asDict()
+        return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(top).cast(df.schema[c].dataType))
+                               for c, top in tops.items() if top is not None})
+    tops = materialize(modes(df, columns).toDF(*[f"_v{i}" for i in range(len(columns))]), "modes")
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), tops.select(f"_v{i}").scalar())
+                           for i, c in enumerate(columns)})
 
 
 def add_family(df: DataFrame, parts: Sequence[str], size: str = "family_size",

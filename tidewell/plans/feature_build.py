@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import TITLE_REMAP
 from tidewell.operators.features import (
     add_family, add_title, assemble, fill_by_group, fill_mode, impute_group_mean,
-    index_strings, mode, value_counts,
+    index_strings, modes, value_counts,
 )
 from tidewell.operators.joins import sized_for_broadcast
 from tidewell.operators.models import with_label
@@ -136,8 +136,8 @@ def fit_features(df: DataFrame, spec: FeatureSpec) -> FittedFeatures:
     titled = add_title(df, spec.text, spec.title, spec.remap)
     rows = materialize(titled.select(*_used(spec, df.columns)), "features")
     spark = df.sparkSession
-    tops = {c: mode(rows, c).first() for c in spec.fill}
-    tops = {c: top[0] for c, top in tops.items() if top is not None}
+    tops = modes(rows, list(spec.fill)).first().asDict() if spec.fill else {}
+    tops = {c: top for c, top in tops.items() if top is not None}
     facts = spark.createDataFrame(
         [("mode", c, str(value), None) for c, value in tops.items()],
         "kind string, column_name string, value string, number double")

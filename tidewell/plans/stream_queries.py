@@ -6,7 +6,8 @@ from tidewell.plans.registry import query, table
 from tidewell.session import scratch_dir
 from tidewell.sources import read_lake
 from tidewell.streaming import (
-    append_stream, count_words, decode_events, open_files, read_word_counts, start_word_count,
+    append_stream, count_words, decode_events, open_files, read_decoded, read_rejects,
+    read_word_counts, start_decoding, start_word_count,
 )
 
 _WORD_COUNT_SQL = r"""
@@ -61,3 +62,38 @@ def stream_decode(spark, sf_dir):
         F.col("Offset").alias("offset"),
         F.date_format("Time (readable)", "yyyy-MM-dd HH:mm:ss").alias("readable_time"),
         F.col("Timestamp").alias("epoch_time"), F.col("Body").alias("body"))
+
+
+@query("""
+    WITH raw AS (
+      SELECT CASE WHEN event_id % 7 = 3 THEN 'abc' || event_id WHEN event_id % 11 = 5 THEN NULL
+               ELSE CAST(event_id AS VARCHAR) END AS "offset",
+             CASE WHEN event_id % 13 = 4 THEN '2024-13-45 x' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END
+               AS enqueued, event_type, props FROM events),
+    tried AS (
+      SELECT *, try_cast("offset" AS BIGINT) AS number, try_cast(enqueued AS TIMESTAMP) AS arrived FROM raw),
+    marked AS (
+      SELECT *, concat_ws('; ',
+        CASE WHEN "offset" IS NOT NULL AND number IS NULL THEN 'unreadable offset' END,
+        CASE WHEN enqueued IS NOT NULL AND arrived IS NULL THEN 'unreadable enqueuedTime' END) AS reason
+      FROM tried)
+    SELECT reason, props AS body, count(*) AS n_events, count(number) AS n_offsets,
+           CAST(sum(number) AS BIGINT) AS sum_offsets, CAST(max(floor(epoch(arrived))) AS BIGINT) AS last_time
+    FROM marked GROUP BY reason, props""")
+def stream_rejects(spark, sf_dir):
+    """A message log with unreadable offsets and times: the stream goes on, and both outputs together
+    hold every event once."""
+    event = F.col("event_id")
+    raw = _stream(spark, sf_dir, "events").select(
+        F.when(event % 7 == 3, F.concat(F.lit("abc"), event.cast("string")))
+        .when(event % 11 == 5, F.lit(None)).otherwise(event.cast("string")).alias("offset"),
+        F.when(event % 13 == 4, "2024-13-45 x")
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("enqueuedTime"),
+        F.col("props").cast("binary").alias("body"))
+    path, state = scratch_dir(spark, "messages"), scratch_dir(spark, "messages-state")
+    start_decoding(raw, path, state).awaitTermination()
+    both = read_decoded(spark, path).withColumn("reason", F.lit("")).unionByName(
+        read_rejects(spark, path).withColumn("reason", F.regexp_replace("reason", ": [^;]*", "")))
+    return both.groupBy("reason", F.col("Body").alias("body")).agg(
+        F.count(F.lit(1)).alias("n_events"), F.count("Offset").alias("n_offsets"),
+        F.sum("Offset").alias("sum_offsets"), F.max("Timestamp").alias("last_time"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidewell.functions import EVENT_COLUMNS
+
 
 def open_stream(spark: SparkSession, fmt: str, **options) -> DataFrame:
     """Stream from any installed connector, for instance a message log read from its
@@ -26,14 +28,60 @@ def open_files(spark: SparkSession, path: str, schema: StructType | str,
 
 
 def decode_events(events: DataFrame, offset: str = "offset", enqueued: str = "enqueuedTime",
-                  body: str = "body") -> DataFrame:
-    """Offset as a number, arrival as a timestamp and as epoch seconds, body as text."""
-    arrived = F.col(enqueued).cast("timestamp")
-    return events.select(
-        F.col(offset).cast("long").alias("Offset"),
-        arrived.alias("Time (readable)"),
-        arrived.cast("long").alias("Timestamp"),
-        F.col(body).cast("string").alias("Body"))
+                  body: str = "body", reason: str | None = None) -> DataFrame:
+    """Offset as a number, arrival as a timestamp and as epoch seconds, body as text.
+
+    What cannot be read is null, so one bad event does not end a stream.  With ``reason`` a
+    column of that name says what was wrong with it, and is null for events that could be read; a value
+    that was null before is not an error.
+    """
+    arrived = F.col(enqueued).try_cast("timestamp")
+    number = F.col(offset).try_cast("long")
+    values = [number, arrived, arrived.cast("long"), F.col(body).cast("string")]
+    decoded = [value.alias(name) for value, name in zip(values, EVENT_COLUMNS)]
+    if reason is None:
+        return events.select(*decoded)
+    wrong = [F.when(F.col(name).isNotNull() & value.isNull(),
+                    F.concat(F.lit(f"unreadable {name}: "), F.col(name).cast("string")))
+             for name, value in ((offset, number), (enqueued, arrived))]
+    found = F.concat_ws("; ", *wrong)
+    return events.select(*decoded, F.when(found != "", found).alias(reason))
+
+
+_DECODED = "Offset bigint, `Time (readable)` timestamp, Timestamp bigint, Body string, reason string"
+
+
+def start_decoding(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                   **columns) -> StreamingQuery:
+    """Decode a stream into good rows and rejects, each event exactly once, in one write a batch.
+
+    Read them with ``read_decoded`` and ``read_rejects``.  A batch overwrites its own folder, so one that
+    runs again after a failure does no harm.  ``columns`` names the columns, as in ``decode_events``.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        decoded = decode_events(batch, **columns, reason="reason")
+        (decoded.withColumn("rejected", F.col("reason").isNotNull().cast("int"))
+         .write.mode("overwrite").partitionBy("rejected").parquet(f"{path}/batch_id={batch_id}"))
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def _stored_events(spark: SparkSession, path: str, rejected: int) -> DataFrame:
+    return (spark.read.schema(f"{_DECODED}, batch_id bigint, rejected int").parquet(path)
+            .where(F.col("rejected") == rejected))
+
+
+def read_decoded(spark: SparkSession, path: str) -> DataFrame:
+    """The events that could be read; the folder of the others is not looked at."""
+    return _stored_events(spark, path, 0).select(*[F.col(f"`{c}`") for c in EVENT_COLUMNS])
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The other events, with what could be read of them and the reason."""
+    return _stored_events(spark, path, 1).select(*[F.col(f"`{c}`") for c in EVENT_COLUMNS], "reason")
 
 
 def print_stream(stream: DataFrame) -> StreamingQuery:
