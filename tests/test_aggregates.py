@@ -2,7 +2,7 @@ import math
 
 from tests.conftest import SF_DIR, rows
 from tidewell.operators import (
-    column_summary, global_mean, group_count, group_mean, mean_between, non_null_count,
+    column_summary, exact_summary, global_mean, group_count, group_mean, mean_between, non_null_count,
     null_profile, row_count, text_summary, top_rows,
 )
 from tidewell.plans.registry import table
@@ -63,3 +63,14 @@ def test_top_rows_does_not_sort_everything(spark, plan_of):
     top = top_rows(table(spark, SF_DIR, "orders"), 3, ["o_orderkey"])
     assert "TakeOrderedAndProject" in plan_of(top)
     assert top.count() == 3
+
+
+def test_exact_summary_keeps_every_digit(spark):
+    df = spark.sql("""
+        SELECT 9007199254740993 AS k, CAST('12345678901234567890.0123456789' AS DECIMAL(38, 10)) AS `a.d`,
+               DATE'2024-02-29' AS day, 'é' AS s, CAST(null AS double) AS x, true AS b
+        UNION ALL SELECT -1, null, DATE'1999-12-31', 'Z', null, false""")
+    assert rows(exact_summary(df)) == [
+        ("a.d", "decimal(38,10)", 1, *["12345678901234567890.0123456789"] * 2),
+        ("b", "boolean", 2, "false", "true"), ("day", "date", 2, "1999-12-31", "2024-02-29"),
+        ("k", "bigint", 2, "-1", "9007199254740993"), ("s", "string", 2, "Z", "é"), ("x", "double", 0, None, None)]

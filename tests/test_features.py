@@ -9,7 +9,7 @@ from tests.conftest import rows
 from tidewell.functions import TITLE_MEAN_AGES, TITLE_REMAP
 from tidewell.operators import (
     add_family, add_title, assemble, feature_stages, fill_by_group, fill_mode, modes,
-    frequency_index, hash_split, impute_group_mean, index_strings, random_split, remap_values,
+    frequency_index, hash_split, impute_group_mean, index_strings, random_split, remap_from_table, remap_values,
     sized_for_broadcast,
 )
 from tidewell.plans.feature_build import FeatureSpec, FittedFeatures, build_features, fit_features
@@ -287,3 +287,13 @@ def test_fills_of_a_feature_build_read_the_rows_once(spark, monkeypatch):
     fitted = feature_build.fit_features(people, spec)
     assert calls == [["s", "t"]]
     assert fitted.transform(people).count() == 39
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_remap_from_a_table(spark, most):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "zz"), (5, "a")], "id int, `v.w` string")
+    mapping = spark.createDataFrame([("a", "A"), ("a", "B"), (None, "none"), ("b", None), ("q", "Q")],
+                                    "old string, new string")
+    found = remap_from_table(df, mapping, "v.w", max_broadcast_bytes=most)
+    assert found.columns == df.columns
+    assert rows(found) == [(1, "A"), (2, None), (3, None), (4, "zz"), (5, "A")]

@@ -21,6 +21,21 @@ def remap_values(df: DataFrame, mapping: Mapping[str, str],
     return df.replace(dict(mapping), subset=list(columns) if columns else None)
 
 
+def remap_from_table(df: DataFrame, mapping: DataFrame, column: str, old: str = "old",
+                     new: str = "new", max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Replace cells of ``column`` that equal ``old`` of a row of ``mapping`` by its ``new``.
+
+    For mappings too long for an expression, of any size: the join broadcasts the mapping if it was
+    measured to be small.  Of an ``old`` with several rows the smallest ``new`` counts, a null ``old`` is ignored; a
+    ``new`` of null makes the cell null.
+    """
+    pairs = (mapping.where(F.col(old).isNotNull()).groupBy(F.col(old).alias("_old"))
+             .agg(F.min(new).alias("_new")).withColumn("_found", F.lit(True)))
+    joined = df.join(sized_for_broadcast(pairs, max_broadcast_bytes), F.col(f"`{column}`") == F.col("_old"), "left")
+    return joined.withColumn(column, F.when(F.col("_found"), F.col("_new")).otherwise(F.col(f"`{column}`"))).drop(
+        "_old", "_new", "_found")
+
+
 def add_title(df: DataFrame, text: str, title: str,
               remap: Mapping[str, str] = TITLE_REMAP) -> DataFrame:
     """Column with the normalised title found in ``text``, empty if there is none."""
@@ -169,13 +184,18 @@ def index_strings(df: DataFrame, columns: Sequence[str], suffix: str = "_index",
 
 
 def feature_stages(columns: Sequence[str], numeric: Sequence[str],
-                   output: str = "features", suffix: str = "_index") -> Pipeline:
+                   output: str = "features", suffix: str = "_index",
+                   unknown: str = "error") -> Pipeline:
     """Indexing and vector assembly as MLlib stages, for when the fitted model is to be
-    stored and applied to other data later.  For columns with few labels."""
+    stored and applied to other data later.  For columns with few labels.
+
+    A label that the fit has not seen is an error, gets the index after the last with
+    ``unknown="keep"``, and takes its row out with ``"skip"``.
+    """
     indexed = [c + suffix for c in columns]
     return Pipeline(stages=[
         StringIndexer(inputCols=list(columns), outputCols=indexed,
-                      stringOrderType="frequencyDesc", handleInvalid="error"),
+                      stringOrderType="frequencyDesc", handleInvalid=unknown),
         VectorAssembler(inputCols=[*numeric, *indexed], outputCol=output,
                         handleInvalid="error")])
 

@@ -1,15 +1,17 @@
 """Feature operators and the complete feature build."""
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tidewell.functions import TITLE_REMAP, first_title
+from tidewell.functions import TITLE_REMAP, first_title, hash_bucket
 from tidewell.operators import (
-    add_family, add_title, assemble, fill_mode, frequency_index, hash_split,
+    add_family, add_title, assemble, feature_stages, fill_mode, frequency_index, hash_split,
     impute_group_mean, index_strings, random_split,
 )
 from tidewell.plans.feature_build import FeatureSpec, build_features, fit_features
 from tidewell.plans.registry import query, table
+from tidewell.session import materialize, scratch_dir
 
 # Titles as they appear in names, one for each nation.
 NATION_TITLES = [
@@ -181,14 +183,22 @@ def hash_split_orders(spark, sf_dir):
     return marked.withColumn("is_train", F.col("is_train").cast("int"))
 
 
-@query("SELECT count(*) AS n_orders, 1 AS near_80_percent FROM orders", name="random_split")
+@query("""
+    SELECT o_orderstatus, count(*) AS n_orders, count(DISTINCT o_orderkey) AS n_keys,
+           CAST(0 AS BIGINT) AS n_in_both, CAST(1 AS INTEGER) AS near_80_percent
+    FROM orders GROUP BY o_orderstatus""", name="random_split")
 def random_split_orders(spark, sf_dir):
-    """Both parts together hold every order; the share is right within five points."""
-    train, test = random_split(table(spark, sf_dir, "orders").select("o_orderkey"))
+    """Of each status, both parts together hold every order, none is in both, and the share is right
+    within ten points."""
+    train, test = random_split(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"))
     both = (train.withColumn("is_train", F.lit(1))
             .unionByName(test.withColumn("is_train", F.lit(0))))
-    return both.agg(F.count(F.lit(1)).alias("n_orders"),
-                    F.avg("is_train").between(0.75, 0.85).cast("int").alias("near_80_percent"))
+    keys = both.groupBy("o_orderstatus", "o_orderkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("is_train").alias("n_train"))
+    return keys.groupBy("o_orderstatus").agg(
+        F.sum("n").alias("n_orders"), F.count(F.lit(1)).alias("n_keys"),
+        F.count_if((F.col("n_train") > 0) & (F.col("n_train") < F.col("n"))).alias("n_in_both"),
+        (F.sum("n_train") / F.sum("n")).between(0.7, 0.9).cast("int").alias("near_80_percent"))
 
 
 def _index_sql(name):
@@ -270,3 +280,34 @@ def feature_build_fitted(spark, sf_dir):
     element = vector_to_array("features")
     return built.select("passenger_id", "survived",
                         *[element[i].alias(c) for i, c in enumerate(SPEC.inputs)])
+
+
+@query("""
+    WITH kinds AS (
+      SELECT o_orderkey, o_totalprice, o_orderpriority, bucket < 80 AS is_train,
+             CASE WHEN bucket >= 95 THEN 'late' ELSE o_orderstatus END AS kind
+      FROM (SELECT *, CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 100 AS bucket
+            FROM orders)),
+    kind_index AS (
+      SELECT kind, row_number() OVER (ORDER BY count(*) DESC, kind) - 1 AS i FROM kinds WHERE is_train GROUP BY kind),
+    priority_index AS (
+      SELECT o_orderpriority, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS i
+      FROM kinds WHERE is_train GROUP BY o_orderpriority)
+    SELECT o_orderkey, kind, o_totalprice AS f0, CAST(coalesce(k.i, (SELECT count(*) FROM kind_index)) AS DOUBLE) AS f1,
+           CAST(coalesce(p.i, (SELECT count(*) FROM priority_index)) AS DOUBLE) AS f2
+    FROM kinds LEFT JOIN kind_index k USING (kind) LEFT JOIN priority_index p USING (o_orderpriority)
+    WHERE NOT is_train""")
+def stored_pipeline(spark, sf_dir):
+    """Indexing and assembly fitted on the training orders, saved, loaded, and applied to the others, a
+    quarter of which have a label that the fit has not seen."""
+    orders = hash_split(table(spark, sf_dir, "orders"), ["o_orderkey"])
+    late = hash_bucket(F.col("o_orderkey")) >= 95
+    kinds = materialize(orders.select(
+        "o_orderkey", "o_totalprice", "o_orderpriority", "is_train",
+        F.when(late, "late").otherwise(F.col("o_orderstatus")).alias("kind")), "kinds")
+    path = scratch_dir(spark, "stages")
+    feature_stages(["kind", "o_orderpriority"], ["o_totalprice"], unknown="keep").fit(
+        kinds.where("is_train")).save(path)
+    scored = PipelineModel.load(path).transform(kinds.where("NOT is_train"))
+    features = vector_to_array("features")
+    return scored.select("o_orderkey", "kind", *[features[i].alias(f"f{i}") for i in range(3)])

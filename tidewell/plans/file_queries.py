@@ -17,14 +17,14 @@ from tidewell.sinks import (
 )
 from tidewell.sources import (
     file_rows, list_files, read_csv, read_header, read_json, read_projected, read_typed_text,
-    rows_from_list,
+    rows_from_list, split_rejects,
 )
 
 
 def _timed_events(spark, sf_dir):
     """Events with their time as epoch seconds, as an event log has it."""
     return table(spark, sf_dir, "events").select(
-        "event_id", epoch_seconds(F.col("ts")).alias("time"), "event_type", "value")
+        "event_id", epoch_seconds(F.col("ts")).alias("time"), "user_id", "event_type", "value", "props")
 
 
 @query("""
@@ -56,22 +56,22 @@ def json_scan(spark, sf_dir):
         "event_type", "value", "props")
 
 
-HEADER = [("event_id", "int"), ("user_id", "int"), ("value", "double"),
-          ("event_type", "string")]
+HEADER = [("event_id", "int"), ("ts", "string"), ("user_id", "int"), ("value", "double"),
+          ("event_type", "string"), ("props", "string")]
 
 
 @query("""
-    SELECT CAST(event_id AS INTEGER) AS event_id,
+    SELECT CAST(event_id AS INTEGER) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
            CAST(CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS INTEGER) AS user_id,
-           value, event_type
+           value, event_type, props
     FROM events""")
 def typed_text_parse(spark, sf_dir):
-    """Tab-separated lines with a header file; errors have no user, written as --."""
+    """Tab-separated lines of all columns with a header file; errors have no user, written as --."""
     path = scratch_dir(spark, "text")
     user = F.when(F.col("event_type") == "error", "--").otherwise(
         F.col("user_id").cast("string"))
-    lines = table(spark, sf_dir, "events").select(
-        F.concat_ws("\t", "event_id", user, "value", "event_type"))
+    lines = table(spark, sf_dir, "events").select(F.concat_ws(
+        "\t", "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), user, "value", "event_type", "props"))
     lines.write.text(f"{path}/data")
     rows_from_list(spark, [("\n".join(f"{n}:{t}" for n, t in HEADER),)],
                    "value string").write.text(f"{path}/header")
@@ -79,6 +79,47 @@ def typed_text_parse(spark, sf_dir):
     return read_typed_text(spark, f"{path}/data/part-*", header)
 
 
+_REJECTED = """
+    SELECT event_type, count(*) FILTER (NOT bad) AS n_events, count(*) FILTER (bad) AS n_rejected,
+           CAST(coalesce(sum(event_id) FILTER (NOT bad), 0) AS BIGINT) AS sum_ids,
+           CAST((SELECT count(*) FROM events WHERE {bad}) AS BIGINT) AS observed
+    FROM (SELECT *, {bad} AS bad FROM events) GROUP BY event_type"""
+
+
+def _both_outputs(df, pattern):
+    """Good rows and rejects by type, which of a reject is found in its text."""
+    good, rejects, counts = split_rejects(df, "_broken")
+    both = good.select("event_type", "event_id", F.lit(0).alias("bad")).unionByName(rejects.select(
+        F.regexp_extract("_broken", pattern, 1).alias("event_type"), F.lit(0).cast("bigint").alias("event_id"),
+        F.lit(1).alias("bad")))
+    return both.groupBy("event_type").agg(
+        F.count_if(F.col("bad") == 0).alias("n_events"), F.count_if(F.col("bad") == 1).alias("n_rejected"),
+        F.sum("event_id").alias("sum_ids"), F.lit(counts["rejected"]).cast("bigint").alias("observed"))
+
+
+@query(_REJECTED.format(bad="(event_id % 9 = 2 OR event_id % 10 = 3)"))
+def csv_rejects(spark, sf_dir):
+    """CSV lines with an unreadable key or without the last column are kept as they are, apart."""
+    path, event = scratch_dir(spark, "csv"), F.col("event_id")
+    key = F.when(event % 9 == 2, F.concat(F.lit("x"), event)).otherwise(event.cast("string"))
+    table(spark, sf_dir, "events").select(F.concat_ws(
+        ",", "event_type", key, F.when(event % 10 != 3, F.col("value").cast("string")))).write.text(path)
+    return _both_outputs(read_csv(spark, path, "event_type string, event_id bigint, value double",
+                                  corrupt_column="_broken", header=False), "^([^,]*),")
+
+
+@query(_REJECTED.format(bad="(event_id % 9 = 2 OR event_id % 10 = 3)"))
+def json_rejects(spark, sf_dir):
+    """JSON lines that are cut off, or whose key is no number."""
+    path, event = scratch_dir(spark, "json"), F.col("event_id")
+    line = F.to_json(F.struct("event_type", "event_id", "value"))
+    line = F.when(event % 9 == 2, F.regexp_replace(line, '"event_id":', '"event_id":"x",":":')).otherwise(line)
+    line = F.when(event % 10 == 3, F.regexp_replace(line, "}$", "")).otherwise(line)
+    table(spark, sf_dir, "events").select(line).write.text(path)
+    return _both_outputs(read_json(spark, path, "event_type string, event_id bigint, value double",
+                                   corrupt_column="_broken"), '"event_type":"([^"]*)"')
+
+
 @query("""
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
     FROM orders WHERE o_orderstatus = 'F'""")
@@ -269,7 +310,7 @@ def describe_columns(spark, sf_dir):
            count(*) AS n_rows FROM events
     UNION ALL SELECT 'tidewell_listing', 'orders_listed', count(*) FROM orders""")
 def catalog_listing(spark, sf_dir):
-    """Tables of a database of our own, one dropped again, with their rows."""
+    """Whatever tables the selected database has, one dropped again, with their rows."""
     database = "tidewell_listing"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} "
               f"LOCATION '{scratch_dir(spark, 'database')}'")
@@ -278,15 +319,17 @@ def catalog_listing(spark, sf_dir):
                                       f"{sf_dir}/{name}.parquet",
                                       table(spark, sf_dir, name).schema)
     catalog.drop_table(spark, f"{database}.labels_listed")
-    databases = catalog.list_databases(spark).where(F.col("namespace") == database)
-    tables = catalog.list_tables(spark, database).where(~F.col("isTemporary"))
-    listed = (tables.join(databases, "namespace", "left_semi")
-              .select(F.col("namespace").alias("database_name"),
-                      F.col("tableName").alias("table_name")))
-    counts = [row_count(spark.table(f"{database}.{name}_listed"), "n_rows")
-              .withColumn("table_name", F.lit(f"{name}_listed"))
-              for name in ("events", "orders")]
-    return listed.join(reduce(DataFrame.unionByName, counts), "table_name")
+    before = spark.catalog.currentDatabase()
+    catalog.use_database(spark, database)
+    try:
+        names = [r["tableName"] for r in catalog.list_tables(spark).where("NOT isTemporary").collect()]
+        counts = [row_count(spark.table(name), "n_rows").select(
+            F.lit(spark.catalog.currentDatabase()).alias("database_name"), F.lit(name).alias("table_name"), "n_rows")
+            for name in names]
+    finally:
+        catalog.use_database(spark, before)
+    listed = catalog.list_databases(spark).select(F.col("namespace").alias("database_name"))
+    return reduce(DataFrame.unionByName, counts).join(listed, "database_name", "left_semi")
 
 
 _NEW_KEYS = 1_000_000_000_000  # added to the keys of the feed's new orders

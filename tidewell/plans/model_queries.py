@@ -211,4 +211,4 @@ def linear_svc_groups(spark, sf_dir):
     variety = F.col("variety")
     rows = _flags(_traits(spark, sf_dir),
                   {"is_poor": variety < 6, "is_plain": (variety >= 6) & (variety < 11)})
-    return _fitted(rows, ["is_poor", "is_plain"], "linear_svc", maxIter=200, tol=1e-9)
+    return _fitted(rows, ["is_poor", "is_plain"], "linear_svc", maxIter=10, tol=1e-6)

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from tidewell.catalog import cached_table, register_view
+from tidewell.catalog import cache_table, cached_table, clear_cache, register_view
 from tidewell.functions import epoch_seconds
 from tidewell.operators import (
-    column_summary, global_mean as mean_of, group_count, group_mean, mean_between, null_profile,
-    remap_values, row_count, text_summary, top_rows,
+    column_summary, exact_summary, global_mean as mean_of, group_count, group_mean, mean_between, null_profile,
+    remap_from_table, remap_values, row_count, text_summary, top_rows,
 )
 from tidewell.plans.history import daily_counts_of_raw
 from tidewell.plans.registry import query, table
@@ -165,3 +165,49 @@ def cached_view_limit(spark, sf_dir):
     register_view(table(spark, sf_dir, "orders").select(*columns), "orders_cached_view")
     with cached_table(spark, "orders_cached_view", lazy=True) as view:
         return materialize(top_rows(view, 15, ["o_orderkey"]), "top")
+
+
+_EXACT_SQL = {"big_key": "o_orderkey + 9007199254740992", "price": "CAST(o_totalprice AS DECIMAL(38, 10))",
+              "day": "CAST(o_orderdate AS DATE)", "o_orderpriority": "o_orderpriority"}
+
+
+@query(" UNION ALL ".join(f"""
+    SELECT '{name}' AS column_name, '{kind}' AS data_type, count({sql}) AS count,
+           CAST(min({sql}) AS VARCHAR) AS min, CAST(max({sql}) AS VARCHAR) AS max FROM orders"""
+    for (name, sql), kind in zip(_EXACT_SQL.items(), ("bigint", "decimal(38,10)", "date", "string"))),
+    name="exact_summary")
+def exact_summary_orders(spark, sf_dir):
+    """Keys beyond what a double holds, long decimals, dates and text, all in one pass."""
+    return exact_summary(table(spark, sf_dir, "orders").select(
+        *[F.expr(sql).alias(name) for name, sql in _EXACT_SQL.items()]))
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, coalesce(p_name, CAST(l_partkey AS VARCHAR)) AS part
+    FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_partkey % 3 <> 0) ON l_partkey = p_partkey""",
+    name="remap_from_table")
+def remap_parts(spark, sf_dir):
+    """Part numbers replaced by names from a table that knows two of three."""
+    names = table(spark, sf_dir, "part").where("p_partkey % 3 <> 0").select(
+        F.col("p_partkey").cast("string").alias("old"), F.col("p_name").alias("new"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return remap_from_table(lines, names, "part")
+
+
+@query("""
+    SELECT o_orderstatus, count(*) AS n_orders, (SELECT round(avg(o_totalprice), 4) FROM orders) AS mean_price,
+           CAST(1 AS INTEGER) AS from_memory, CAST(1 AS INTEGER) AS released
+    FROM orders GROUP BY o_orderstatus""")
+def cached_view_reads(spark, sf_dir):
+    """Two reads of one cached view, both from memory by their plans, and the cache cleared after."""
+    register_view(table(spark, sf_dir, "orders").select("o_orderstatus", "o_totalprice"), "orders_read_twice")
+    cache_table(spark, "orders_read_twice")
+    reads = [group_count(spark.table("orders_read_twice"), ["o_orderstatus"], "n_orders"),
+             spark.sql("SELECT round(avg(o_totalprice), 4) AS mean_price FROM orders_read_twice")]
+    cached = [int("InMemoryRelation" in r._jdf.queryExecution().executedPlan().toString()) for r in reads]
+    counts, mean = materialize(reads[0], "counts"), reads[1].first()[0]
+    clear_cache(spark)
+    return counts.withColumns({
+        "mean_price": F.lit(mean), "from_memory": F.lit(min(cached)),
+        "released": F.lit(int(not spark.catalog.isCached("orders_read_twice")))})

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewell.session import stored_listing
+from tidewell.session import scratch_dir, stored_listing
 
 
 # What lets text come back as it was: quotes are doubled, and outer blanks belong to the text.
@@ -25,7 +25,7 @@ def _inferring(reader, schema: StructType | str | None, sampling_ratio: float |
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              sampling_ratio: float | None = None, null_value: str | None = None,
-             multi_line: bool = False, **dialect) -> DataFrame:
+             multi_line: bool = False, corrupt_column: str | None = None, **dialect) -> DataFrame:
     """CSV with a header row.
 
     ``multi_line`` reads quoted line breaks, at the price of one task for each file.
@@ -34,17 +34,49 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     Without ``schema`` the types are inferred, which costs a full extra pass; give
     the schema on large inputs.  ``sampling_ratio`` makes that pass cheaper but may
     type a column too narrowly.
+
+    With a schema and ``corrupt_column``, a line that does not fit the schema is kept as text in that
+    column, which is null for the others; see ``split_rejects``.
     """
     reader = spark.read.options(**{**CSV_DIALECT, "header": True, "multiLine": multi_line, **dialect})
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
-    return _inferring(reader, schema, sampling_ratio).csv(path)
+    return _keeping(_inferring(reader, schema, sampling_ratio), schema, corrupt_column).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
-              sampling_ratio: float | None = None) -> DataFrame:
-    """JSON lines, one file or a directory.  Keys absent from a record become null."""
-    return _inferring(spark.read, schema, sampling_ratio).json(path)
+              sampling_ratio: float | None = None, corrupt_column: str | None = None) -> DataFrame:
+    """JSON lines, one file or a directory.  Keys absent from a record become null.
+
+    ``corrupt_column`` is as in ``read_csv``.
+    """
+    return _keeping(_inferring(spark.read, schema, sampling_ratio), schema, corrupt_column).json(path)
+
+
+def _keeping(reader, schema: StructType | str | None, corrupt_column: str | None):
+    if corrupt_column is None:
+        return reader
+    if schema is None:
+        raise ValueError("a corrupt column needs a schema")
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else StructType(list(schema.fields))
+    return (reader.schema(fields.add(corrupt_column, "string")).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", corrupt_column))
+
+
+def split_rejects(df: DataFrame, corrupt_column: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """The rows that fit their schema, the text of the others, and how many there are of each.
+
+    The input is parsed once: rows are written to the shared folder, the good ones apart from the rejects, and
+    counted on the way.
+    """
+    counted = Observation()
+    flagged = df.withColumn("_rejected", F.col(corrupt_column).isNotNull().cast("int")).observe(
+        counted, F.count_if(F.col("_rejected") == 0).alias("good"), F.count_if(F.col("_rejected") == 1).alias("rejected"))
+    path = scratch_dir(df.sparkSession, "parsed")
+    flagged.write.partitionBy("_rejected").parquet(path)
+    stored = df.sparkSession.read.schema(flagged.schema).parquet(path)
+    good = stored.where("_rejected = 0").drop("_rejected", corrupt_column)
+    return good, stored.where("_rejected = 1").select(F.col(f"`{corrupt_column}`")), counted.get
 
 
 def read_lake(spark: SparkSession, path: str,
