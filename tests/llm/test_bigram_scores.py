@@ -33,7 +33,13 @@ def test_scores_are_those_of_a_plain_bigram(spark):
 
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     texts = dict(rows)
-    for r in score_texts(docs).collect():
-        tokens = split(texts[r["doc_id"]])
-        plain = sum(math.log10(probability(v, w)) for v, w in zip([None, *tokens], tokens))
-        assert abs(r["score"] - plain) <= len(tokens) * _STEP / 2 + 1e-9
+    found = {}
+    # one shard; several; and contexts dealt over them
+    for options in ({}, {"block_bytes": 3000}, {"block_bytes": 900}, {"block_bytes": 900, "context_tokens": 50}):
+        found[str(options)] = scores = {r["doc_id"]: r["score"] for r in score_texts(docs, **options).collect()}
+        for i, score in scores.items():
+            tokens = split(texts[i])
+            plain = sum(math.log10(probability(v, w)) for v, w in zip([None, *tokens], tokens))
+            assert abs(score - plain) <= len(tokens) * _STEP / 2 + 1e-9
+    one = found.pop("{}")
+    assert all(abs(scores[i] - one[i]) < 1e-9 for scores in found.values() for i in one)

@@ -11,7 +11,7 @@ import pytest
 
 import corpus_pipeline
 from tests.conftest import SF_DIR
-from tidewell.llm import common, decontaminate, language, near_duplicates, nearest, pii, quality, toxicity
+from tidewell.llm import common, decontaminate, elias_fano, language, near_duplicates, nearest, pii, quality, toxicity
 from tidewell.llm.common import hash_words, read_table, words_of
 from tidewell.llm.components import connected_components
 from tidewell.llm.elias_fano import EliasFano, Trie
@@ -165,12 +165,30 @@ def test_elias_fano_finds_and_restores():
     assert len(empty.decode()) == 0 and empty.find(values[:3]).tolist() == [-1] * 3
 
 
-def test_trie_gives_what_was_put_in():
-    keys = np.array([3 * 10 + 1, 3 * 10 + 7, 5 * 10 + 1], np.uint64)
-    trie = Trie(np.frombuffer(Trie.build(keys, 10, np.array([11, 12, 13], np.uint8),
-                                         np.array([21, 22], np.uint8)), np.uint8))
-    code, back = trie.look_up(np.array([3, 3, 5, 4], np.uint64), np.array([7, 2, 1, 1], np.uint64))
-    assert code.tolist() == [12, 0, 13, 0] and back.tolist() == [21, 21, 22, 0]
+def test_segments_are_unpacked_alone(monkeypatch):
+    monkeypatch.setattr(elias_fano, "_STRETCH", 16)
+    rng = np.random.default_rng(4)
+    values = np.sort(rng.integers(0, 1 << 20, 3000, dtype=np.uint64))
+    coded = EliasFano(EliasFano.encode(values, 1 << 20))
+    for a, b in ((0, 0), (0, 3000), (17, 18), (1000, 2500), (2999, 3000)):
+        assert (coded.segment(a, b) == values[a:b]).all()
+
+
+@pytest.mark.parametrize("piece", [2, 1 << 16])
+def test_trie_gives_what_was_put_in(monkeypatch, piece):
+    monkeypatch.setattr(elias_fano, "PIECE", piece)
+    keys = np.array([3 * 10 + 1, 3 * 10 + 7, 3 * 10 + 8, 5 * 10 + 1, 7 * 10 + 9], np.uint64)
+    trie = Trie(np.frombuffer(Trie.build(keys, 10, np.array([11, 12, 14, 13, 15], np.uint8)), np.uint8))
+    code, many = trie.look_up(np.array([3, 3, 3, 4, 5, 7, 7], np.uint64), np.array([0, 2, 7, 1, 1, 8, 9], np.uint64))
+    assert code.tolist() == [0, 0, 12, 0, 13, 0, 15] and many.tolist() == [3, 3, 3, 0, 1, 1, 1]
+
+
+def test_codes_of_counts():
+    counts, totals = np.array([0, 1, 32, 33, 10 ** 6, 7 * 10 ** 11]), np.array([5, 9, 40, 50, 10 ** 9, 10 ** 12])
+    shares = elias_fano.discounted(elias_fano.code_counts(counts, totals), totals, 0.5)
+    exact = np.maximum(counts - 0.5, 0) / totals
+    assert np.allclose(shares[:3], exact[:3], rtol=1e-12)
+    assert (np.abs(np.log10(shares[3:] / exact[3:])) <= elias_fano._STEP / 2 * 1.02).all()
 
 
 # decontamination

@@ -7,6 +7,8 @@ import struct
 import numpy as np
 
 _HEAD = struct.Struct("<qqB")  # values, bits of the high part, low bits of a value
+_STRETCH = 512  # bytes of the high part between counts of its ones
+PIECE = 1 << 16  # values unpacked at a time
 
 
 class EliasFano:
@@ -24,7 +26,7 @@ class EliasFano:
         start = _HEAD.size
         self.low, self.high = data[start:start + size], data[start + size:start + size + (high_bits + 7) // 8]
         self.bytes = start + size + (high_bits + 7) // 8
-        self.n = n
+        self.n, self.before = n, None
 
     @staticmethod
     def encode(values: np.ndarray, universe: int) -> bytes:
@@ -40,68 +42,76 @@ class EliasFano:
             low = np.packbits(np.unpackbits(wide, axis=1)[:, 64 - low_bits:]).tobytes()
         return _HEAD.pack(n, len(bitmap), low_bits) + low + np.packbits(bitmap).tobytes()
 
-    def highs(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high))[:self.n]
-        return ones - np.arange(self.n)
-
-    def lows(self) -> np.ndarray:
-        if not self.low_bits or not self.n:
-            return np.zeros(self.n, np.uint64)
-        bits = np.unpackbits(self.low, count=self.n * self.low_bits).reshape(self.n, self.low_bits)
-        wide = np.zeros((self.n, 64), np.uint8)
-        wide[:, 64 - self.low_bits:] = bits
-        return np.packbits(wide, axis=1).view(">u8").ravel().astype(np.uint64)
+    def _ones(self) -> np.ndarray:
+        """Ones of the high part before each of its stretches of ``_STRETCH`` bytes."""
+        if self.before is None:
+            counts = [int(np.bitwise_count(self.high[at:at + _STRETCH]).sum(dtype=np.int64))
+                      for at in range(0, len(self.high), _STRETCH)]
+            self.before = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        return self.before
+
+    def segment(self, a: int, b: int) -> np.ndarray:
+        """The values from place ``a`` to before ``b``; nothing else is unpacked."""
+        if a >= b:
+            return np.zeros(0, np.uint64)
+        before = self._ones()
+        first, last = np.searchsorted(before, [a, b - 1], "right") - 1
+        bits = np.unpackbits(self.high[first * _STRETCH:(last + 1) * _STRETCH])
+        ones = np.flatnonzero(bits)[a - before[first]:b - before[first]] + first * _STRETCH * 8
+        values = (ones - np.arange(a, b)).astype(np.uint64) << np.uint64(self.low_bits)
+        if self.low_bits:
+            start, stop = a * self.low_bits, b * self.low_bits
+            bits = np.unpackbits(self.low[start // 8:(stop + 7) // 8])[start % 8:][:stop - start]
+            wide = np.zeros((b - a, 64), np.uint8)
+            wide[:, 64 - self.low_bits:] = bits.reshape(b - a, self.low_bits)
+            values |= np.packbits(wide, axis=1).view(">u8").ravel().astype(np.uint64)
+        return values
 
     def decode(self) -> np.ndarray:
-        return self.highs().astype(np.uint64) << np.uint64(self.low_bits) | self.lows()
+        out = np.empty(self.n, np.uint64)
+        for a in range(0, self.n, PIECE):
+            out[a:a + PIECE] = self.segment(a, min(self.n, a + PIECE))
+        return out
 
     def find(self, values: np.ndarray) -> np.ndarray:
-        """The place of each value, or -1: the successor in the bucket of its high part."""
-        if self.n == 0:
-            return np.full(len(values), -1, np.int64)
-        highs, lows = self.highs(), self.lows()
-        first = np.zeros(int(highs[-1]) + 2, np.int64)
-        np.cumsum(np.bincount(highs, minlength=len(first) - 1), out=first[1:])
-        bucket = (values >> np.uint64(self.low_bits)).astype(np.int64)
-        inside = bucket < len(first) - 1
-        bucket = np.where(inside, bucket, 0)
-        at, end = first[bucket], np.where(inside, first[bucket + 1], 0)
-        wanted = values & np.uint64((1 << self.low_bits) - 1)
-        out = np.full(len(values), -1, np.int64)
-        rows = np.flatnonzero(at < end)
-        while len(rows):
-            # binary steps towards the first low part that is not smaller
-            middle = (at[rows] + end[rows]) >> 1
-            smaller = lows[middle] < wanted[rows]
-            at[rows[smaller]], end[rows[~smaller]] = middle[smaller] + 1, middle[~smaller]
-            rows = rows[at[rows] < end[rows]]
-        stop = np.where(inside, first[bucket + 1], 0)
-        hit = np.flatnonzero(at < stop)
-        hit = hit[lows[at[hit]] == wanted[hit]]
-        out[hit] = at[hit]
+        """A place of each value, or -1, by pieces of the sequence."""
+        out, order = np.full(len(values), -1, np.int64), np.argsort(values, kind="stable")
+        ordered = values[order]
+        for a in range(0, self.n, PIECE):
+            piece = self.segment(a, min(self.n, a + PIECE))
+            low, high = np.searchsorted(ordered, piece[0]), np.searchsorted(ordered, piece[-1], "right")
+            at = np.searchsorted(piece, ordered[low:high])
+            hit = piece[at] == ordered[low:high]
+            out[order[low:high][hit]] = a + at[hit]
         return out
 
 
-# Quantised logarithms: code 0 is "none", 1 to 255 stand for 10^-9 to 1.
-LOWEST = -9.0
-_STEP = -LOWEST / 254
+# Codes of counts: 0 is "none", 1 to 32 the count itself, and above the share of the context's tokens,
+# evenly spaced in the logarithm from 10^-12 to 1.
+EXACT = 32
+LOWEST = -12.0
+_STEP = -LOWEST / (254 - EXACT)
 
 
-def quantise(p: np.ndarray) -> np.ndarray:
-    """Codes of probabilities, evenly spaced in the logarithm."""
-    level = np.rint((np.log10(np.maximum(p, 10.0 ** LOWEST)) - LOWEST) / _STEP)
-    return np.where(p > 0, 1 + np.clip(level, 0, 254), 0).astype(np.uint8)
+def code_counts(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Codes of counts out of ``totals``."""
+    share = np.log10(np.maximum(counts, 1) / np.maximum(totals, 1))
+    level = np.clip(np.rint((share - LOWEST) / _STEP), 0, 254 - EXACT)
+    return np.where(counts > EXACT, EXACT + 1 + level, counts).astype(np.uint8)
 
 
-def value_of(code: np.ndarray) -> np.ndarray:
-    return np.where(code > 0, 10.0 ** (LOWEST + (code.astype(float) - 1) * _STEP), 0.0)
+def discounted(code: np.ndarray, totals: np.ndarray, discount: float) -> np.ndarray:
+    """The discounted share of the total that each code stands for."""
+    share = np.where(code > EXACT, 10.0 ** (LOWEST + (code.astype(float) - EXACT - 1) * _STEP), code / totals)
+    return np.maximum(share - discount / totals, 0.0)
 
 
 class Trie:
-    """Two levels: contexts, and under each its successors with a quantised probability.
+    """Two levels: contexts, and under each its successors with a quantised count.
 
     Successors are stored relative to their context: the sequence ``context place * words
-    + successor`` is monotone over the level, and pointers say where each context begins.
+    + successor`` is monotone over the level, and pointers say where each context begins, and so how many
+    successors it has.
     """
 
     def __init__(self, buffer: np.ndarray):
@@ -111,13 +121,11 @@ class Trie:
             parts.append(EliasFano(buffer[at:]))
             at += parts[-1].bytes
         self.contexts, self.pointers, self.successors = parts
-        n = self.contexts.n
-        self.backoff = buffer[at:at + n]
-        self.codes = buffer[at + n:at + n + self.successors.n]
+        self.codes = buffer[at:at + self.successors.n]
 
     @staticmethod
-    def build(keys: np.ndarray, words: int, codes: np.ndarray, backoff: np.ndarray) -> bytes:
-        """``keys``: sorted ``context * words + successor``; ``backoff``: one of each context."""
+    def build(keys: np.ndarray, words: int, codes: np.ndarray) -> bytes:
+        """``keys``: sorted ``context * words + successor``, with a code each."""
         context = keys // np.uint64(words)
         fresh = np.ones(len(keys), bool)
         fresh[1:] = context[1:] != context[:-1]
@@ -126,15 +134,46 @@ class Trie:
         relative = place.astype(np.uint64) * np.uint64(words) + keys % np.uint64(words)
         return b"".join([struct.pack("<q", words), EliasFano.encode(context, words),
                          EliasFano.encode(pointers, len(keys) + 1),
-                         EliasFano.encode(relative, max(1, len(context)) * words),
-                         backoff.tobytes(), codes.tobytes()])
+                         EliasFano.encode(relative, max(1, len(context)) * words), codes.tobytes()])
 
     def look_up(self, context: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of the successors and of the contexts' backoff weights; 0 where there is none."""
+        """Codes of the successors (0: none) and the number of successors that each context has.
+
+        Queries are in order of context.  Each is searched between the pointers of its context; the successors are
+        unpacked only where queried contexts point, some ``PIECE`` at a time.
+        """
+        code, many = np.zeros(len(context), np.uint8), np.zeros(len(context), np.int64)
         place = self.contexts.find(context)
-        known = place >= 0
-        code, back = np.zeros(len(place), np.uint8), np.zeros(len(place), np.uint8)
-        back[known] = self.backoff[place[known]]
-        found = self.successors.find(place[known].astype(np.uint64) * np.uint64(self.words) + successor[known])
-        code[np.flatnonzero(known)[found >= 0]] = self.codes[found[found >= 0]]
-        return code, back
+        asked = np.flatnonzero(place >= 0)
+        if not len(asked):
+            return code, many
+        pointers = self.pointers.decode().astype(np.int64)
+        begin, end = pointers[place[asked]], pointers[place[asked] + 1]
+        many[asked] = end - begin
+        at = 0
+        while at < len(asked):
+            to = max(np.searchsorted(end, begin[at] + PIECE, "right"), np.searchsorted(begin, begin[at], "right"))
+            own = self.successors.segment(int(begin[at]), int(end[to - 1])) % np.uint64(self.words)
+            queries = asked[at:to]
+            found = _search(own, begin[at:to] - begin[at], end[at:to] - begin[at], successor[queries])
+            hit = found >= 0
+            code[queries[hit]] = self.codes[begin[at] + found[hit]]
+            at = int(to)
+        return code, many
+
+
+def _search(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted value in its own sorted range of ``values``, or -1."""
+    low, stop = low.copy(), high
+    high = high.copy()
+    rows = np.flatnonzero(low < high)
+    while len(rows):
+        middle = (low[rows] + high[rows]) >> 1
+        smaller = values[middle] < wanted[rows]
+        low[rows[smaller]], high[rows[~smaller]] = middle[smaller] + 1, middle[~smaller]
+        rows = rows[low[rows] < high[rows]]
+    found = np.flatnonzero(low < stop)
+    found = found[values[low[found]] == wanted[found]]
+    out = np.full(len(wanted), -1, np.int64)
+    out[found] = low[found]
+    return out

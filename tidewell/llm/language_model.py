@@ -4,13 +4,15 @@ Documents are dealt into blocks of about ``BLOCK_BYTES`` of text.  A block sends
 words it holds, with their counts in training documents, to shards by word hash; a shard sums the counts,
 numbers the words and answers each block with number and count.  Then the block sends its
 distinct word pairs to shards by context; a shard sums them, builds a trie of contexts and
-successors, memory-maps it and answers with quantised values.  So counting and scoring share one
-shuffle each way, both carry each word or pair of a block once, and no task sees the whole model.
+successors, memory-maps it and answers with quantised counts and numbers of successors.  So counting and
+scoring share one shuffle each way, both carry each word or pair of a block once, and no task sees the whole model.
 
 ``P(w | v) = max(c(vw) - D, 0) / c(v) + D * n(v) / c(v) * P(w)``, with n(v) the number of
-distinct successors, D by the shard's counts of counts, and the add-one unigram ``P(w)``.  A
-context with many tokens is dealt over several shards by successor; n(v) is then the shard's
-number times the number of shards.  An unseen word after a known
+distinct successors, D by the counts of counts of all pairs, and the add-one unigram ``P(w)``.  D is known when all
+shards have counted, so tries hold counts (up to 32 as they are, larger ones as a quantised share of c(v)), and
+probabilities are formed from them where a text is scored.  A context with many tokens is dealt
+over several shards by successor; a block that has it asks all of them, and n(v) is the sum.  So the model does not
+depend on the number of blocks or shards.  An unseen word after a known
 context has the second term alone.  The first word, and a word after one unknown to the training
 documents, has the unigram's probability.
 
@@ -30,14 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import fold, hash_words, mix64
-from tidewell.llm.elias_fano import EliasFano, Trie, quantise, value_of
+from tidewell.llm.elias_fano import EliasFano, Trie, code_counts, discounted
 from tidewell.session import materialize
 
 BLOCK_BYTES = 12 * 1024 * 1024
 BLOCKS_PER_SHARD = 2
 CONTEXT_TOKENS = 1_000_000
 END = np.uint64(0x656E64)  # stands for the end token
-_ANSWER = "block bigint, level int, shard int, a binary, b binary"
+# ``a`` and ``b`` answer a block; rows without one (-1) hold the shard's sums.
+_ANSWER = "block bigint, level int, shard int, a binary, b binary, x bigint, y bigint, z bigint"
+
+_ANSWER_NAMES = ["block", "level", "shard", "a", "b", "x", "y", "z"]
 
 
 def _tokens(texts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -89,28 +94,57 @@ class Block:
                     number[part], count[part] = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
             self.number, self.count = number, count  # number 0: unknown
 
-    def pairs(self, words: int, shards: int):
-        """Distinct pairs of a known context by shard, and the pair of each token (-1: none).
-        All unseen words are successor 0, which asks for the context's backoff weight alone."""
-        number = self.number[self.at]
+    def pairs(self, words: int, shards: int, context_tokens: int) -> Pairs:
+        return Pairs(self, words, shards, context_tokens)
+
+
+class Pairs:
+    """The distinct pairs of known words of a block, in order of shard, context and successor.
+
+    Where a shard holds successors of a context that the block has, but none of the block's pairs, successor
+    0 asks it for their number alone.  ``pair_of`` and ``context_of`` are a token's pair (-1: it is unseen) and
+    the context before it (-1: none or unknown).
+    """
+
+    def __init__(self, block: Block, words: int, shards: int, context_tokens: int):
+        number = block.number[block.at]
         before = np.concatenate([[0], number[:-1]])
-        before[np.cumsum(self.sizes)[:-1]] = 0
-        known = np.flatnonzero(before > 0)
-        key = before[known].astype(np.uint64) * np.uint64(words) + number[known].astype(np.uint64)
-        distinct, _, place = _distinct(key)
-        total = np.zeros(int(self.number.max()) + 1 if len(self.number) else 1, np.int64)
-        total[self.number] = self.count
-        context = distinct // np.uint64(words)
-        spread = np.minimum(shards, 1 + total[context.astype(np.int64)] // CONTEXT_TOKENS)
-        side = (mix64(distinct % np.uint64(words)) >> np.uint64(8)).astype(np.int64) % spread
-        shard = ((mix64(context) >> np.uint64(8)).astype(np.int64) + side) % shards
-        order, begin = _by_shard(shard, shards)
-        pair_of = np.full(len(self.at), -1, np.int64)
+        before[np.cumsum(block.sizes)[:-1]] = 0
+        self.contexts, place = np.unique(before, return_inverse=True)
+        known = self.contexts > 0
+        self.contexts = self.contexts[known]
+        self.context_of = place - (~known).sum()
+        total = np.zeros(int(block.number.max()) + 1 if len(block.number) else 1, np.int64)
+        total[block.number] = block.count
+        self.totals = total[self.contexts]
+        both = np.flatnonzero((before > 0) & (number > 0))
+        pairs, _, pair = _distinct(before[both].astype(np.uint64) * np.uint64(words) + number[both].astype(np.uint64))
+        seen = np.bincount(pair, block.train[both], len(pairs)).astype(np.int64)
+        context = np.searchsorted(self.contexts, (pairs // np.uint64(words)).astype(np.int64))
+        spread = np.minimum(shards, 1 + self.totals // context_tokens)
+        side = (mix64(pairs % np.uint64(words)) >> np.uint64(8)).astype(np.int64) % spread[context]
+        # every (context, side), and those that no pair of the block asks
+        whose = np.repeat(np.arange(len(spread)), spread)
+        sides = np.arange(len(whose)) - np.repeat(np.cumsum(spread) - spread, spread)
+        rest = np.setdiff1d(whose * shards + sides, context * shards + side)
+        keys = np.concatenate([pairs, self.contexts[rest // shards].astype(np.uint64) * np.uint64(words)])
+        context, side = np.concatenate([context, rest // shards]), np.concatenate([side, rest % shards])
+        shard = ((mix64(self.contexts[context].astype(np.uint64)) >> np.uint64(8)).astype(np.int64) + side) % shards
+        order = np.lexsort((keys, shard))
+        self.keys, self.context = keys[order], context[order]
+        self.seen = np.concatenate([seen, np.zeros(len(rest), np.int64)])[order]
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        pair_of[known] = rank[place]
-        seen = np.bincount(rank[place], self.train[known], len(order)).astype(np.int64)
-        return distinct[order], begin, pair_of, seen, total
+        self.pair_of = np.full(len(number), -1, np.int64)
+        self.pair_of[both] = rank[pair]
+
+    def parts(self):
+        """(shard, first pair, end, places in ``contexts`` of the part's contexts)."""
+        for s, (a, b) in enumerate(zip(self.begin[:-1], self.begin[1:])):
+            if b > a:
+                own = self.context[a:b]
+                yield s, a, b, own[_runs(own)[0]]
 
 
 def _send_words(shards: int):
@@ -124,7 +158,8 @@ def _send_words(shards: int):
 
 
 def _table(rows: list[tuple], names: list[str]) -> pa.Table:
-    kinds = {"block": pa.int64(), "shard": pa.int32(), "level": pa.int32()}
+    kinds = {"block": pa.int64(), "shard": pa.int32(), "level": pa.int32(), "x": pa.int64(), "y": pa.int64(),
+             "z": pa.int64()}
     columns = list(zip(*rows)) if rows else [[] for _ in names]
     return pa.table([pa.array(list(c), kinds.get(n, pa.binary())) for c, n in zip(columns, names)], names=names)
 
@@ -143,10 +178,9 @@ def _number_words(shards: int):
         for block, k in zip(table["block"].to_pylist(), keys):
             mine = place[at:at + len(k)]
             at += len(k)
-            rows.append((block, 1, shard, number[mine].tobytes(), total[mine].tobytes()))
-        facts = np.array([total.sum(), (total > 0).sum(), number.max()], np.int64)
-        rows.append((-1, 0, shard, facts.tobytes(), b""))
-        return _table(rows, ["block", "level", "shard", "a", "b"])
+            rows.append((block, 1, shard, number[mine].tobytes(), total[mine].tobytes(), 0, 0, 0))
+        rows.append((-1, 0, shard, b"", b"", int(total.sum()), int((total > 0).sum()), int(number.max())))
+        return _table(rows, _ANSWER_NAMES)
     return run
 
 
@@ -155,34 +189,19 @@ def _answers(table: pa.Table) -> dict:
         *[table[c].to_pylist() for c in ("level", "shard", "a", "b")])}
 
 
-def _send_pairs(shards: int, words: int):
+def _send_pairs(shards: int, words: int, context_tokens: int):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         rows = []
         if docs.num_rows:
             block = Block(docs, shards, _answers(told))
-            keys, begin, _, seen, total = block.pairs(words, shards)
-            for s, (a, b) in enumerate(zip(begin[:-1], begin[1:])):
-                if b > a:
-                    context = (keys[a:b] // np.uint64(words)).astype(np.int64)
-                    context = context[_runs(context)[0]]
-                    rows.append((int(docs["block"][0].as_py()), s, EliasFano.encode(keys[a:b], words * words),
-                                 seen[a:b].astype(np.uint32).tobytes(), total[context].tobytes()))
+            pairs = block.pairs(words, shards, context_tokens)
+            for shard, a, b, contexts in pairs.parts():
+                rows.append((int(docs["block"][0].as_py()), shard, EliasFano.encode(pairs.keys[a:b], words * words),
+                             pairs.seen[a:b].astype(np.uint32).tobytes(), pairs.totals[contexts].tobytes()))
         return _table(rows, ["block", "shard", "keys", "counts", "totals"])
     return run
 
 
-def shard_trie(keys: np.ndarray, counts: np.ndarray, total: np.ndarray, words: int, shards: int) -> bytes:
-    """The trie of a shard's pairs: sorted ``keys`` seen ``counts`` times, ``total`` of each
-    key's context."""
-    ones, twos = (counts == 1).sum(), (counts == 2).sum()
-    discount = float(np.clip(ones / max(1, ones + 2 * twos), 0.1, 0.95))
-    first, place = _runs(keys // np.uint64(words))
-    spread = np.minimum(shards, 1 + total[first] // CONTEXT_TOKENS)
-    rest = discount * np.bincount(place, minlength=len(first)) * spread / np.maximum(total[first], 1)
-    return Trie.build(keys, words, quantise((counts - discount) / np.maximum(total, 1)),
-                      quantise(np.minimum(rest, 1.0)))
-
-
 def _answer_pairs(shards: int, words: int):
     def run(table: pa.Table) -> pa.Table:
         blocks, shard = table["block"].to_pylist(), table["shard"][0].as_py()
@@ -194,23 +213,26 @@ def _answer_pairs(shards: int, words: int):
                                  for k, t in zip(keys, table["totals"].to_pylist())])
         distinct, first, place = _distinct(flat)
         seen = np.bincount(place, counts, len(distinct)).astype(np.int64)
-        data = shard_trie(distinct[seen > 0], seen[seen > 0], totals[first[seen > 0]], words, shards)
+        there = seen > 0
+        data = Trie.build(distinct[there], words, code_counts(seen[there], totals[first[there]]))
         with tempfile.NamedTemporaryFile(prefix="trie-") as file:  # gone when the task has answered
             file.write(data)
             file.flush()
             trie = Trie(np.memmap(file.name, np.uint8, "r", shape=(os.path.getsize(file.name),)))
-            code, back = trie.look_up(distinct // np.uint64(words), distinct % np.uint64(words))
+            code, many = trie.look_up(distinct // np.uint64(words), distinct % np.uint64(words))
             del trie
         rows, at = [], 0
         for block, n in zip(blocks, sizes):
             mine = place[at:at + n]
             at += n
-            rows.append((block, 2, shard, code[mine].tobytes(), back[mine].tobytes()))
-        return _table(rows, ["block", "level", "shard", "a", "b"])
+            contexts = mine[_runs(distinct[mine] // np.uint64(words))[0]]
+            rows.append((block, 2, shard, code[mine].tobytes(), many[contexts].astype(np.uint32).tobytes(), 0, 0, 0))
+        rows.append((-1, 3, shard, b"", b"", int((seen == 1).sum()), int((seen == 2).sum()), 0))
+        return _table(rows, _ANSWER_NAMES)
     return run
 
 
-def _score(shards: int, words: int, tokens: int, types: int):
+def _score(shards: int, words: int, context_tokens: int, tokens: int, types: int, discount: float):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         names = ["doc_id", "train", "n_tokens", "n_known", "base_score", "score"]
         if not docs.num_rows:
@@ -218,19 +240,19 @@ def _score(shards: int, words: int, tokens: int, types: int):
                                                        pa.float64(), pa.float64())], names=names)
         answers = _answers(told)
         block = Block(docs, shards, answers)
-        keys, begin, pair_of, _, _ = block.pairs(words, shards)
-        code, back = np.zeros(len(keys), np.uint8), np.zeros(len(keys), np.uint8)
-        for s, (a, b) in enumerate(zip(begin[:-1], begin[1:])):
-            if b > a:
-                code[a:b], back[a:b] = [np.frombuffer(x, np.uint8) for x in answers[2, s]]
+        pairs = block.pairs(words, shards, context_tokens)
+        code, many = np.zeros(len(pairs.keys), np.uint8), np.zeros(len(pairs.contexts), np.int64)
+        for shard, a, b, contexts in pairs.parts():
+            code[a:b] = np.frombuffer(answers[2, shard][0], np.uint8)
+            many[contexts] += np.frombuffer(answers[2, shard][1], np.uint32)
         count = block.count[block.at]
         unigram = (count + 1.0) / (tokens + types + 1.0)
         model = unigram.copy()
-        paired = pair_of >= 0
-        spot = pair_of[paired]
-        # a context always has a successor in training; 0 only where its share has none
-        weight = np.where(back[spot] > 0, value_of(back[spot]), 1.0)
-        model[paired] = value_of(code[spot]) + weight * unigram[paired]
+        after = np.flatnonzero(pairs.context_of >= 0)
+        context = pairs.context_of[after]
+        model[after] = np.minimum(discount * many[context] / pairs.totals[context], 1.0) * unigram[after]
+        paired = np.flatnonzero(pairs.pair_of >= 0)
+        model[paired] += discounted(code[pairs.pair_of[paired]], pairs.totals[pairs.context_of[paired]], discount)
         first = np.cumsum(block.sizes) - block.sizes
         sums = [np.add.reduceat(np.log10(x), first) for x in (unigram, np.minimum(model, 1.0))]
         known = np.add.reduceat((count > 0).astype(np.int64), first)
@@ -239,15 +261,17 @@ def _score(shards: int, words: int, tokens: int, types: int):
     return run
 
 
-def score_texts(docs: DataFrame, *, parts: int = 7, held_out: int = 2) -> DataFrame:
+def score_texts(docs: DataFrame, *, parts: int = 7, held_out: int = 2, block_bytes: int = BLOCK_BYTES,
+                context_tokens: int = CONTEXT_TOKENS) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and
     ``score`` of every row.
 
     The model is learned from the documents outside the held-out fold.  ``base_score`` is the
-    add-one unigram's log10 probability, ``score`` the bigram model's.
+    add-one unigram's log10 probability, ``score`` the bigram model's.  ``block_bytes`` of text are a block, and
+    contexts with ``context_tokens`` tokens are dealt over shards; neither changes the scores.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = size // BLOCK_BYTES + 1
+    blocks = size // block_bytes + 1
     shards = max(1, blocks // BLOCKS_PER_SHARD)
     dealt = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
                         (fold("doc_id", parts) != held_out).alias("train"),
@@ -255,17 +279,21 @@ def score_texts(docs: DataFrame, *, parts: int = 7, held_out: int = 2) -> DataFr
     vocabulary = materialize(
         dealt.groupBy("block").applyInArrow(_send_words(shards), "block bigint, shard int, keys binary, counts binary")
         .groupBy("shard").applyInArrow(_number_words(shards), _ANSWER), "vocabulary")
-    # one row of three numbers for each shard
-    facts = [np.frombuffer(r[0], np.int64) for r in vocabulary.filter("level = 0").select("a").collect()]
-    tokens, types = (int(sum(f[i] for f in facts)) for i in (0, 1))
-    words = int(max([f[2] for f in facts], default=0)) + 1
+    tokens, types, largest = (n or 0 for n in vocabulary.filter("level = 0").agg(
+        F.sum("x"), F.sum("y"), F.max("z")).first())
+    words = largest + 1
+    if words >= 1 << 32:
+        raise ValueError(f"{words} numbers of words: pairs of them do not fit into 64 bits")
     told = vocabulary.filter("level = 1")
-    answers = (dealt.groupBy("block").cogroup(told.groupBy("block"))
-               .applyInArrow(_send_pairs(shards, words),
-                             "block bigint, shard int, keys binary, counts binary, totals binary")
-               .groupBy("shard").applyInArrow(_answer_pairs(shards, words), _ANSWER))
-    scored = dealt.groupBy("block").cogroup(told.unionByName(answers).groupBy("block")).applyInArrow(
-        _score(shards, words, tokens, types),
+    answers = materialize(dealt.groupBy("block").cogroup(told.groupBy("block"))
+                          .applyInArrow(_send_pairs(shards, words, context_tokens),
+                                        "block bigint, shard int, keys binary, counts binary, totals binary")
+                          .groupBy("shard").applyInArrow(_answer_pairs(shards, words), _ANSWER), "answers")
+    once, twice = (n or 0 for n in answers.filter("level = 3").agg(F.sum("x"), F.sum("y")).first())
+    discount = min(max(once / max(1, once + 2 * twice), 0.1), 0.95)
+    scored = dealt.groupBy("block").cogroup(
+        told.unionByName(answers.filter("level = 2")).groupBy("block")).applyInArrow(
+        _score(shards, words, context_tokens, tokens, types, discount),
         "doc_id bigint, train boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
                          F.lit(tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
