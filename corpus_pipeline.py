@@ -39,8 +39,9 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokens of each document and the text that they decode to."""
-    return encode_documents(docs)
+    """The documents with their tokens and the text that these decode to."""
+    made = ("doc_id", "tokens", "n_tokens", "decoded")
+    return encode_documents(docs, keep=[c for c in docs.columns if c not in made])
 
 
 STAGES = [

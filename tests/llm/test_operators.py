@@ -388,3 +388,11 @@ def test_pipeline_stages_keep_rows_and_columns(spark):
 def test_pipeline_result(spark):
     kept = {r["doc_id"]: r["decoded"] for r in corpus_pipeline.run(spark, SF_DIR).select("doc_id", "decoded").collect()}
     assert kept and not any(pii.base_spans(t) for t in kept.values())
+
+
+def test_last_stage_keeps_all_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", "en", 7), (2, None, None, None)],
+                                 "doc_id bigint, text string, lang string, n_tokens int")
+    out = corpus_pipeline.tokenize(spark, docs, SF_DIR)
+    assert out.columns == ["doc_id", "tokens", "n_tokens", "decoded", "text", "lang"]
+    assert {(r["doc_id"], r["text"], r["lang"]) for r in out.collect()} == {(1, "a b", "en"), (2, None, None)}

@@ -19,7 +19,8 @@ the threshold misses all bands with a probability of about 1e-7.
 Words are what lies between ASCII white space, with A-Z in lower case.  A text with fewer
 words than a shingle has is one shingle; a null, empty or blank text has none and is linked
 with nothing.  A null id takes no part: it is its own, kept.  Repeated rows each give a row.
-If an id has several texts, each row is placed by its own text.
+If an id has several texts, each row is placed by its own text: sets are linked with sets, and only then
+is the smallest id of the linked sets taken.
 """
 
 from __future__ import annotations
@@ -106,7 +107,7 @@ def most_bits(threshold: float) -> int:
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``set_key``, ``bands`` and ``sketch`` of every row.
+    """``doc_id``, ``text_key``, ``n_shingles``, ``set_key``, ``bands`` and ``sketch`` of every row.
 
     ``sketch`` holds the odd sketch of the samples, the parity bitmap of the whole set, and
     the size of the set.
@@ -114,23 +115,28 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
     def make():
         memo = Memo(word_hash)
 
-        def work(ids, texts):
-            for i, text in zip(ids, texts):
+        def work(ids, texts, keys):
+            for i, text, key in zip(ids, texts, keys):
                 found = shingle_set(text, shingle, memo)
                 if len(found) == 0 or i is None:
-                    yield i, len(found), None, None, None
+                    yield i, key, len(found), None, None, None
                     continue
                 samples = min_hashes(found)
-                yield (i, len(found), xxhash.xxh3_128_digest(found.tobytes()),
+                yield (i, key, len(found), xxhash.xxh3_128_digest(found.tobytes()),
                        band_keys(samples).tolist(), odd_sketch(samples).tolist()
                        + parity_bitmap(found).tolist() + [len(found)])
         return work
 
-    return map_documents(docs, ["doc_id", "text"],
-                         "doc_id bigint, n_shingles bigint, set_key binary, "
+    return map_documents(text_keyed(docs), ["doc_id", "text", "text_key"],
+                         "doc_id bigint, text_key bigint, n_shingles bigint, set_key binary, "
                          "bands array<bigint>, sketch array<bigint>", make)
 
 
+def text_keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``text_key``, which tells the texts of one id apart."""
+    return docs.withColumn("text_key", F.xxhash64("text"))
+
+
 def _close(left: str, right: str, percent: int) -> Column:
     """Whether a pair with these sketches may reach the similarity."""
     def differing(first: int) -> Column:
@@ -146,8 +152,8 @@ def _close(left: str, right: str, percent: int) -> Column:
 
 def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` whose full sets reach the similarity, in whole numbers."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
 
     def make():
         memo = Memo(word_hash)
@@ -175,18 +181,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     ``component_id`` is the smallest id reachable over links, ``kept`` says that it is the
     row's own.
     """
+    return placed_rows(docs, shingle, percent).drop("text_key", "set_key")
+
+
+def placed_rows(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``near_duplicates`` with ``text_key`` and ``set_key``, null for rows that take no part."""
     signed = materialize(signatures(docs, shingle), "signatures")
-    # The signature is a function of the set, so any row of a set will do.
+    # The signature is a function of the set, so any row of a set will do; ``rep`` numbers the sets.
     sets = materialize(
         signed.filter("set_key is not null").groupBy("set_key").agg(
-            F.min("doc_id").alias("rep"), F.first("bands").alias("bands"),
-            F.first("sketch").alias("sketch")), "sets")
+            F.min(F.struct("doc_id", "text_key")).alias("_row"), F.first("bands").alias("bands"),
+            F.first("sketch").alias("sketch"))
+        .select("set_key", F.monotonically_increasing_id().alias("rep"), "_row.doc_id", "_row.text_key",
+                "bands", "sketch"), "sets")
     sketches = sets.select("rep", "sketch")
     rows = sets.select("rep", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     members = materialize(rows.join(shared, "key"), "members")
-    ids = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = materialize(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "texts")
+    wanted = sets.join(members.select("rep").distinct(), "rep", "left_semi").select("doc_id", "text_key", "rep")
+    # one text of each set, however often its row repeats
+    texts = materialize(text_keyed(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
+                        .join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+                        .select("rep", "text"), "texts")
 
     def close(pairs: DataFrame) -> DataFrame:
         a = sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a"))
@@ -215,13 +231,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
             edges = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
             found = connected_components(edges.unionByName(more))
 
-    named = (sets.select("set_key", "rep")
-             .join(found.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("set_key", F.coalesce("component", "rep").alias("component")))
-    return (signed.select("doc_id", "n_shingles", "set_key")
-            .join(named, "set_key", "left")
-            .select("doc_id", "n_shingles",
-                    F.coalesce("component", "doc_id").alias("component_id"))
+    named = materialize(
+        sets.select("set_key", "rep", "doc_id").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+        .select("set_key", "doc_id", F.coalesce("component", "rep").alias("component")), "named")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return (signed.select("doc_id", "text_key", "n_shingles", "set_key")
+            .join(named.join(least, "component").select("set_key", "component_id"), "set_key", "left")
+            .withColumn("component_id", F.coalesce("component_id", "doc_id"))
+            .select("doc_id", "n_shingles", "component_id", "text_key", "set_key")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
@@ -258,9 +275,12 @@ def _block_pairs(rest: DataFrame, sketches: DataFrame, percent: int) -> DataFram
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows, with all columns, of one document of each group; rows without id stay.
 
-    Of rows that repeat both id and text, one stays.
+    Of rows that repeat both id and text, or have one id and the same shingles, one stays.
     """
-    kept = (near_duplicates(docs, shingle, percent).filter("kept and doc_id is not null")
-            .select("doc_id").distinct())
-    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-            .unionByName(docs.filter("doc_id is null")).select(*docs.columns))
+    kept = (placed_rows(docs, shingle, percent).filter("kept and doc_id is not null")
+            # texts without shingles are told apart by themselves
+            .groupBy("doc_id", F.coalesce("set_key", F.col("text_key").cast("string").cast("binary")).alias("_set"))
+            .agg(F.min("text_key").alias("_text_key")).select(F.col("doc_id").alias("_id"), "_text_key"))
+    rows = docs.withColumns({"_id": F.col("doc_id").cast("bigint"), "_text_key": F.xxhash64("text")})
+    return (rows.join(kept, ["_id", "_text_key"], "left_semi").dropDuplicates(["_id", "_text_key"])
+            .select(*docs.columns).unionByName(docs.filter("doc_id is null")))

@@ -24,6 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,23 +48,22 @@ SLACK = 1e-6
 HELD = 50_000
 
 
-def _vectors(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+def _vectors(column: pa.ListArray, dim: int, kind: str) -> tuple[np.ndarray, np.ndarray]:
     """Places and values of the vectors that take part."""
-    places, rows = [], []
-    for i, v in enumerate(column.to_pylist()):
-        if v is not None and len(v) == dim and None not in v:
-            x = np.array(v, np.float32) + np.float32(0)  # -0 becomes 0
-            if np.isfinite(x).all() and x.any():
-                places.append(i)
-                rows.append(x)
-    return np.array(places, np.int64), np.array(rows, np.float32).reshape(len(rows), dim)
+    sizes = pc.fill_null(pc.list_value_length(column), -1).to_numpy(zero_copy_only=False)
+    places = np.flatnonzero(sizes == dim)
+    # a null component becomes NaN; -0 becomes 0
+    x = column.take(pa.array(places)).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    x = x.reshape(len(places), dim).astype(kind) + np.zeros(1, kind)
+    good = np.isfinite(x).all(axis=1) & x.any(axis=1)
+    return places[good], x[good]
 
 
-def _hashed(vectors: DataFrame, dim: int) -> DataFrame:
+def _hashed(vectors: DataFrame, dim: int, kind: str) -> DataFrame:
     """``id``, ``same`` (a hash of the vector) and ``vec`` (its bytes)."""
     def run(batches):
         for batch in batches:
-            places, x = _vectors(batch.column(1), dim)
+            places, x = _vectors(batch.column(1), dim, kind)
             data = [r.tobytes() for r in x]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(places)), pa.array([xxhash.xxh3_128_digest(d) for d in data], pa.binary()),
@@ -103,12 +103,13 @@ def _distinct(hashed: DataFrame, every: int, keep: int) -> DataFrame:
                          F.slice("ids", 1, keep).alias("ids"), "asked")
 
 
-def fit_lists(data: list[bytes], dim: int, total: int, k: int) -> dict:
+def fit_lists(data: list[bytes], dim: int, total: int, k: int, kind: str = "<f4",
+              max_lists: int = MAX_LISTS) -> dict:
     """Centres, the rotation, and the number of lists to probe."""
-    x = np.frombuffer(b"".join(data), np.float32).reshape(-1, dim).astype(float)
+    x = np.frombuffer(b"".join(data), kind).reshape(-1, dim).astype(float)
     rng = np.random.default_rng(3)
     rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
-    lists = max(1, min(MAX_LISTS, total // LIST_SIZE, len(x)))
+    lists = max(1, min(max_lists, total // LIST_SIZE, len(x)))
     centres = x[rng.choice(len(x), lists, replace=False)]
 
     def nearest(c):
@@ -134,7 +135,7 @@ def fit_lists(data: list[bytes], dim: int, total: int, k: int) -> dict:
     probes = next((p for p, s in enumerate(share, 1) if s >= TARGET), lists)
     kept = rng.permutation(len(x))[:max(k, FLOOR_BYTES // (4 * dim))]
     return {"centres": centres, "rotation": rotation, "probes": probes, "dim": dim,
-            "sample": x[kept].astype(np.float32), "owner": owner[kept]}
+            "sample": x[kept].astype(kind), "owner": owner[kept]}
 
 
 def floors(q: np.ndarray, probes: np.ndarray, model: dict, k: int) -> np.ndarray:
@@ -215,10 +216,14 @@ def _reach(a, b, left: int):
 
 
 def nearest_neighbours(vectors: DataFrame, *, id_column: str = "vec_id", vector: str = "embedding",
-                       every: int = 20, k: int = 20) -> DataFrame:
+                       every: int = 20, k: int = 20, sample_vectors: int = SAMPLE_VECTORS,
+                       max_lists: int = MAX_LISTS) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` nearest found of each query.
 
-    Queries are the rows whose id ``every`` divides; candidates are all other rows.
+    Queries are the rows whose id ``every`` divides; candidates are all other rows.  Components that are
+    floats are kept as such, all others as doubles.  Lists are fitted on about ``sample_vectors`` vectors;
+    there are at most ``max_lists`` of them, about ``LIST_SIZE`` vectors each below that: raise both for tables of
+    more than a million vectors.
     """
     empty = "query_id bigint, rank int, vec_id bigint, score double"
     spark, keep = vectors.sparkSession, k + 1
@@ -229,23 +234,24 @@ def nearest_neighbours(vectors: DataFrame, *, id_column: str = "vec_id", vector:
     if sizes is None or sizes[0] < 1:
         return spark.createDataFrame([], empty)
     dim = sizes[0]
-    hashed = _hashed(table, dim)
-    entries = materialize(_distinct(hashed, every, keep), "vectors")
+    kind = "<f4" if dict(vectors.dtypes)[vector] == "array<float>" else "<f8"
+    entries = materialize(_distinct(_hashed(table, dim, kind), every, keep), "vectors")
     total = entries.count()
     if total == 0:
         return spark.createDataFrame([], empty)
-    share = min(1 << 30, int(SAMPLE_VECTORS / total * (1 << 30)))
-    sample = entries.filter(F.pmod(F.xxhash64("same"), F.lit(1 << 30)) < share).limit(2 * SAMPLE_VECTORS)
+    share = min(1 << 30, int(sample_vectors / total * (1 << 30)))
+    sample = entries.filter(F.pmod(F.xxhash64("same"), F.lit(1 << 30)) < share).limit(2 * sample_vectors)
     if total <= 1000:
         sample = entries
-    model = fit_in_task(sample.select("vec"), lambda rows: fit_lists(rows["vec"].to_pylist(), dim, total, k))
+    model = fit_in_task(sample.select("vec"), lambda rows: fit_lists(
+        rows["vec"].to_pylist(), dim, total, k, kind, max_lists))
     shared = spark.sparkContext.broadcast(model)  # at most MAX_LISTS centres and FLOOR_BYTES
 
     def lists(batches, asked, held=None):
         m = shared.value
         c = m["centres"]
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32).reshape(-1, dim).astype(float)
+            x = np.frombuffer(b"".join(batch.column(1).to_pylist()), kind).reshape(-1, dim).astype(float)
             if asked:
                 found = np.argsort(-(x @ c.T), axis=1, kind="stable")
                 short = (np.cumsum(held[found], axis=1) < keep).sum(axis=1) + 1
@@ -288,7 +294,7 @@ def nearest_neighbours(vectors: DataFrame, *, id_column: str = "vec_id", vector:
         out: tuple[list, list, list] = ([], [], [])
         if left.num_rows and right.num_rows:
             left = left.sort_by("rep")
-            x, q = [np.frombuffer(b"".join(t["vec"].to_pylist()), np.float32).reshape(-1, dim).astype(float)
+            x, q = [np.frombuffer(b"".join(t["vec"].to_pylist()), kind).reshape(-1, dim).astype(float)
                     for t in (left, right)]
             ids, reps = left["ids"].to_pylist(), right["rep"].to_pylist()
             floor = right["floor"].to_numpy()
@@ -311,7 +317,7 @@ def nearest_neighbours(vectors: DataFrame, *, id_column: str = "vec_id", vector:
     best = parts.withColumn("near", F.arrays_zip((F.transform("scores", lambda s: -s)).alias("worse"), "ids")) \
         .select("rep", F.transform("near", lambda n: F.struct(n["worse"].alias("worse"), n["ids"].alias("id"))).alias("near")) \
         .groupBy("rep").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, keep).alias("near"))
-    queries = (hashed.filter(F.col("id") % every == 0).select("id", "same").distinct()
+    queries = (_hashed(table.filter(F.col("id") % every == 0), dim, kind).select("id", "same").distinct()
                .join(entries.select("same", "rep"), "same").join(best, "rep"))
     return (queries.select(F.col("id").alias("query_id"), F.posexplode(F.slice(F.filter(
         "near", lambda n: n["id"] != F.col("id")), 1, k)))

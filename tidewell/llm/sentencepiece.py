@@ -17,9 +17,13 @@ text comes back as a space.  Repeated rows each give a row; other columns are ig
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewell.llm.unigram import Vocabulary, char_lengths, distinct_segments, in_matrices
 
@@ -118,8 +122,11 @@ def decode(v: Vocabulary, ids) -> str:
     return data.decode("utf-8", "replace")
 
 
-def encode_documents(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
-    """``doc_id``, ``tokens`` (ids), ``n_tokens`` and ``decoded``, the text of the tokens."""
+def encode_documents(docs: DataFrame, path: str = MODEL_PATH, keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, ``tokens`` (ids), ``n_tokens`` and ``decoded``, the text of the tokens, and the columns
+    ``keep`` of ``docs``."""
+    kept = docs.select(*keep).schema.fields if keep else []
+    schema = StructType.fromDDL("doc_id bigint, tokens array<int>, n_tokens bigint, decoded string")
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
     def run(batches):
@@ -133,8 +140,9 @@ def encode_documents(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()),
                      pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32())),
-                     pa.array(np.diff(offsets), pa.int64()), pa.array(decoded, pa.string())],
-                    names=["doc_id", "tokens", "n_tokens", "decoded"])
+                     pa.array(np.diff(offsets), pa.int64()), pa.array(decoded, pa.string()),
+                     *part.columns[2:]],
+                    names=["doc_id", "tokens", "n_tokens", "decoded", *keep])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, tokens array<int>, n_tokens bigint, decoded string")
+    return docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"_kept{i}") for i, c in enumerate(keep)]).mapInArrow(
+        run, StructType([*schema.fields, *kept]))

@@ -71,7 +71,8 @@ def _bags(texts: list[str], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.array(features, np.int64), np.array(sentences, np.int64), np.array(owner, np.int64)
 
 
-def fit_bags(texts: list[str], labels: list[int], rounds: int = 250, l1: float = 2e-4) -> dict:
+def fit_bags(texts: list[str], labels: list[int], rounds: int = 250, l1: float = 2e-4,
+             max_features: int = MAX_FEATURES) -> dict:
     """Weights of hashed features and the bias, by proximal Adam on the noisy-or likelihood.
 
     Classes count by their rows; the sample may hold the classes in another ratio than the
@@ -80,7 +81,7 @@ def fit_bags(texts: list[str], labels: list[int], rounds: int = 250, l1: float =
     y = np.array(labels, float)
     if len(set(labels)) < 2:
         return {"weights": {}, "bias": -40.0}
-    chosen = _select(texts, y, MAX_FEATURES)
+    chosen = _select(texts, y, max_features)
     column, sentence, owner = _bags(texts, chosen)
     n, d = len(owner), len(y)
     theta = np.zeros(len(chosen) + 1)
@@ -104,12 +105,13 @@ def fit_bags(texts: list[str], labels: list[int], rounds: int = 250, l1: float =
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, parts: int = 4,
-                 held_out: int = 2, per_class: int = PER_CLASS) -> dict:
+                 held_out: int = 2, per_class: int = PER_CLASS, max_features: int = MAX_FEATURES) -> dict:
     """Learn from at most about ``per_class`` labelled documents of each class, none of
-    whose ids has ``crc32(id) mod parts`` equal to ``held_out``."""
+    whose ids has ``crc32(id) mod parts`` equal to ``held_out``.  The model uses the
+    ``max_features`` best features."""
     sample = labelled_sample(docs, labels, label, per_class, parts, held_out)
     return fit_in_task(sample, lambda rows: fit_bags(
-        [t or "" for t in rows["text"].to_pylist()], rows["label"].to_pylist()))
+        [t or "" for t in rows["text"].to_pylist()], rows["label"].to_pylist(), max_features=max_features))
 
 
 def sentence_scorer(model: dict):
