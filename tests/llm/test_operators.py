@@ -201,22 +201,96 @@ def test_items_are_found_where_they_stand(spark, documents):
     assert found == expected and expected
 
 
+def _plain_bm25(items):
+    """Of whole items of at most 64 words without telling parts: score of a passage for each."""
+    held = Counter(t for words in items for t in set(words))
+    mean = sum(map(len, items)) / len(items)
+
+    def impacts(words):
+        return {t: np.log(1 + (len(items) - held[t] + 0.5) / (held[t] + 0.5)) * c * 2.2
+                / (c + 1.2 * (0.25 + 0.75 * len(words) / mean)) for t, c in Counter(words).items()}
+
+    found = [impacts(words) for words in items]
+    return lambda passage: [sum(x for t, x in f.items() if t in passage) / sum(f.values()) for f in found]
+
+
 def test_wand_finds_all_above_the_threshold():
     rng = np.random.default_rng(4)
-    items = [(i, [f"t{x}" for x in rng.zipf(1.3, 30) % 200], 15) for i in range(120)]
-    index = decontaminate.Index(items)
-    for _ in range(60):
-        passage = [f"t{x}" for x in rng.zipf(1.3, 100) % 200] + items[rng.integers(120)][1][:10]
-        terms = sorted(set(passage))
-        scores = Counter()
-        for t in terms:
-            for p, x in zip(index.ids.get(t, ()), index.impacts.get(t, ())):
-                scores[p] += x
+    items = [[f"t{x}" for x in rng.zipf(1.3, 9) % 200] for i in range(120)]
+    index = decontaminate.Index([(i, words, 4) for i, words in enumerate(items)])
+    plain, some = _plain_bm25(items), 0
+    assert index.item == list(range(120))
+    for size in (3, 64, 129, 700, 10_000):
+        words = [f"t{x}" for x in rng.zipf(1.3, size) % 300]
+        words[size // 2:size // 2 + 5] = items[size % 120][:5]
+        ids = np.array([index.number.get(w, -1) for w in words], np.int64)
+        last = max(0, (len(words) - 65) // 64)
         for least in (0.3, 0.6):
-            expected = {p for p, s in scores.items() if s >= least}
-            assert {p for p, _ in index.search(terms, least)} == expected
-            if expected:
-                assert len(index.passages(passage, least))
+            expected = {(p, s) for p in range(last + 1)
+                        for s, x in enumerate(plain(set(words[p * 64:p * 64 + 128]))) if x >= least - 1e-9}
+            passage, segment, score = index.retrieve(ids, last + 1, least)
+            assert set(zip(passage.tolist(), segment.tolist())) == expected
+            assert np.all(score >= least - 1e-9)
+            some += len(expected)
+    assert some > 100
+
+
+def _plain_items(text, items, min_score, min_overlap):
+    """Item ids found in a text by reading the rules of the module one after the other."""
+    words = decontaminate.terms_of(text)
+    split = [(i, *decontaminate.item_words(t, a)) for i, t, a in items]
+    pieces = [(i, w, seg) for i, w, asked in split for seg in decontaminate.segments_of(len(w), asked)]
+    plain = _plain_bm25([w[seg[0]:seg[1]] for _, w, seg in pieces])
+    found = set()
+    for p in range(max(0, (len(words) - 65) // 64) + 1 if words else 0):
+        passage = words[p * 64:p * 64 + 128]
+        for (i, w, (s, e, *_, needed)), score in zip(pieces, plain(set(passage))):
+            n = min(5, e - s)
+            seen = {tuple(passage[j:j + n]) for j in range(len(passage) - n + 1)}
+            share = np.mean([g in seen for g in {tuple(w[j:j + n]) for j in range(s, e - n + 1)}])
+            if score >= min_score - 1e-9 and share >= (min_overlap if needed is None else needed) \
+                    and (n == 5 or words == w):
+                found.add(i)
+    return found
+
+
+def test_contamination_equals_the_plain_rules(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: f"w{int(rng.zipf(1.4)) % 120}"
+    run = lambda n: [word() for _ in range(n)]
+    items = [(i, " ".join(run(int(rng.integers(1, 14)))) if i % 3 else " ".join(run(int(rng.integers(20, 160)))),
+              None if i % 2 else " ".join(run(int(rng.integers(0, 30))))) for i in range(40)]
+    items += [(40, "Paris", None), (41, None, "w1 w2"), (42, None, None), (3, items[3][1], items[3][2])]
+    docs = []
+    for i in range(250):
+        text = run(int(rng.integers(0, 300)))
+        held = decontaminate.item_words(*items[int(rng.integers(40))][1:])[0]
+        at, size = int(rng.integers(0, len(held))), int(rng.integers(1, 80))
+        docs.append((i, " ".join(text + held[at:at + size] + run(int(rng.integers(0, 90))))))
+    docs += [(250, "I went to Paris last spring"), (251, "paris."), (252, None), (253, ""), (254, "w1 w2")]
+    table = spark.createDataFrame(items, "item_id bigint, text string, answer string")
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string")
+    unique = sorted(set(items), key=str)
+    expected = {(d, i) for d, t in docs for i in _plain_items(t, unique, 0.3, 0.5)}
+    assert (251, 40) in expected and (250, 40) not in expected and len(expected) > 60
+    seen = []
+    for sizes in ({}, {"part_bytes": 700, "index_bytes": 60_000}):
+        found = decontaminate.find_contamination(rows, table, item_answer="answer", **sizes).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in found} == expected and len(found) == len(expected)
+        kept = decontaminate.drop_contaminated(rows, table, item_answer="answer", **sizes)
+        assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in expected}
+        seen.append(sorted((r["doc_id"], r["item_id"], r["passage"], round(r["score"], 9),
+                            r["question_overlap"], r["answer_overlap"]) for r in found))
+    assert seen[0] == seen[1]
+    parts = decontaminate.build_parts(table, "item_id", "text", "answer", 700)
+    assert len(decontaminate.passes_of(parts, 60_000)) > 1 and parts.count() > 3
+
+
+def test_a_very_long_text_is_searched_in_pieces():
+    items = [(i, [f"t{i}_{j}" for j in range(30)], 15) for i in range(50)]
+    index = decontaminate.Index(items)
+    words = ["so", "on"] * 400_000 + items[7][1] + ["so"] * 100_001 + items[9][1][:15]
+    assert [r[0] for r in decontaminate.find_items(words, index, 0.3, 0.5)] == [7, 9]
 
 
 def test_contamination_edge_rows(spark, edge):

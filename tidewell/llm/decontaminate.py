@@ -3,39 +3,46 @@
 The index holds the test items and, as segments of their own, their question and answer parts
 where these are telling: a question from ``NGRAM`` words on, an answer from ``TELLING``.  What is
 longer than ``STRIDE`` words is cut into segments of that length, evenly spread, that overlap by
-half or more.  Postings are in blocks that keep their largest impact.  Every training document is cut into
-passages, windows of ``2 * STRIDE`` words that start every ``STRIDE`` words, so that any segment
-copied into a document lies whole in one of its passages.  Each passage is a query: its distinct
-terms are searched with block-max WAND for all segments whose score reaches
-``min_score`` of the segment's score for itself.  A retrieved segment is then verified on
-word n-grams: the share of its n-grams that stand in the passage must reach ``min_overlap``, and
-must be all of them for a question of less than ``TELLING`` words.  So an item is found by its
+half or more.  Every training document is cut into passages, windows of ``2 * STRIDE`` words that
+start every ``STRIDE`` words, so that any segment copied into a document lies whole in one of its
+passages.
+
+Each passage of every document is a query.  Postings of a term are in blocks of ``BLOCK``
+neighbouring segments that keep their largest impact; the parts of an item are neighbours.  A
+block whose largest impacts, added over the terms of the passage, stay below ``min_score`` is
+passed over; the postings of the others give the exact scores, and every segment that reaches
+``min_score`` of its score for itself is retrieved.  ``CHUNK`` passages of a text are searched at
+once, so memory does not grow with the text.  A retrieved segment is then verified on word
+n-grams: the share of its n-grams that stand in the passage must reach ``min_overlap``, and must be
+all of them for an item or a question of less than ``TELLING`` words.  So an item is found by its
 whole, by its question alone or by its answer alone.  ``min_score`` is below ``min_overlap``
 because the half of a segment that is copied may hold its commoner words.
 
-Before the search, passages that cannot hold any segment are put aside without loss: first
-those that hold too few n-grams of every segment to pass the verification, counted by n-gram hashes;
-then, of each segment, the commonest terms that make up at most ``COMMON`` of its score are left out, and
-the rest of the threshold must come from its other terms, whose postings are short.
-
 Terms are lower-case runs of letters and digits.  Impacts are divided by the segment's own
 score, so one threshold serves all segments.  An item that is null or has no term is never
-found; a null, empty or wordless text holds no item.  Equal items are all found.  Without an
+found; one of fewer than ``NGRAM`` words ("Paris") is found only in a text of just these words.
+A null, empty or wordless text holds no item.  Equal items are all found.  Without an
 ``answer`` column, the first half of an item's words is its question, the rest its answer.
-Rows may repeat; other columns are ignored.
-
-The index is broadcast only after its bytes have been measured and are at most
-``INDEX_BYTES``.  A larger benchmark is cut into parts below that size and searched part by part,
-one pass over the documents for each.
+Rows may repeat; other columns are ignored.  Of several passages or segments that show an item,
+the one with the highest score (to 9 digits) is returned, of equal ones the first passage.
+
+The index is built in tasks, in parts of about ``PART_BYTES`` of text; all rows of an item id are in
+one part.  Document frequencies and the mean length are those of the whole benchmark, so
+scores do not depend on the parts.  Built parts are measured and searched in passes of at most
+``INDEX_BYTES`` (a larger part is a pass of its own).  The driver holds one pass at a time and
+broadcasts it; each pass reads the documents once.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
+from collections.abc import Iterator
 from math import log
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,306 +53,366 @@ TERM = re.compile(r"[^\W_]+")
 STRIDE = 64
 TELLING = 10
 MIN_SCORE = 0.3
-BLOCK = 16
+MIN_OVERLAP = 0.5
+BLOCK = 4
+CHUNK = 64
 K1, B = 1.2, 0.75
 NGRAM = 5
-COMMON = 0.25
-INDEX_BYTES = 16 * 1024 * 1024
-_END = 1 << 60
+PART_BYTES = 1024 * 1024
+INDEX_BYTES = 64 * 1024 * 1024
+FOUND = ("doc_id bigint, item_id bigint, passage int, score double, "
+         "question_overlap double, answer_overlap double")
+_SLACK = 1e-9
 
 
 def terms_of(text: str | None) -> list[str]:
     return TERM.findall(text.lower()) if text else []
 
 
-def grams(words: list[str], n: int = NGRAM) -> set[tuple]:
+def grams(words, n: int = NGRAM) -> set[tuple]:
     """Word n-grams; all words as one if they are fewer than n."""
-    if not words:
-        return set()
-    return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))}
+    return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))} if len(words) else set()
+
+
+def pieces(first: int, end: int) -> list[tuple[int, int]]:
+    """The segments of a run of words: the run, or windows of ``STRIDE`` that overlap by half."""
+    size = end - first
+    more = -(-max(0, size - STRIDE) // (STRIDE // 2))
+    starts = [first + i * (size - STRIDE) // more for i in range(more + 1)] if more else [first]
+    return [(s, min(end, s + STRIDE)) for s in starts] if size > 0 else []
+
+
+def segments_of(size: int, asked: int) -> list[tuple]:
+    """The segments of an item of ``size`` words, the first ``asked`` of which are its question: ends
+    of the segment, of the question and of the answer to report, and the share of n-grams needed
+    (None: the caller's)."""
+    found = []
+    for s, e in pieces(0, size):
+        cut = min(max(asked, s), e)
+        found.append((s, e, s, cut, cut, e, 1.0 if size < TELLING else None))
+    if NGRAM <= asked < size:
+        found += [(s, e, s, e, asked, size, 1.0 if asked < TELLING else None) for s, e in pieces(0, asked)]
+    if 0 < asked <= size - TELLING:
+        found += [(s, e, 0, asked, s, e, None) for s, e in pieces(asked, size)]
+    return found
+
+
+def item_words(text: str | None, answer: str | None) -> tuple[list[str], int]:
+    """The words of an item, and how many of them are its question."""
+    asked, answered = terms_of(text), terms_of(answer)
+    return asked + answered, len(asked) if answer is not None else (len(asked) + 1) // 2
+
+
+def item_counts(words: list[str], asked: int) -> tuple[Counter, int, int]:
+    """Of an item: the segments that hold each term, all its segments, and their words."""
+    found = segments_of(len(words), asked)
+    return (Counter(t for s, e, *_ in found for t in set(words[s:e])), len(found),
+            sum(e - s for s, e, *_ in found))
+
+
+def _expand(first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places ``first[r]`` to ``first[r + 1]`` of each row r, and where r stands in ``rows``."""
+    size = first[rows + 1] - first[rows]
+    owner = np.repeat(np.arange(len(rows)), size)
+    return np.arange(len(owner)) + np.repeat(first[rows] - (np.cumsum(size) - size), size), owner
 
 
-def pieces(words: list[str]) -> list[tuple[int, list[str]]]:
-    """Start and words of each segment: all words, or windows of ``STRIDE`` that overlap by half."""
-    more = -(-max(0, len(words) - STRIDE) // (STRIDE // 2))
-    starts = [i * (len(words) - STRIDE) // more for i in range(more + 1)] if more else [0]
-    return [(s, words[s:s + STRIDE]) for s in starts] if words else []
+def _distinct(keys: np.ndarray, size: int) -> np.ndarray:
+    """The distinct keys below ``size``, sorted."""
+    if size > 64 * len(keys):
+        return np.unique(keys)
+    seen = np.zeros(size, bool)
+    seen[keys] = True
+    return np.flatnonzero(seen)
 
 
-def _gram_hashes(ids: np.ndarray, n: int) -> np.ndarray:
-    """A hash of the ``n`` word numbers from each place on."""
-    out = np.full(max(0, len(ids) - n + 1), n, np.uint64)
+def _reaching(keys: np.ndarray, values: np.ndarray | None, size: int, least: float):
+    """The keys below ``size`` whose values (or numbers) add up to ``least``, sorted, and their sums."""
+    if size > 8 * len(keys):
+        names, group = np.unique(keys, return_inverse=True)
+        total = np.bincount(group, values, len(names))
+        at = np.flatnonzero(total >= least - _SLACK)
+        return names[at], total[at]
+    total = np.bincount(keys, values, size)
+    at = np.flatnonzero(total >= least - _SLACK)
+    return at, total[at]
+
+
+def _places(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each value stands in the sorted ``keys``; -1 if it does not."""
+    if len(keys) == 0:
+        return np.full(len(values), -1)
+    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+    return np.where(keys[at] == values, at, -1)
+
+
+def _gram_hashes(ids: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the ``n`` word numbers from each of the places ``at`` on."""
+    out = np.full(len(at), n, np.uint64)
     for i in range(n):
-        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + ids[i:i + len(out)].astype(np.uint64))
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + ids[at + i].astype(np.uint64))
     return out
 
 
-class Index:
-    """Postings of the segments, and what is needed to verify a segment."""
-
-    def __init__(self, items: list[tuple[int, list[str], int]]):
-        """``items``: (item id, words, number of words of the question)."""
-        self.item, self.parts, self.whole = [], [], []
-        segments = []
+def _bounds(sorted_keys: np.ndarray, n: int) -> np.ndarray:
+    """The first place of each of the keys 0 to n."""
+    return np.searchsorted(sorted_keys, np.arange(n + 1))
 
-        def add(item, piece, question, answer, whole=False):
-            self.item.append(item)
-            self.parts.append((question, answer, frozenset(grams(piece))))
-            self.whole.append(whole)  # found only by all n-grams
-            segments.append(Counter(piece))
 
+class Index:
+    """Postings of the segments in blocks, and what is needed to verify a segment."""
+
+    def __init__(self, items: list[tuple[int, list[str], int]], held: dict | None = None,
+                 segments: int = 0, length: int = 0):
+        """``items``: (item id, words, number of words of the question).  ``held`` (segments that hold
+        a term), ``segments`` and ``length`` (their number and words) are those of the whole
+        benchmark, and without ``held`` those of ``items``."""
+        if held is None:
+            counts = [item_counts(words, asked) for _, words, asked in items]
+            held = sum((c[0] for c in counts), Counter())
+            segments, length = sum(c[1] for c in counts), sum(c[2] for c in counts)
+        idf = {t: log(1 + (segments - d + 0.5) / (d + 0.5)) for t, d in held.items()}
+        mean = length / max(1, segments)
+        self.number: dict[str, int] = {}
+        self.words, self.item, self.span, self.needed = [], [], [], []
+        term, segment, impact = [], [], []
         for item, words, asked in items:
-            question, answer = (frozenset(grams(x)) for x in (words[:asked], words[asked:]))
-            for start, piece in pieces(words):
-                cut = min(max(asked - start, 0), len(piece))
-                add(item, piece, frozenset(grams(piece[:cut])), frozenset(grams(piece[cut:])))
-            if NGRAM <= asked < len(words):
-                for _, piece in pieces(words[:asked]):
-                    add(item, piece, frozenset(grams(piece)), answer, asked < TELLING)
-            if 0 < asked <= len(words) - TELLING:
-                for _, piece in pieces(words[asked:]):
-                    add(item, piece, question, frozenset(grams(piece)))
-        n = len(segments)
-        held = Counter(t for s in segments for t in s)
-        mean = sum(sum(s.values()) for s in segments) / n if n else 1
-        idf = {t: log(1 + (n - d + 0.5) / (d + 0.5)) for t, d in held.items()}
-        postings: dict[str, list] = {t: [] for t in idf}
-        for place, found in enumerate(segments):
-            size = K1 * (1 - B + B * sum(found.values()) / mean)
-            impact = {t: idf[t] * c * (K1 + 1) / (c + size) for t, c in found.items()}
-            own = sum(impact.values())
-            for t, x in impact.items():
-                postings[t].append((place, x / own))
-        self.ids = {t: [p for p, _ in rows] for t, rows in postings.items()}
-        self.impacts = {t: [x for _, x in rows] for t, rows in postings.items()}
-        self.block_max = {t: [max(xs[i:i + BLOCK]) for i in range(0, len(xs), BLOCK)]
-                          for t, xs in self.impacts.items()}
-        self.most = {t: max(xs) for t, xs in self.impacts.items()}
-        self._rare_postings(n)
-        self._gram_postings()
-
-    def _gram_postings(self) -> None:
-        """Hashes of the n-grams of all segments, with the segments of each."""
-        self.numbers = {t: i for i, t in enumerate(self.ids)}
-        postings: dict[tuple, list[int]] = {}
-        for place, (_, _, whole) in enumerate(self.parts):
-            for gram in whole:
-                postings.setdefault(gram, []).append(place)
-        self.lengths = sorted({len(g) for g in postings})
-        keys = np.array([int(_gram_hashes(np.array([self.numbers[t] for t in g], np.int64), len(g))[0])
-                         for g in postings], np.uint64)
-        order = np.argsort(keys, kind="stable")
-        held = list(postings.values())
-        self.gram_keys = keys[order]
-        self.gram_first = np.concatenate([[0], np.cumsum([len(held[i]) for i in order])]).astype(np.int64)
-        self.gram_segment = np.array([p for i in order for p in held[i]], np.int64)
-        self.gram_count = np.array([len(whole) for _, _, whole in self.parts], float)
-
-    def overlapping(self, words: list[str], min_overlap: float) -> np.ndarray:
-        """The passages of a text that may hold enough n-grams of some segment; equal hashes only add."""
-        get = self.numbers.get
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        last = max(0, (len(words) - STRIDE - 1) // STRIDE)
-        found, v = [], max(1, len(self.gram_keys))
-        for n in self.lengths:
-            known = np.cumsum(np.concatenate([[0], ids >= 0]))
-            at = np.flatnonzero(known[n:] - known[:-n] == n)
-            if len(at) == 0:
-                continue
-            keys = _gram_hashes(ids, n)[at]
-            first = np.searchsorted(self.gram_keys, keys)
-            hit = self.gram_keys[np.minimum(first, v - 1)] == keys
-            at, first = at[hit], first[hit]
-            here = np.minimum(at // STRIDE, last)
-            before = at // STRIDE - 1
-            inside = (before >= 0) & (before < here)
-            found += [here * v + first, (before * v + first)[inside]]
-        pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-        passage, gram = pairs // v, pairs % v
-        size = self.gram_first[gram + 1] - self.gram_first[gram]
-        row = np.repeat(np.arange(len(gram)), size)
-        place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + self.gram_first[gram][row]
-        keys, count = np.unique(passage[row] * len(self.item) + self.gram_segment[place], return_counts=True)
-        segment = keys % max(1, len(self.item))
-        least = np.where(np.array(self.whole, bool)[segment], 1.0, min_overlap)
-        return np.unique(keys[count >= least * self.gram_count[segment] - 1e-9] // max(1, len(self.item)))
-
-    def _rare_postings(self, n: int) -> None:
-        """Postings without each segment's commonest terms, and the score left out of each."""
-        self.left_out = np.zeros(n)
-        rare: list[tuple[list[int], list[float]]] = []
-        self.vocabulary: dict[str, int] = {}
-        # commonest first: held by many segments, then short
-        for t in sorted(self.ids, key=lambda t: (-len(self.ids[t]), len(t), t)):
-            held = [(p, x) for p, x in zip(self.ids[t], self.impacts[t])
-                    if self.left_out[p] + x > COMMON]
-            for p, x in zip(self.ids[t], self.impacts[t]):
-                if self.left_out[p] + x <= COMMON:
-                    self.left_out[p] += x
-            if held:
-                self.vocabulary[t] = len(rare)
-                rare.append(([p for p, _ in held], [x for _, x in held]))
-        self.rare_first = np.concatenate([[0], np.cumsum([len(p) for p, _ in rare])]).astype(np.int64)
-        self.rare_segment = np.array([p for ps, _ in rare for p in ps], np.int64)
-        self.rare_impact = np.array([x for _, xs in rare for x in xs], float)
-
-    def passages(self, words: list[str], least: float) -> np.ndarray:
-        """The passages of a text in which some segment may score ``least``."""
-        get = self.vocabulary.get
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+            ids = np.array([self.number.setdefault(t, len(self.number)) for t in words], np.int32)
+            for s, e, *parts, needed in segments_of(len(words), asked):
+                size = K1 * (1 - B + B * (e - s) / mean)
+                mine = {t: idf[t] * c * (K1 + 1) / (c + size) for t, c in Counter(words[s:e]).items()}
+                own = sum(mine.values())
+                term += [self.number[t] for t in mine]
+                segment += [len(self.item)] * len(mine)
+                impact += [x / own for x in mine.values()]
+                self.item.append(item)
+                self.span.append((len(self.words), s, e, *parts))
+                self.needed.append(np.nan if needed is None else needed)
+            self.words.append(ids)
+        self.needed = np.array(self.needed, float)
+        self._post(np.array(term, np.int64), np.array(segment, np.int32), np.array(impact, float))
+        self._post_grams()
+
+    def _post(self, term: np.ndarray, segment: np.ndarray, impact: np.ndarray) -> None:
+        order = np.lexsort((segment, term))
+        term, self.segment, self.impact = term[order], segment[order], impact[order]
+        self.blocks = len(self.item) // BLOCK + 1
+        key = term * self.blocks + self.segment // BLOCK
+        start = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+        self.block = key[start] % self.blocks
+        self.block_max = np.maximum.reduceat(self.impact, start) if len(start) else np.zeros(0)
+        self.postings_of_block = np.append(start, len(key))
+        self.blocks_of_term = _bounds(key[start] // self.blocks, len(self.number))
+
+    def _post_grams(self) -> None:
+        """Hashes of the n-grams of each segment, with the segments of each hash."""
+        keys, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        self.gram_words = []
+        for place, (item, s, e, *_) in enumerate(self.span):
+            n = min(NGRAM, e - s)
+            mine = np.unique(_gram_hashes(self.words[item], np.arange(s, e - n + 1), n))
+            self.gram_words.append(n)
+            keys.append(mine)
+            owner.append(np.full(len(mine), place))
+        self.gram_words = np.array(self.gram_words, np.int64)
+        self.gram_count = np.array([len(k) for k in keys[1:]], float)
+        keys, owner = np.concatenate(keys), np.concatenate(owner)
+        order = np.lexsort((owner, keys))
+        self.gram_keys, group = np.unique(keys[order], return_inverse=True)
+        self.gram_segment = owner[order].astype(np.int32)
+        self.segments_of_gram = _bounds(group, len(self.gram_keys))
+
+    def retrieve(self, ids: np.ndarray, passages: int, least: float) -> tuple[np.ndarray, ...]:
+        """Passage, segment and score of every segment that reaches ``least`` in one of the passages
+        of a run of words, given by their numbers (-1: in no item)."""
+        v, n = max(1, len(self.number)), max(1, len(self.item))
         at = np.flatnonzero(ids >= 0)
-        if len(at) == 0:
-            return at
-        last = max(0, (len(words) - STRIDE - 1) // STRIDE)
-        here = np.minimum(at // STRIDE, last)
+        here = np.minimum(at // STRIDE, passages - 1)
         before = at // STRIDE - 1
         inside = (before >= 0) & (before < here)
-        v = len(self.vocabulary)
-        pairs = np.unique(np.concatenate([here * v + ids[at], (before * v + ids[at])[inside]]))
+        pairs = _distinct(np.concatenate([here * v + ids[at], (before * v + ids[at])[inside]]), passages * v)
         passage, term = pairs // v, pairs % v
-        size = self.rare_first[term + 1] - self.rare_first[term]
-        row = np.repeat(np.arange(len(term)), size)
-        place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + self.rare_first[term][row]
-        keys, group = np.unique(passage[row] * len(self.item) + self.rare_segment[place],
-                                return_inverse=True)
-        total = np.bincount(group, self.rare_impact[place])
-        enough = total + self.left_out[keys % len(self.item)] >= least - 1e-9
-        return np.unique(keys[enough] // len(self.item))
-
-    def search(self, terms: list[str], least: float) -> list[tuple[int, float]]:
-        """Every segment whose score over the distinct ``terms`` is at least ``least``."""
-        # [next segment, place in the postings, term]
-        cursors = [[self.ids[t][0], 0, t] for t in terms if t in self.ids]
-        found, slack = [], 1e-9
-        while True:
-            cursors = sorted((c for c in cursors if c[0] < _END), key=lambda c: (c[0], c[2]))
-            bound, pivot = 0.0, -1
-            for i, c in enumerate(cursors):
-                bound += self.most[c[2]]
-                if bound >= least - slack:
-                    pivot = i
-                    break
-            if pivot < 0:
-                return found
-            target = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == target:
-                pivot += 1
-            if cursors[0][0] != target:
-                for c in cursors[:pivot]:
-                    self._seek(c, target)
-                continue
-            group = cursors[:pivot + 1]
-            if sum(self.block_max[c[2]][c[1] // BLOCK] for c in group) >= least - slack:
-                score = sum(self.impacts[c[2]][c[1]] for c in group)
-                if score >= least - slack:
-                    found.append((target, score))
-                goal = target + 1
-            else:
-                # no segment before the first end of these blocks or the next cursor can reach it
-                goal = min([cursors[pivot + 1][0] if pivot + 1 < len(cursors) else _END,
-                            *(self._block_end(c) + 1 for c in group)])
-            for c in group:
-                self._seek(c, max(goal, target + 1))
-
-    def _block_end(self, cursor) -> int:
-        ids = self.ids[cursor[2]]
-        return ids[min(len(ids), (cursor[1] // BLOCK + 1) * BLOCK) - 1]
-
-    def _seek(self, cursor, target: int) -> None:
-        ids, place = self.ids[cursor[2]], cursor[1]
-        while place < len(ids) and ids[min(len(ids), (place // BLOCK + 1) * BLOCK) - 1] < target:
-            place = (place // BLOCK + 1) * BLOCK  # whole blocks are passed by their last segment
-        while place < len(ids) and ids[place] < target:
-            place += 1
-        cursor[0], cursor[1] = (ids[place], place) if place < len(ids) else (_END, place)
-
-
-def contained(part: frozenset, seen: set) -> float:
-    return len(part & seen) / len(part) if part else 1.0
-
-
-def find_items(text: str | None, index: Index, min_score: float, min_overlap: float) -> list[tuple]:
-    """(item id, passage, score, question overlap, answer overlap) of each item in the text;
-    of several passages or segments that show an item, the one with the highest score."""
-    words = terms_of(text)
+        entry, row = _expand(self.blocks_of_term, term)
+        key = passage[row] * self.blocks + self.block[entry]
+        reached, _ = _reaching(key, self.block_max[entry], passages * self.blocks, least)
+        kept = _places(key, reached) >= 0
+        posting, at = _expand(self.postings_of_block, entry[kept])
+        key = passage[row[kept]][at] * n + self.segment[posting]
+        found, score = _reaching(key, self.impact[posting], passages * n, least)
+        return found // n, found % n, score
+
+    def verify(self, ids: np.ndarray, words: int, passage: np.ndarray, segment: np.ndarray,
+               min_overlap: float) -> np.ndarray:
+        """Which of the retrieved segments may have enough n-grams in their passage: counts are by
+        hash and of n-grams that begin in it, so none is missed.  ``words``: of the whole text."""
+        short = self.gram_words[segment] < NGRAM
+        fits = ~short | (self.gram_words[segment] == words)
+        known = np.cumsum(np.concatenate([[0], ids >= 0]))
+        n, found = max(1, len(self.item)), []
+        wanted = passage * n + segment
+        for size in np.unique(self.gram_words[segment[fits]]):
+            at = np.flatnonzero(known[size:] - known[:-size] == size)
+            gram = _places(_gram_hashes(ids, at, size), self.gram_keys)
+            at, gram = at[gram >= 0], gram[gram >= 0]
+            for back in (0, 1):
+                place, row = _expand(self.segments_of_gram, gram)
+                key = (at[row] // STRIDE - back) * n + self.gram_segment[place]
+                slot = _places(key, wanted)
+                hit = (slot >= 0) & (self.gram_words[self.gram_segment[place]] == size)
+                found.append(_distinct(slot[hit] * len(self.gram_keys) + gram[row][hit],
+                                       len(wanted) * len(self.gram_keys)) // len(self.gram_keys))
+        count = np.bincount(np.concatenate(found), minlength=len(wanted)) if found else np.zeros(len(wanted))
+        least = np.where(np.isnan(self.needed[segment]), min_overlap, self.needed[segment])
+        return fits & (count >= least * self.gram_count[segment] - _SLACK)
+
+    def overlaps(self, seen: dict, segment: int) -> list[float]:
+        """The shares of n-grams of the segment, its question and its answer that stand in ``seen``,
+        the n-grams of a passage by their length."""
+        item, *ends = self.span[segment]
+        out = []
+        for s, e in zip(ends[::2], ends[1::2]):
+            part = grams(self.words[item][s:e].tolist())
+            here = seen[min(NGRAM, e - s)] if part else ()
+            out.append(sum(g in here for g in part) / len(part) if part else 1.0)
+        return out
+
+
+def find_items(words: list[str], index: Index, min_score: float, min_overlap: float) -> list[tuple]:
+    """(item id, passage, score, question overlap, answer overlap) of each item in a text."""
     best: dict[int, tuple] = {}
-    if not words:
+    if not words or not index.item:
         return []
-    kept = index.overlapping(words, min_overlap)
-    for p in np.intersect1d(kept, index.passages(words, min_score)) if len(kept) else ():
-        passage = words[p * STRIDE:(p + 2) * STRIDE]
-        hits = index.search(sorted(set(passage)), min_score)
-        if not hits:
+    ids = np.fromiter(map(index.number.get, words, [-1] * len(words)), np.int64, len(words))
+    last = max(0, (len(words) - STRIDE - 1) // STRIDE)
+    for start in range(0, last + 1, CHUNK):
+        many = min(CHUNK, last + 1 - start)
+        part = ids[start * STRIDE:(start + many + 1) * STRIDE]
+        passage, segment, score = index.retrieve(part, many, min_score)
+        if len(passage) == 0:
             continue
-        seen = grams(passage) | {tuple(passage[i:i + n]) for n in range(1, NGRAM)
-                                 for i in range(len(passage) - n + 1)}
-        for place, score in hits:
-            question, answer, whole = index.parts[place]
-            if contained(whole, seen) >= (1.0 if index.whole[place] else min_overlap):
-                row = (index.item[place], int(p), score, contained(question, seen),
-                       contained(answer, seen))
+        kept = index.verify(part, len(words), passage, segment, min_overlap)
+        seen, shown = {}, -1
+        for p, place, x in zip(passage[kept].tolist(), segment[kept].tolist(), score[kept].tolist()):
+            if p != shown:
+                here, shown = part[p * STRIDE:(p + 2) * STRIDE].tolist(), p
+                seen = {n: {tuple(here[i:i + n]) for i in range(len(here) - n + 1)}
+                        for n in range(1, NGRAM + 1)}
+            whole, question, answer = index.overlaps(seen, place)
+            needed = index.needed[place]
+            if whole >= (min_overlap if np.isnan(needed) else needed):
+                row = (index.item[place], start + p, x, question, answer)
                 old = best.get(row[0])
-                if old is None or (round(row[2], 9), -row[1]) > (round(old[2], 9), -old[1]):
+                if old is None or (round(x, 9), -row[1]) > (round(old[2], 9), -old[1]):
                     best[row[0]] = row
     return [best[i] for i in sorted(best)]
 
 
-def _indexes(items: DataFrame, id_column: str, text: str, answer: str | None) -> list[Index]:
-    """The benchmark as indexes of at most ``INDEX_BYTES`` of text each."""
-    kept = materialize(items.select(F.col(id_column).cast("bigint").alias("item"), F.col(text).alias("text"),
-                                    (F.col(answer) if answer else F.lit(None).cast("string"))
-                                    .alias("answer")).filter("item is not null"), "benchmark")
+def build_parts(items: DataFrame, id_column: str, text: str, answer: str | None,
+                part_bytes: int = PART_BYTES) -> DataFrame:
+    """``part`` and ``built``, a pickled ``Index`` of about ``part_bytes`` of text, built in tasks."""
+    kept = materialize(items.select(
+        F.col(id_column).cast("bigint").alias("item"), F.col(text).alias("text"),
+        (F.col(answer) if answer else F.lit(None)).cast("string").alias("answer"))
+        .filter("item is not null").distinct(), "benchmark")
     size = kept.agg(F.sum(F.octet_length(F.concat_ws(" ", "text", "answer")))).first()[0] or 0
-    parts = size // INDEX_BYTES + 1
-    split = kept.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(parts)))
-    found = []
-    for part in range(parts):
-        rows = []
-        for r in split.filter(F.col("part") == part).orderBy("item", "text").collect():
-            asked, answered = terms_of(r["text"]), terms_of(r["answer"])
-            rows.append((r["item"], asked + answered,
-                         len(asked) if r["answer"] is not None else (len(asked) + 1) // 2))
-        found.append(Index(rows))
-    return found
+    rows = kept.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(size // part_bytes + 1)))
+
+    def counted(parts, texts, answers):
+        for part, item, said in zip(parts, texts, answers):
+            held, segments, length = item_counts(*item_words(item, said))
+            yield part, None, segments, length  # an item's totals
+            yield from ((part, t, n, 0) for t, n in held.items())
+
+    counts = materialize(map_documents(rows, ["part", "text", "answer"],
+                                       "part bigint, term string, held bigint, length bigint",
+                                       lambda: counted), "terms")
+    totals = counts.filter("term is null").agg(F.sum("held"), F.sum("length")).first()
+    segments, length = totals[0] or 0, totals[1] or 0
+    held = counts.filter("term is not null").groupBy("term").agg(F.sum("held").alias("held"))
+    terms = (counts.filter("term is not null").select("part", "term").distinct()
+             .join(held, "term").select("part", "term", "held"))
+
+    def build(items: pa.Table, terms: pa.Table) -> pa.Table:
+        found = sorted(items.select(["part", "item", "text", "answer"]).to_pylist(),
+                       key=lambda r: (r["item"], r["text"] or "", r["answer"] or ""))
+        index = Index([(r["item"], *item_words(r["text"], r["answer"])) for r in found],
+                      dict(zip(terms["term"].to_pylist(), terms["held"].to_pylist())),
+                      segments, length)
+        return pa.table({"part": pa.array([r["part"] for r in found[:1]], pa.int64()),
+                         "built": pa.array([pickle.dumps(index)] * len(found[:1]), pa.binary())})
+
+    return materialize(rows.groupBy("part").cogroup(terms.groupBy("part"))
+                       .applyInArrow(build, "part bigint, built binary"), "index")
+
+
+def passes_of(built: DataFrame, index_bytes: int = INDEX_BYTES) -> list[list[int]]:
+    """The parts to search together: measured, and first to last as many as fit ``index_bytes``."""
+    passes, room = [], 0
+    for part, size in built.select("part", F.length("built")).orderBy("part").collect():
+        if not passes or size > room:
+            passes.append([])
+            room = index_bytes
+        passes[-1].append(part)
+        room -= size
+    return passes
+
+
+def _loaded(docs: DataFrame, items: DataFrame, item_id: str, item_text: str, item_answer: str | None,
+            part_bytes: int, index_bytes: int) -> Iterator[tuple]:
+    """For each pass, a function that gives a task the pass's indexes, and whether it is the last.  When
+    the next one is asked for, the former must have been used: its broadcast is removed."""
+    built = build_parts(items, item_id, item_text, item_answer, part_bytes)
+    passes = passes_of(built, index_bytes)
+    for place, parts in enumerate(passes):
+        shared = docs.sparkSession.sparkContext.broadcast(
+            [bytes(r["built"]) for r in built.filter(F.col("part").between(parts[0], parts[-1]))
+             .orderBy("part").collect()])
+        yield (lambda shared=shared: [pickle.loads(b) for b in shared.value]), place == len(passes) - 1
+        shared.unpersist()
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, *, item_id: str = "item_id",
                        item_text: str = "text", item_answer: str | None = None,
-                       min_score: float = MIN_SCORE, min_overlap: float = 0.5) -> DataFrame:
+                       min_score: float = MIN_SCORE, min_overlap: float = MIN_OVERLAP,
+                       part_bytes: int = PART_BYTES, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """``doc_id``, ``item_id``, ``passage``, ``score``, ``question_overlap`` and
     ``answer_overlap`` for every test item found in a document."""
     found = None
-    for index in _indexes(items, item_id, item_text, item_answer):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for load, last in _loaded(docs, items, item_id, item_text, item_answer, part_bytes, index_bytes):
+        def make(load=load):
+            indexes = load()
+
+            def work(ids, texts):
+                for i, text in zip(ids, texts):
+                    words = terms_of(text)
+                    for index in indexes:
+                        yield from ((i, *row) for row in find_items(words, index, min_score, min_overlap))
 
-        def make(shared=shared):
-            index = shared.value
-            return lambda ids, texts: ((i, *row) for i, t in zip(ids, texts)
-                                       for row in find_items(t, index, min_score, min_overlap))
+            return work
 
-        part = map_documents(docs, ["doc_id", "text"],
-                             "doc_id bigint, item_id bigint, passage int, score double, "
-                             "question_overlap double, answer_overlap double", make)
+        part = map_documents(docs, ["doc_id", "text"], FOUND, make)
+        part = part if last else materialize(part, "found")
         found = part if found is None else found.unionByName(part)
-    return found
+    return docs.sparkSession.createDataFrame([], FOUND) if found is None else found
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, *, item_id: str = "item_id",
+                      item_text: str = "text", item_answer: str | None = None,
+                      min_score: float = MIN_SCORE, min_overlap: float = MIN_OVERLAP,
+                      part_bytes: int = PART_BYTES, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """The rows, with all columns, whose text holds no test item."""
-    import pyarrow as pa
-
-    min_score, min_overlap = options.pop("min_score", MIN_SCORE), options.pop("min_overlap", 0.5)
-    names = {k: options.get(k, d) for k, d in (("item_id", "item_id"), ("item_text", "text"),
-                                               ("item_answer", None))}
-    for index in _indexes(items, names["item_id"], names["item_text"], names["item_answer"]):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        def run(batches, shared=shared):
-            index = shared.value
+    for load, last in _loaded(docs, items, item_id, item_text, item_answer, part_bytes, index_bytes):
+        def run(batches, load=load):
+            indexes = load()
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-                yield batch.filter(pa.array(
-                    [not find_items(t, index, min_score, min_overlap) for t in texts], pa.bool_()))
+                clean = []
+                for text in texts:
+                    words = terms_of(text)
+                    clean.append(not any(find_items(words, index, min_score, min_overlap)
+                                         for index in indexes))
+                yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        docs = docs if last else materialize(docs, "clean")
     return docs
