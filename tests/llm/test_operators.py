@@ -228,7 +228,9 @@ def test_wand_finds_all_above_the_threshold():
         for least in (0.3, 0.6):
             expected = {(p, s) for p in range(last + 1)
                         for s, x in enumerate(plain(set(words[p * 64:p * 64 + 128]))) if x >= least - 1e-9}
-            passage, segment, score = index.retrieve(ids, last + 1, least)
+            padded = np.full((last + 2) * 64, -1)  # at most 128 words after the last start
+            padded[:len(ids)] = ids
+            passage, segment, score = index.retrieve(padded, np.arange(last + 2) <= last, least)
             assert set(zip(passage.tolist(), segment.tolist())) == expected
             assert np.all(score >= least - 1e-9)
             some += len(expected)
@@ -290,7 +292,19 @@ def test_a_very_long_text_is_searched_in_pieces():
     items = [(i, [f"t{i}_{j}" for j in range(30)], 15) for i in range(50)]
     index = decontaminate.Index(items)
     words = ["so", "on"] * 400_000 + items[7][1] + ["so"] * 100_001 + items[9][1][:15]
-    assert [r[0] for r in decontaminate.find_items(words, index, 0.3, 0.5)] == [7, 9]
+    found = decontaminate.find_items([words, [], items[3][1], words[:90]], index, 0.3, 0.5)
+    assert [[r[0] for r in rows] for rows in found] == [[7, 9], [], [3], []]
+
+
+def test_a_small_bound_of_blocks_changes_nothing(monkeypatch):
+    rng = np.random.default_rng(5)
+    items = [(i, [f"t{x}" for x in rng.zipf(1.3, 30) % 200], 15) for i in range(60)]
+    texts = [[f"t{x}" for x in rng.zipf(1.3, 700) % 300] + items[i][1] for i in range(9)]
+    index = decontaminate.Index(items)
+    whole = decontaminate.find_items(texts, index, 0.2, 0.3)
+    monkeypatch.setattr(decontaminate, "ENTRIES", 50)
+    monkeypatch.setattr(decontaminate, "CHUNK", 3)
+    assert decontaminate.find_items(texts, index, 0.2, 0.3) == whole and all(whole)
 
 
 def test_contamination_edge_rows(spark, edge):

@@ -11,8 +11,8 @@ Each passage of every document is a query.  Postings of a term are in blocks of
 neighbouring segments that keep their largest impact; the parts of an item are neighbours.  A
 block whose largest impacts, added over the terms of the passage, stay below ``min_score`` is
 passed over; the postings of the others give the exact scores, and every segment that reaches
-``min_score`` of its score for itself is retrieved.  ``CHUNK`` passages of a text are searched at
-once, so memory does not grow with the text.  A retrieved segment is then verified on word
+``min_score`` of its score for itself is retrieved.  ``CHUNK`` passages of one or more texts are searched
+at once, or as many as have ``ENTRIES`` blocks, so memory does not grow with the text.  A retrieved segment is then verified on word
 n-grams: the share of its n-grams that stand in the passage must reach ``min_overlap``, and must be
 all of them for an item or a question of less than ``TELLING`` words.  So an item is found by its
 whole, by its question alone or by its answer alone.  ``min_score`` is below ``min_overlap``
@@ -39,6 +39,7 @@ import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from math import log
 
 import numpy as np
@@ -46,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import map_documents, mix64
+from tidewell.llm.common import map_documents, mix64, text_pieces
 from tidewell.session import materialize
 
 TERM = re.compile(r"[^\W_]+")
@@ -55,7 +56,8 @@ TELLING = 10
 MIN_SCORE = 0.3
 MIN_OVERLAP = 0.5
 BLOCK = 4
-CHUNK = 64
+CHUNK = 256
+ENTRIES = 1 << 20
 K1, B = 1.2, 0.75
 NGRAM = 5
 PART_BYTES = 1024 * 1024
@@ -126,16 +128,25 @@ def _distinct(keys: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(seen)
 
 
-def _reaching(keys: np.ndarray, values: np.ndarray | None, size: int, least: float):
-    """The keys below ``size`` whose values (or numbers) add up to ``least``, sorted, and their sums."""
+def _sums(keys: np.ndarray, values: np.ndarray, size: int) -> tuple:
+    """Keys below ``size`` (None: all), the sums of their values, and the place of each key's sum."""
     if size > 8 * len(keys):
         names, group = np.unique(keys, return_inverse=True)
-        total = np.bincount(group, values, len(names))
-        at = np.flatnonzero(total >= least - _SLACK)
-        return names[at], total[at]
-    total = np.bincount(keys, values, size)
+        return names, np.bincount(group, values, len(names)), group
+    return None, np.bincount(keys, values, size), keys
+
+
+def _enough(keys: np.ndarray, values: np.ndarray, size: int, least: float) -> np.ndarray:
+    """Which entries have a key whose values add up to at least ``least``."""
+    _, total, group = _sums(keys, values, size)
+    return (total >= least - _SLACK)[group]
+
+
+def _reaching(keys: np.ndarray, values: np.ndarray, size: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The keys, sorted, whose values add up to at least ``least``, and the sums."""
+    names, total, _ = _sums(keys, values, size)
     at = np.flatnonzero(total >= least - _SLACK)
-    return at, total[at]
+    return (at if names is None else names[at]), total[at]
 
 
 def _places(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -222,31 +233,45 @@ class Index:
         self.gram_segment = owner[order].astype(np.int32)
         self.segments_of_gram = _bounds(group, len(self.gram_keys))
 
-    def retrieve(self, ids: np.ndarray, passages: int, least: float) -> tuple[np.ndarray, ...]:
-        """Passage, segment and score of every segment that reaches ``least`` in one of the passages
-        of a run of words, given by their numbers (-1: in no item)."""
-        v, n = max(1, len(self.number)), max(1, len(self.item))
+    def retrieve(self, ids: np.ndarray, real: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
+        """Passage, segment and score of every segment that reaches ``least`` in a passage, by passage
+        and segment.  ``ids`` are numbers of words (-1: in no item), a passage begins at every
+        ``STRIDE`` of them, and ``real`` tells which of these passages to search."""
+        v, n, blocks = max(1, len(self.number)), max(1, len(self.item)), self.blocks
         at = np.flatnonzero(ids >= 0)
-        here = np.minimum(at // STRIDE, passages - 1)
-        before = at // STRIDE - 1
-        inside = (before >= 0) & (before < here)
-        pairs = _distinct(np.concatenate([here * v + ids[at], (before * v + ids[at])[inside]]), passages * v)
+        here, word = at // STRIDE, ids[at]
+        inside = real[here]
+        behind = np.flatnonzero((here > 0) & real[here - 1])
+        pairs = _distinct(np.concatenate([here[inside] * v + word[inside],
+                                          (here[behind] - 1) * v + word[behind]]), len(real) * v)
         passage, term = pairs // v, pairs % v
-        entry, row = _expand(self.blocks_of_term, term)
-        key = passage[row] * self.blocks + self.block[entry]
-        reached, _ = _reaching(key, self.block_max[entry], passages * self.blocks, least)
-        kept = _places(key, reached) >= 0
-        posting, at = _expand(self.postings_of_block, entry[kept])
-        key = passage[row[kept]][at] * n + self.segment[posting]
-        found, score = _reaching(key, self.impact[posting], passages * n, least)
-        return found // n, found % n, score
-
-    def verify(self, ids: np.ndarray, words: int, passage: np.ndarray, segment: np.ndarray,
+        cost = np.cumsum(self.blocks_of_term[term + 1] - self.blocks_of_term[term])
+        found, scores, cut = [np.zeros(0, np.int64)], [np.zeros(0)], 0
+        while cut < len(pairs):  # whole passages, as many as their blocks allow
+            end = int(np.searchsorted(cost, (cost[cut - 1] if cut else 0) + ENTRIES, "right"))
+            if end < len(pairs):
+                end = max(int(np.searchsorted(passage, passage[end])),
+                          int(np.searchsorted(passage, passage[cut], "right")))
+            first, many = passage[cut], passage[end - 1] - passage[cut] + 1
+            entry, row = _expand(self.blocks_of_term, term[cut:end])
+            row = passage[cut:end][row] - first
+            kept = _enough(row * blocks + self.block[entry], self.block_max[entry], many * blocks, least)
+            posting, at = _expand(self.postings_of_block, entry[kept])
+            key, score = _reaching(row[kept][at] * n + self.segment[posting], self.impact[posting],
+                                   many * n, least)
+            found.append(key + first * n)
+            scores.append(score)
+            cut = end
+        found = np.concatenate(found)
+        return found // n, found % n, np.concatenate(scores)
+
+    def verify(self, ids: np.ndarray, words: np.ndarray, passage: np.ndarray, segment: np.ndarray,
                min_overlap: float) -> np.ndarray:
         """Which of the retrieved segments may have enough n-grams in their passage: counts are by
-        hash and of n-grams that begin in it, so none is missed.  ``words``: of the whole text."""
+        hash and of n-grams that begin in it, so none is missed.  ``words``: of the whole text of
+        each passage."""
         short = self.gram_words[segment] < NGRAM
-        fits = ~short | (self.gram_words[segment] == words)
+        fits = ~short | (self.gram_words[segment] == words[passage])
         known = np.cumsum(np.concatenate([[0], ids >= 0]))
         n, found = max(1, len(self.item)), []
         wanted = passage * n + segment
@@ -254,8 +279,8 @@ class Index:
             at = np.flatnonzero(known[size:] - known[:-size] == size)
             gram = _places(_gram_hashes(ids, at, size), self.gram_keys)
             at, gram = at[gram >= 0], gram[gram >= 0]
+            place, row = _expand(self.segments_of_gram, gram)
             for back in (0, 1):
-                place, row = _expand(self.segments_of_gram, gram)
                 key = (at[row] // STRIDE - back) * n + self.gram_segment[place]
                 slot = _places(key, wanted)
                 hit = (slot >= 0) & (self.gram_words[self.gram_segment[place]] == size)
@@ -277,34 +302,57 @@ class Index:
         return out
 
 
-def find_items(words: list[str], index: Index, min_score: float, min_overlap: float) -> list[tuple]:
-    """(item id, passage, score, question overlap, answer overlap) of each item in a text."""
-    best: dict[int, tuple] = {}
-    if not words or not index.item:
-        return []
-    ids = np.fromiter(map(index.number.get, words, [-1] * len(words)), np.int64, len(words))
-    last = max(0, (len(words) - STRIDE - 1) // STRIDE)
-    for start in range(0, last + 1, CHUNK):
-        many = min(CHUNK, last + 1 - start)
-        part = ids[start * STRIDE:(start + many + 1) * STRIDE]
-        passage, segment, score = index.retrieve(part, many, min_score)
+def _runs(texts: list[list[str]]) -> Iterator[list[tuple[int, int, int]]]:
+    """Groups of about ``CHUNK`` passages: text, its first passage here, and how many of them."""
+    group, held = [], 0
+    for n, words in enumerate(texts):
+        last = (len(words) - STRIDE - 1) // STRIDE if len(words) > STRIDE else 0
+        for start in range(0, last + 1 if words else 0, CHUNK):
+            group.append((n, start, min(CHUNK, last + 1 - start)))
+            held += group[-1][2]
+            if held >= CHUNK:
+                yield group
+                group, held = [], 0
+    if group:
+        yield group
+
+
+def find_items(texts: list[list[str]], index: Index, min_score: float, min_overlap: float) -> list[list[tuple]]:
+    """For each text, given by its words, (item id, passage, score, question overlap, answer overlap)
+    of each item in it."""
+    best: list[dict[int, tuple]] = [{} for _ in texts]
+    for group in _runs(texts) if index.item else ():
+        # each run ends in a stride that belongs to its last passage and is none itself
+        first = np.cumsum([0] + [many + 1 for _, _, many in group])
+        ids = np.full(first[-1] * STRIDE, -1, np.int64)
+        real, words = np.ones(first[-1], bool), np.zeros(first[-1], np.int64)
+        real[first[1:] - 1] = False
+        for place, (n, start, many) in zip(first.tolist(), group):
+            part = texts[n][start * STRIDE:(start + many + 1) * STRIDE]
+            ids[place * STRIDE:place * STRIDE + len(part)] = np.fromiter(
+                map(index.number.get, part, repeat(-1)), np.int64, len(part))
+            words[place:place + many] = len(texts[n])
+        passage, segment, score = index.retrieve(ids, real, min_score)
         if len(passage) == 0:
             continue
-        kept = index.verify(part, len(words), passage, segment, min_overlap)
+        kept = index.verify(ids, words, passage, segment, min_overlap)
         seen, shown = {}, -1
-        for p, place, x in zip(passage[kept].tolist(), segment[kept].tolist(), score[kept].tolist()):
+        run = np.searchsorted(first, passage[kept], "right") - 1
+        for p, place, x, r in zip(passage[kept].tolist(), segment[kept].tolist(), score[kept].tolist(),
+                                  run.tolist()):
             if p != shown:
-                here, shown = part[p * STRIDE:(p + 2) * STRIDE].tolist(), p
+                here, shown = ids[p * STRIDE:(p + 2) * STRIDE].tolist(), p
                 seen = {n: {tuple(here[i:i + n]) for i in range(len(here) - n + 1)}
                         for n in range(1, NGRAM + 1)}
             whole, question, answer = index.overlaps(seen, place)
             needed = index.needed[place]
             if whole >= (min_overlap if np.isnan(needed) else needed):
-                row = (index.item[place], start + p, x, question, answer)
-                old = best.get(row[0])
+                n, start, _ = group[r]
+                row = (index.item[place], start + p - int(first[r]), x, question, answer)
+                old = best[n].get(row[0])
                 if old is None or (round(x, 9), -row[1]) > (round(old[2], 9), -old[1]):
-                    best[row[0]] = row
-    return [best[i] for i in sorted(best)]
+                    best[n][row[0]] = row
+    return [[found[i] for i in sorted(found)] for found in best]
 
 
 def build_parts(items: DataFrame, id_column: str, text: str, answer: str | None,
@@ -383,10 +431,10 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, item_id: str = "ite
             indexes = load()
 
             def work(ids, texts):
-                for i, text in zip(ids, texts):
-                    words = terms_of(text)
-                    for index in indexes:
-                        yield from ((i, *row) for row in find_items(words, index, min_score, min_overlap))
+                words = list(map(terms_of, texts))
+                for index in indexes:
+                    for i, rows in zip(ids, find_items(words, index, min_score, min_overlap)):
+                        yield from ((i, *row) for row in rows)
 
             return work
 
@@ -404,14 +452,12 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, *, item_id: str = "item
     for load, last in _loaded(docs, items, item_id, item_text, item_answer, part_bytes, index_bytes):
         def run(batches, load=load):
             indexes = load()
-            for batch in batches:
-                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-                clean = []
-                for text in texts:
-                    words = terms_of(text)
-                    clean.append(not any(find_items(words, index, min_score, min_overlap)
-                                         for index in indexes))
-                yield batch.filter(pa.array(clean, pa.bool_()))
+            for part in (p for batch in batches for p in text_pieces(batch, "text")):
+                words = list(map(terms_of, part["text"].to_pylist()))
+                clean = np.ones(len(words), bool)
+                for index in indexes:
+                    clean &= [not rows for rows in find_items(words, index, min_score, min_overlap)]
+                yield part.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)
         docs = docs if last else materialize(docs, "clean")
