@@ -12,6 +12,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.operators.joins import sized_for_broadcast
+
 # Distinct words whose values a task remembers before it starts afresh.
 MEMO_ENTRIES = 300_000
 
@@ -27,23 +29,18 @@ def most_rows(per_stratum: int) -> int:
 
 
 def bounded_sample(df: DataFrame, key: str, stratum: str, per_stratum: int) -> DataFrame:
-    """About ``per_stratum`` rows of each value of ``stratum``, chosen by a hash of ``key``.
+    """About ``per_stratum`` distinct rows of each value of ``stratum``, chosen by a hash of ``key``.
 
-    The choice depends on the key alone, so a retried task finds the same rows.  At most
-    ``most_rows(per_stratum)`` rows of each value are returned.
+    The choice depends on the key alone, so a retried task finds the same rows.  All values
+    are sampled in one pass, by the share that each one's count asks for.  Rows whose value
+    is null are left out.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(stratum).count().collect()}
-    kept = None
-    for value, n in sorted(counts.items(), key=lambda x: str(x[0])):
-        if value is None:
-            continue
-        rows = df.filter(F.col(stratum) == F.lit(value))
-        if n > per_stratum:
-            share = int(per_stratum / n * (1 << 30))
-            rows = rows.filter(F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(1 << 30)) < share)
-            rows = rows.limit(most_rows(per_stratum))
-        kept = rows if kept is None else kept.unionByName(rows)
-    return df.limit(0) if kept is None else kept
+    shares = (df.filter(F.col(stratum).isNotNull()).groupBy(stratum)
+              .agg((F.least(F.lit(per_stratum) / F.count(F.lit(1)), F.lit(1.0)) * (1 << 30))
+                   .cast("bigint").alias("__share")))
+    place = F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(1 << 30))
+    return (df.join(sized_for_broadcast(shares), stratum).filter(place < F.col("__share"))
+            .select(*df.columns).distinct())
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
@@ -51,7 +48,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """(doc_id, text, label) of a bounded sample of labelled rows outside the held-out fold.
 
     Ids are sampled before any text is read; the join broadcasts only those ids, whose
-    number ``per_class`` bounds.  Of an id that has many rows, so many texts go in that the
+    number ``per_class`` bounds but for the chance of the hash.  Of an id that has many rows, so many texts go in that the
     whole stays within the bound of both classes.
     """
     ids = (labels.select("doc_id", F.col(label).cast("int").alias("label"))

@@ -8,7 +8,8 @@ code, more get the best of several dense random codes.  ``ambiguous`` marks text
 runner-up is close.
 
 Texts that are null or have no letter are ``und`` with score 0.  With one language, every
-text with a letter is that language.  With none, every text is ``und``.  Repeated rows each give a
+text with a letter is that language.  With none, every text is ``und``.  Of equally near
+codewords the first language by name is taken.  Repeated rows each give a
 row; other columns are ignored.
 """
 
@@ -86,12 +87,12 @@ def fit_language(docs: DataFrame, *, parts: int = 5, held_out: int = 0,
     in the held-out fold."""
     known = docs.select("doc_id", "text", F.col("lang").alias("label")).filter(
         F.col("label").isNotNull() & (fold("doc_id", parts) != held_out))
-    names = sorted(r[0] for r in known.select("label").distinct().collect())
-    each = max(20, sample_docs // max(1, len(names)))
+    names = known.agg(F.count_distinct("label")).first()[0]
+    each = max(20, sample_docs // max(1, names))
     ids = bounded_sample(known.select("doc_id", "label"), "doc_id", "label", each)
     # an id with many rows must not make the sample larger
-    sample = (known.join(F.broadcast(ids.distinct()), ["doc_id", "label"])
-              .limit(max(1, len(names)) * most_rows(each)))
+    sample = (known.join(F.broadcast(ids), ["doc_id", "label"])
+              .limit(max(1, names) * most_rows(each)))
 
     def fit(rows):
         pairs = [(t, k) for t, k in zip(rows["text"].to_pylist(), rows["label"].to_pylist())
