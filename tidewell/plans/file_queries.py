@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from tidewell import catalog
 from tidewell.functions import epoch_seconds
 from tidewell.operators import row_count
-from tidewell.plans.history import daily_counts, dated, write_with_history
+from tidewell.plans.history import backfill_batch, daily_counts, dated, write_with_history
 from tidewell.plans.registry import query, table
 from tidewell.session import materialize, scratch_dir
 from tidewell.sinks import (
     WriteLedger, compact, compact_table, export_csv, file_detail, partition_detail,
-    table_detail, upsert_partitions, write_lake,
+    table_detail, upsert_partitions, write_clustered, write_lake,
 )
 from tidewell.sources import (
     file_rows, list_files, read_csv, read_header, read_json, read_projected, read_typed_text,
-    rows_from_list, split_rejects,
+    rows_from_list, rows_read, split_rejects,
 )
 
 
@@ -130,6 +130,30 @@ def source_projection_filter(spark, sf_dir):
         "o_orderstatus = 'F'")
 
 
+@query("""
+    WITH asked AS (
+      SELECT 'customers' AS asked, * FROM orders WHERE o_custkey BETWEEN 101 AND 110
+      UNION ALL SELECT 'order', * FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders))
+    SELECT * REPLACE (epoch_us(o_orderdate) AS o_orderdate), 1 AS skipped FROM asked""")
+def clustered_lookup(spark, sf_dir):
+    """All orders laid out by customer, with a Bloom filter on the order's key, and two selective reads.
+
+    ``skipped``: the scan handed on fewer rows than the table holds.
+    """
+    orders = table(spark, sf_dir, "orders")
+    n_orders, last = orders.agg(F.count(F.lit(1)), F.max("o_orderkey")).first()
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    clustered = write_clustered(orders, scratch_dir(spark, "clustered"), ["o_custkey"],
+                                {"o_orderkey": n_orders // files + 1}, files)
+    reads = []
+    for asked, found in (("customers", clustered.where("o_custkey BETWEEN 101 AND 110")),
+                         ("order", clustered.where(F.col("o_orderkey") == last))):
+        skipped = int(rows_read(found) < n_orders)
+        reads.append(found.select(F.lit(asked).alias("asked"), "*", F.lit(skipped).alias("skipped"))
+                     .withColumn("o_orderdate", F.unix_micros(F.col("o_orderdate").cast("timestamp"))))
+    return reads[0].unionByName(reads[1])
+
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -179,6 +203,21 @@ def historical_backfill(spark, sf_dir):
     return daily_counts(lake, "event_type")
 
 
+@query(_WITH_HISTORY + """
+    SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, count(event_type) AS action_count,
+           CAST(3 AS BIGINT) AS n_runs
+    FROM both_parts GROUP BY 1, 2""")
+def backfill_rerun(spark, sf_dir):
+    """The backfill run twice, first onto wrong days: the table holds what the second run wrote, the ledger all three."""
+    events, path = _timed_events(spark, sf_dir), scratch_dir(spark, "lake")
+    ledger = WriteLedger(spark, scratch_dir(spark, "ledger"))
+    backfill_batch(events, path, "events", ledger=ledger)
+    for days in (5, 2):
+        lake = backfill_batch(events, path, "history", shift=f"-{days * 86400}", ledger=ledger)
+    runs = ledger.read().where("operation LIKE 'BATCH %'").count()
+    return daily_counts(lake, "event_type").withColumn("n_runs", F.lit(runs).cast("bigint"))
+
+
 @query(_WITH_HISTORY + """
     SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n_events,
            CAST(1 AS BIGINT) AS num_files

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import HISTORY_SHIFT_SECONDS, day_of_epoch, epoch_date
-from tidewell.sinks import WriteLedger, write_lake
+from tidewell.sinks import WriteLedger, write_batch, write_lake
 
 
 def dated(events: DataFrame, time: str = "time", date: str = "date",
@@ -24,6 +24,12 @@ def write_with_history(events: DataFrame, path: str, time: str = "time",
     return write_lake(past, path, ["date"], "append", ledger=ledger)
 
 
+def backfill_batch(events: DataFrame, path: str, batch: str, time: str = "time", shift: str = "0",
+                   ledger: WriteLedger | None = None) -> DataFrame:
+    """Events by date, moved by ``shift`` seconds, as one batch of the table; running it again changes nothing."""
+    return write_batch(dated(events, time, shift=shift), path, batch, ["date"], ledger=ledger)
+
+
 def daily_counts(events: DataFrame, action: str, date: str = "date",
                  name: str = "action_count") -> DataFrame:
     """Events per action and date of a dated table, in that order."""

@@ -1,4 +1,5 @@
-from tidewell.sinks.files import export_csv, write_lake
+from tidewell.sinks.files import export_csv, write_batch, write_lake
+from tidewell.sinks.layout import write_clustered
 from tidewell.sinks.ledger import WriteLedger
 from tidewell.sinks.maintenance import (
     compact, compact_table, file_detail, pack_files, partition_detail, table_detail,
@@ -10,5 +11,5 @@ from tidewell.sinks.upsert import (
 __all__ = [
     "WriteLedger", "compact", "compact_table", "export_csv", "file_detail", "keyed_upsert",
     "latest_per_key", "pack_files", "partition_detail", "table_detail", "touched_partitions",
-    "upsert_partitions", "upsert_table", "write_lake",
+    "upsert_partitions", "upsert_table", "write_batch", "write_clustered", "write_lake",
 ]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewell.sinks.ledger import WriteLedger
 from tidewell.sources.files import CSV_DIALECT, read_lake
@@ -43,6 +45,26 @@ def write_lake(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     return read_lake(df.sparkSession, path, df.schema)
 
 
+def write_batch(df: DataFrame, path: str, batch: str, partition_by: Sequence[str] = (),
+                batch_column: str = "batch", rebalance: bool = True,
+                ledger: WriteLedger | None = None) -> DataFrame:
+    """Add the rows of one named batch to the table at ``path``; return the whole table without ``batch_column``.
+
+    The outermost partition of the table is its batch.  Writing a batch again replaces all
+    that an earlier run of it left, be that whole, broken off, or on other dates, and touches
+    no other batch: a job that is started twice adds its rows once.  While it runs, the batch
+    is incomplete for readers.
+    """
+    if not re.fullmatch("[A-Za-z0-9._-]+", batch):
+        raise ValueError(f"a batch is named by letters, digits, dots, dashes and underscores, not {batch!r}")
+    if batch_column.lower() in [c.lower() for c in df.columns]:
+        raise ValueError(f"the rows have a column {batch_column!r} already")
+    write_lake(df, f"{path.rstrip('/')}/{batch_column}={batch}", partition_by, "overwrite", rebalance,
+               ledger, f"BATCH {batch}")
+    schema = StructType([*df.schema.fields, StructField(batch_column, StringType())])
+    return read_lake(df.sparkSession, path, schema).drop(batch_column)
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = "",
                **dialect) -> str:
     """Flat export with a header line in every file and no row index.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewell.session import scratch_dir, stored_listing
+from tidewell.session import scratch_dir, stored_listing, with_conf
 
 
 # What lets text come back as it was: quotes are doubled, and outer blanks belong to the text.
@@ -100,6 +100,19 @@ def read_projected(spark: SparkSession, path: str, columns: Sequence[str],
     return reader.load(path).where(predicate).select(*columns)
 
 
+def rows_read(df: DataFrame) -> int:
+    """Rows that the scans of ``df`` hand on when it is counted: what skipping files and row groups leaves.
+
+    Runs the count, and takes the number from the metrics of its scans.
+    """
+    with with_conf(df.sparkSession, spark__sql__adaptive__enabled="false"):
+        counted = df.agg(F.count(F.lit(1)))
+        counted.collect()
+        leaves = counted._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaf for leaf in (leaves.apply(i) for i in range(leaves.size())) if leaf.nodeName().startswith("Scan")]
+    return sum(scan.metrics().apply("numOutputRows").value() for scan in scans)
+
+
 def list_files(spark: SparkSession, path: str, pattern: str = "*",
                recursive: bool = False) -> DataFrame:
     """Files below ``path`` as rows (path, length, modificationTime), listed once.
