@@ -47,7 +47,7 @@ def _label_index_sql(column):
       FROM labelled GROUP BY {column})"""
 
 
-@query(f"""
+_VECTORS_SQL = f"""
     WITH labelled AS (SELECT * FROM labels JOIN documents USING (doc_id)),
     vectors AS (
       SELECT doc_id, CAST(quality AS DOUBLE) AS label, CAST(n_chars AS DOUBLE) AS x1,
@@ -55,7 +55,9 @@ def _label_index_sql(column):
              CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80
                AS is_train
       FROM labelled JOIN {_label_index_sql('lang')} USING (lang)
-        JOIN {_label_index_sql('source')} USING (source)),
+        JOIN {_label_index_sql('source')} USING (source))"""
+
+_BAYES_SQL = _VECTORS_SQL + """,
     sums AS (
       SELECT label, count(*) AS n, sum(x1) AS s1, sum(x2) AS s2, sum(x3) AS s3, sum(x4) AS s4,
              sum(x1 + x2 + x3 + x4) AS s
@@ -68,7 +70,10 @@ def _label_index_sql(column):
     scores AS (
       SELECT doc_id, label, prediction,
              prior + x1 * w1 + x2 * w2 + x3 * w3 + x4 * w4 AS score
-      FROM vectors CROSS JOIN weights WHERE NOT is_train)
+      FROM vectors CROSS JOIN weights WHERE NOT is_train)"""
+
+
+@query(_BAYES_SQL + """
     SELECT doc_id, label, arg_max(prediction, score) AS prediction,
            round(max(score) FILTER (WHERE prediction = 0), 4) AS score_0,
            round(max(score) FILTER (WHERE prediction = 1), 4) AS score_1
@@ -82,6 +87,45 @@ def naive_bayes_predictions(spark, sf_dir):
                          F.round(raw[1], 4).alias("score_1"))
 
 
+@query(_BAYES_SQL + """,
+    answers AS (
+      SELECT label, arg_max(prediction, score) AS prediction FROM scores GROUP BY doc_id, label),
+    shares AS (SELECT count(*) AS n FROM vectors WHERE NOT is_train GROUP BY label)
+    SELECT 'naive_bayes' AS model, round(avg(CAST(label = prediction AS INTEGER)), 6) AS accuracy,
+           round(1 - avg(CAST(label = prediction AS INTEGER)), 6) AS test_error,
+           (SELECT round(max(n) / sum(n), 6) FROM shares) AS majority_accuracy
+    FROM answers""")
+def closed_form_accuracy(spark, sf_dir):
+    """The comparison of classifiers, for the one whose answers have a closed form."""
+    compared = compare_classifiers(*_train_and_test(spark, sf_dir), names=["naive_bayes"])
+    return compared.select("model", *[F.round(c, 6).alias(c) for c in compared.columns[1:]])
+
+
+@query(_VECTORS_SQL + """,
+    sums AS (
+      SELECT sum(label) AS one, sum(label * x1) AS n_chars, sum(label * x2) AS toxic,
+             sum(label * x3) AS lang_index, sum(label * x4) AS source_index
+      FROM vectors WHERE is_train)
+    SELECT feature, total, 1 AS balanced
+    FROM (UNPIVOT sums ON one, n_chars, toxic, lang_index, source_index INTO NAME feature VALUE total)""")
+def logistic_balance(spark, sf_dir):
+    """At its optimum a logistic regression expects of every feature what the good documents hold of it.
+
+    ``total`` is what they hold in the training rows; ``balanced`` says that the probabilities of all training rows
+    give the same, within a hundredth of what all rows hold.
+    """
+    train, _ = _train_and_test(spark, sf_dir)
+    scored = score(fit("logistic_regression", train), train, keep=["probability"])
+    names = ["one", "n_chars", "toxic", "lang_index", "source_index"]
+    values = F.concat(F.array(F.lit(1.0)), vector_to_array("features"))
+    rows = scored.select("label", vector_to_array("probability")[1].alias("p"),
+                         F.posexplode(values).alias("place", "x"))
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("place") + 1)
+    return rows.groupBy(name.alias("feature")).agg(
+        F.sum(F.col("label") * F.col("x")).alias("total"),
+        (F.abs(F.sum((F.col("p") - F.col("label")) * F.col("x"))) <= F.sum("x") / 100).cast("int").alias("balanced"))
+
+
 @query("""
     SELECT round(avg(CASE WHEN (n_chars >= 200) = (quality = 1) THEN 1.0 ELSE 0.0 END), 6)
         AS accuracy,
